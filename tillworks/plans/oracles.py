@@ -135,7 +135,7 @@ DATES = "invoice_timestamp >= TIMESTAMP '1996-03-01' AND invoice_timestamp < TIM
 
 FILTERS = {
     "flt_date_range": on_fact(f"SELECT {LINE} FROM fact WHERE {DATES}"),
-    "flt_country": on_fact(f"SELECT {LINE}, country FROM fact WHERE country = 'FRANCE'"),
+    "flt_country": on_fact(f"SELECT {LINE}, country FROM fact WHERE country = 'NATION_7'"),
     "flt_customer_type": on_fact(f"SELECT {LINE}, customer_type FROM fact WHERE customer_type = 'Guest'"),
     "flt_transaction_type": on_fact(f"SELECT {LINE}, is_cancellation FROM fact WHERE is_cancellation"),
     "flt_default_sales": on_fact(f"SELECT {LINE}, is_cancellation FROM fact WHERE NOT is_cancellation"),

@@ -12,7 +12,10 @@ from tillworks.functions import text as X
 from tillworks.operators import breakdowns as B
 from tillworks.operators import filters as L
 from tillworks.operators import kpis as K
+from tillworks.operators import insights as I
 from tillworks.operators.filters import ReportFilter
+from tillworks.plans import dashboard as D
+from tillworks.plans import load_queries
 from tillworks.plans.catalog import CATALOG
 from tillworks.sources.star_tables import fact_sales
 
@@ -54,7 +57,7 @@ FEATURES: dict[str, Query] = {
 
 FILTERS: dict[str, Query] = {
     "flt_date_range": _filtered(ReportFilter("1996-03-01", "1997-06-30")),
-    "flt_country": _filtered(ReportFilter(country="FRANCE"), "country"),
+    "flt_country": _filtered(ReportFilter(country="NATION_7"), "country"),
     "flt_customer_type": _filtered(ReportFilter(customer_type="Guest"), "customer_type"),
     "flt_transaction_type": _filtered(ReportFilter(transaction_type=L.CANCELLATIONS), "is_cancellation"),
     "flt_default_sales": _filtered(ReportFilter(), "is_cancellation", default=L.SALES),
@@ -133,5 +136,30 @@ BREAKDOWNS: dict[str, Query] = {
 REPORTS: dict[str, Query] = {name: on_fact(report) for name, report in CATALOG.items()}
 
 
+
+
+def _insight(rule: str, limits: I.Thresholds = I.Thresholds()) -> Query:
+    return on_fact(lambda fact: I.insights(fact, limits=limits, only=[rule]))
+
+
+# Limits are lowered where the test tables would not make a rule fire.
+INSIGHTS: dict[str, Query] = {
+    "ins_cancel_critical": _insight("cancel_critical"),
+    "ins_cancel_high": _insight("cancel_high", I.Thresholds(cancellation_critical=90.0)),
+    "ins_growth": _insight("growth", I.Thresholds(growth=-100.0)),
+    "ins_contraction": _insight("contraction"),
+    "ins_concentration": _insight("concentration", I.Thresholds(product_concentration=0.0)),
+    "ins_guest_ratio": _insight("guest_ratio", I.Thresholds(guest_ratio=0.0)),
+    "ins_all": on_fact(I.insights),
+}
+
+PACKAGES: dict[str, Query] = {
+    "dash_summary": on_fact(lambda fact: D.dashboard_rows(D.dashboard(fact))),
+    "svc_cancellations": on_fact(lambda fact: D.cancellation_rows(D.cancellation_report(fact))),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**FEATURES, **FILTERS, **KPIS, **BREAKDOWNS, **REPORTS}
+    return {
+        **FEATURES, **FILTERS, **KPIS, **BREAKDOWNS, **REPORTS, **INSIGHTS, **PACKAGES, **load_queries.queries(),
+    }
