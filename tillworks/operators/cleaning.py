@@ -16,15 +16,23 @@ from tillworks.functions.text import is_missing, strip
 
 
 def number(value: Column) -> Column:
-    """Text as a number; null when it is not one."""
-    parsed = strip(value).try_cast("double")
-    ends_plain = strip(value).rlike("[0-9.]$")  # 1.5d and 1.5f parse in Java only
-    return F.when(ends_plain & ~F.isnan(parsed), parsed)
+    """Text as a number; null when it is not one.
+
+    A number ends in a digit or a dot, which leaves out the spellings only the JVM accepts
+    (``1.5d``, ``NaN``), and has no ``x`` in it (``0x1p3``).
+    """
+    last = F.substring(F.rtrim(value), -1, 1)
+    plain = (last.between("0", "9") | (last == ".")) & ~value.contains("x") & ~value.contains("X")
+    return F.when(plain, value.try_cast("double"))
 
 
 def price_value(value: Column) -> Column:
-    """Unit price, with the decimals needed to round only the line total."""
-    return F.when(number(value).isNotNull(), strip(value).try_cast("decimal(14,4)"))
+    """Unit price, with the decimals needed to round only the line total.
+
+    Text that is no number counts as zero. A number too large for the type stays null, for the
+    fact table's rules to reject.
+    """
+    return F.coalesce(value.try_cast("decimal(14,4)"), F.when(number(value).isNull(), F.lit(0).cast("decimal(14,4)")))
 
 
 # --- steps -------------------------------------------------------------------------------
@@ -96,7 +104,8 @@ def dedupe(raw: DataFrame, first_by: list[str] = ()) -> DataFrame:
     A distributed read has no row order, so the remaining columns decide which copy stays; the
     outcome is the same on every run.
     """
-    order = [F.col(name) for name in first_by] + [F.col(name) for name in raw.columns if name not in first_by]
+    decided = {*first_by, *S.DEDUPE_KEY} - {"Quantity"}
+    order = [F.col(name) for name in [*first_by, *[name for name in raw.columns if name not in decided]]]
     in_key = Window.partitionBy(*_dedupe_keys(raw.columns)).orderBy(*order)
     return raw.withColumn("_copy", F.row_number().over(in_key)).where(F.col("_copy") == 1).drop("_copy")
 
@@ -109,7 +118,7 @@ def cast_types(raw: DataFrame) -> DataFrame:
             number(F.col("Quantity").cast("string")).try_cast("bigint"), F.lit(0).cast("bigint")
         )
     if "UnitPrice" in raw.columns:
-        casts["UnitPrice"] = F.coalesce(price_value(F.col("UnitPrice").cast("string")), F.lit(0)).cast("decimal(14,4)")
+        casts["UnitPrice"] = price_value(F.col("UnitPrice").cast("string")).cast("decimal(14,4)")
     if "InvoiceDate" in raw.columns and dict(raw.dtypes)["InvoiceDate"] == "string":
         casts["InvoiceDate"] = to_moment(F.col("InvoiceDate"))
     return raw.withColumns(casts)

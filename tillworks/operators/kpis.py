@@ -273,10 +273,10 @@ def kpi_row(fact: DataFrame, chosen: ReportFilter | None = None, with_top_produc
         scope,
         kinds,
         sums={
-            "sold_amount": F.when(sold, F.col("total_amount")),
-            "sold_units": F.when(sold, F.col("quantity")),
-            "lost_amount": F.when(lost, F.col("total_amount")),
-            "registered_amount": F.when(sold & is_registered, F.col("total_amount")),
+            "sold_amount": (F.when(sold, F.col("total_amount")), ["invoice", "month", "item"]),
+            "sold_units": (F.when(sold, F.col("quantity")), ["invoice"]),
+            "lost_amount": (F.when(lost, F.col("total_amount")), ["invoice"]),
+            "registered_amount": (F.when(sold & is_registered, F.col("total_amount")), ["invoice"]),
         },
         marks={
             "asked": asked,
@@ -387,10 +387,10 @@ def kpi_set_basic(fact: DataFrame, chosen: ReportFilter | None = None) -> DataFr
             Kind("country", sale, group=F.col("country")),
         ],
         sums={
-            "amount": F.when(sale, F.col("total_amount")),
-            "units": F.when(sale, F.col("quantity")),
-            "prices": F.when(sale, F.col("unit_price")),
-            "priced": F.when(sale & F.col("unit_price").isNotNull(), 1).otherwise(0),
+            "amount": (F.when(sale, F.col("total_amount")), ["invoice", "product", "country"]),
+            "units": (F.when(sale, F.col("quantity")), ["invoice"]),
+            "prices": (F.when(sale, F.col("unit_price")), ["invoice"]),
+            "priced": (F.when(sale & F.col("unit_price").isNotNull(), 1).otherwise(0), ["invoice"]),
         },
         marks={"sold": sale, "lost": transactions(CANCELLATIONS)},
     )

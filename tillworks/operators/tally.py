@@ -31,12 +31,12 @@ def _text(value: Column | None) -> Column:
 
 
 def tally(
-    lines: DataFrame, kinds: list[Kind], sums: dict[str, Column], marks: dict[str, Column]
+    lines: DataFrame, kinds: list[Kind], sums: dict[str, tuple[Column, list[str]]], marks: dict[str, Column]
 ) -> DataFrame:
     """One row per (kind, group, subgroup).
 
     ``members`` is the distinct count; each mark becomes the number of members with at least
-    one line bearing it; each sum is taken over all lines of the group.
+    one line bearing it; each sum is taken over all lines of a group, for the kinds it names.
     """
     keys = F.array(*[
         F.struct(
@@ -47,13 +47,14 @@ def tally(
         )
         for kind in kinds
     ])
-    values = {**sums, **marks}
+    values = {**{name: value for name, (value, _) in sums.items()}, **marks}
+    wanted = {name: F.when(F.col("kind").isin(of), F.col(name)) for name, (_, of) in sums.items()}
     return (
         lines.select(*[value.alias(name) for name, value in values.items()], F.inline(keys))
         .where(F.col("kind").isNotNull())
         .groupBy("kind", "group", "subgroup", "member")
         .agg(
-            *[F.sum(name).alias(name) for name in sums],
+            *[F.sum(value).alias(name) for name, value in wanted.items()],
             *[F.bool_or(name).alias(name) for name in marks],
         )
         .groupBy("kind", "group", "subgroup")

@@ -3,7 +3,8 @@
 Four views over the given parquet tables. Joins carry no broadcast hints: only ``nation`` has a
 bounded size, and Spark sees that (and the real size of the others) from the files. Customers
 are joined to orders before the much larger line table, so each row crosses the network once
-per key.
+per key. Lines and orders grow together, so their join is always a shuffled one, which spills to
+disk and whose hot keys adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def _order_lines(spark: SparkSession, folder: str, lines: DataFrame | None = Non
     lines = table(spark, folder, "lineitem") if lines is None else lines
     return (
         lines.select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
-        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
     )
 
