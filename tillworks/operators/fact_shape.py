@@ -8,15 +8,21 @@ from pyspark.sql import functions as F
 from tillworks import schema as S
 
 
-def to_fact_columns(features: DataFrame) -> DataFrame:
-    """Rename to warehouse names, in warehouse order and types; absent columns are
-    left out and a value that does not fit its type becomes null, for the constraints to catch."""
+def to_fact_columns(features: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Rename to warehouse names, in warehouse order and types, followed by ``keep`` as is.
+
+    Absent columns are left out, and a value that does not fit its type becomes null, for the
+    constraints to catch.
+    """
     types = {field.name: field.dataType for field in S.FACT_SCHEMA}
-    return features.select([
-        F.col(source).try_cast(types[target]).alias(target)
-        for source, target in S.FACT_COLUMN_MAP.items()
-        if source in features.columns
-    ])
+    return features.select(
+        *[
+            F.col(source).try_cast(types[target]).alias(target)
+            for source, target in S.FACT_COLUMN_MAP.items()
+            if source in features.columns
+        ],
+        *keep,
+    )
 
 
 def constraint_flags() -> dict:

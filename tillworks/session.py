@@ -21,6 +21,8 @@ def build_session(app_name: str = "tillworks", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a hot join key even where that costs one more shuffle further up.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         **conf,
     }
     for key, value in settings.items():
