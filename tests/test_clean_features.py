@@ -30,6 +30,7 @@ def test_dirty_rows_are_cleaned(spark):
     assert one(C.cleaning_stats(rows)) == {
         "initial_rows": 3, "duplicates_removed": 1, "invalid_prices_removed": 1, "nulls_imputed": 2, "final_rows": 1
     }
+    assert one(C.stats_after(C.row_counts(rows), 1)) == one(C.cleaning_stats(rows))
 
 
 def test_stats_of_no_rows(spark):

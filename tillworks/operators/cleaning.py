@@ -134,17 +134,43 @@ def clean(raw: DataFrame, first_by: list[str] = ()) -> DataFrame:
     return cast_types(dedupe(impute_description(impute_customer(kept)), first_by))
 
 
-def cleaning_stats(raw: DataFrame) -> DataFrame:
-    """What ``clean`` would do to these rows, from one scan and one shuffle on the dedupe key."""
-    text = normalise(raw)
-    keep = is_possible(text.columns)
+def _missing_values(columns: list[str]) -> Column:
+    """How many fields of a row will be filled in."""
     missing = F.lit(0)
     for name in ("CustomerID", "Description"):
-        if name in text.columns:
+        if name in columns:
             missing = missing + is_missing(F.col(name).cast("string")).cast("int")
-    flagged = text.withColumns({"_keep": keep, "_missing": missing})
-    if "CustomerID" in text.columns:
-        flagged = impute_customer(flagged)
+    return missing
+
+
+def row_counts(raw: DataFrame) -> DataFrame:
+    """Rows in, rows dropped as impossible, fields filled in: one pass without a shuffle."""
+    text = normalise(raw)
+    keep, zero = is_possible(text.columns), F.lit(0).cast("bigint")
+    return text.agg(
+        F.count(F.lit(1)).alias("initial_rows"),
+        F.count_if(~keep).alias("invalid_prices_removed"),
+        F.coalesce(F.sum(F.when(keep, _missing_values(text.columns))), zero).alias("nulls_imputed"),
+    )
+
+
+def stats_after(counts: DataFrame, final_rows: int) -> DataFrame:
+    """Full statistics from ``row_counts`` and the number of rows a stored ``clean`` result has."""
+    final = F.lit(final_rows).cast("bigint")
+    return counts.select(
+        "initial_rows",
+        (F.col("initial_rows") - F.col("invalid_prices_removed") - final).alias("duplicates_removed"),
+        "invalid_prices_removed",
+        "nulls_imputed",
+        final.alias("final_rows"),
+    )
+
+
+def cleaning_stats(raw: DataFrame) -> DataFrame:
+    """What ``clean`` would do to these rows, from one scan and one shuffle on the dedupe key."""
+    text = normalise(raw)
+    flagged = text.withColumns({"_keep": is_possible(text.columns), "_missing": _missing_values(text.columns)})
+    flagged = impute_customer(flagged)
     key = F.struct(*[value.alias(f"k{i}") for i, value in enumerate(_dedupe_keys(text.columns))])
     copies = flagged.groupBy("_keep", F.when(F.col("_keep"), key).alias("_key")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("_missing").alias("missing")
