@@ -181,7 +181,7 @@ def test_load_twice_adds_nothing(spark, folder):
 
 def test_new_file_beside_an_old_one(spark, folder):
     lake = Lake(spark, folder + "/lake")
-    write(folder + "/in", "a.csv", csv_text(CLEAN_ROWS))
+    write(folder + "/in", "a file.csv", csv_text(CLEAN_ROWS))
     load_files(lake, folder + "/in")
     later = ("536367", "X", "LAMP", "1", "2010-12-03 08:00:00", "1.00", None, "france")
     write(folder + "/in", "b.csv", csv_text([later]))
@@ -190,6 +190,8 @@ def test_new_file_beside_an_old_one(spark, folder):
     row = one(lake.fact().where("invoice_no = '536367'"))
     assert (row["customer_type"], row["country"], row["total_amount"]) == ("Guest", "France", Decimal("1.00"))
     assert {r["rows_processed"] for r in lake.watermarks().collect()} == {2, 1}
+    assert Z.read_from_lake(spark, lake.base, "staged").count() == 3
+    assert {r["run"] for r in Z.read_from_lake(spark, lake.base, "raw", ["run"]).collect()} >= {second.run_id}
 
 
 BAD = [("", "Y", "d", "1", "2010-12-04", "1.00", "7", "UK"), ("5", "Y", "d", "0", "2010-12-04", "1.00", "7", "UK")]

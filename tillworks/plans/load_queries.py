@@ -87,7 +87,9 @@ def src_extra_columns(spark: SparkSession, folder: str) -> DataFrame:
 def src_file_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The given table files themselves."""
     manifest = files.file_manifest(spark, folder, pattern="*.parquet")
-    return manifest.withColumn("file_path", F.element_at(F.split("file_path", "/"), -1))
+    return manifest.select(
+        F.element_at(F.split("file_path", "/"), -1).alias("file_path"), "bytes", "file_hash", "hash_kind"
+    )
 
 
 def src_new_files(spark: SparkSession, folder: str) -> DataFrame:
