@@ -333,32 +333,31 @@ def kpi_row(fact: DataFrame, chosen: ReportFilter | None = None, with_top_produc
     return base.select(*[value.alias(name) for name, value in columns.items()])
 
 
-def formatted(key: str, unit: str, value: Column) -> Column:
+def _formatted(kpi: Column, unit: Column, value: Column) -> Column:
     """Display text of a KPI, by its unit."""
-    if key == "average_items_per_order":
-        return F.format_string("%.1f", value)
-    if unit == "£":
-        return X.money_text(value)
-    if unit == "%":
-        return X.percent_text(value)
-    return X.number_text(value)
+    return (
+        F.when(kpi == "average_items_per_order", F.format_string("%.1f", value))
+        .when(unit == "£", X.money_text(value))
+        .when(unit == "%", X.percent_text(value))
+        .otherwise(X.number_text(value))
+    )
 
 
 def kpi_records(row: DataFrame) -> DataFrame:
     """The wide KPI row as one record per KPI."""
-    return row.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(place).alias("position"),
-            F.lit(key).alias("kpi"),
-            F.lit(name).alias("name"),
-            F.col(key).cast("double").alias("value"),
-            formatted(key, unit, F.col(key)).alias("formatted_value"),
-            F.lit(category).alias("category"),
-            F.lit(description).alias("description"),
-            F.lit(unit).alias("unit"),
-        )
+    labels = ", ".join(
+        f"struct({place} AS position, '{key}' AS kpi, '{name}' AS name, '{category}' AS category, "
+        f"'{description}' AS description, '{unit}' AS unit)"
         for place, (key, name, category, unit, description) in enumerate(KPI_SET, start=1)
-    ])))
+    )
+    values = F.array(*[F.col(key).cast("double") for key, *_ in KPI_SET])
+    records = row.select(values.alias("values"), F.expr(f"inline(array({labels}))"))
+    value = F.element_at("values", F.col("position"))
+    return records.withColumn("value", value).select(
+        "position", "kpi", "name", "value",
+        _formatted(F.col("kpi"), F.col("unit"), F.col("value")).alias("formatted_value"),
+        "category", "description", "unit",
+    )
 
 
 def kpi_set_full(fact: DataFrame, chosen: ReportFilter | None = None) -> DataFrame:
