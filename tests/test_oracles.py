@@ -1,6 +1,7 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -13,6 +14,13 @@ SMALL = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
+@pytest.fixture(scope="module")
+def results(spark):
+    """All queries, a few at a time: at this scale each one is mostly planning."""
+    with ThreadPoolExecutor(6) as pool:
+        yield {name: pool.submit(lambda q=QUERIES[name]: q(spark, SMALL).toPandas()) for name in SQL}
+
+
 @pytest.fixture(scope="module")
 def con():
     return oracle_check.duck(SMALL)
@@ -28,6 +36,5 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", list(SQL))
-def test_query(spark, con, name):
-    result = QUERIES[name](spark, SMALL).toPandas()
-    assert oracle_check.differences(result, con.execute(SQL[name]).df()) == []
+def test_query(results, con, name):
+    assert oracle_check.differences(results[name].result(), con.execute(SQL[name]).df()) == []
