@@ -20,9 +20,9 @@ def strip(value: Column) -> Column:
     return F.trim(value, F.lit(WHITESPACE))
 
 
-def is_missing(value: Column) -> Column:
+def is_missing_word(stripped: Column) -> Column:
     """Null, blank, or one of the words files use for a missing value."""
-    return F.coalesce(F.upper(strip(value)).isin(S.MISSING_TOKENS), F.lit(True))
+    return F.coalesce(F.upper(stripped).isin(S.MISSING_TOKENS), F.lit(True))
 
 
 def _plain(value: Column, places: int) -> Column:

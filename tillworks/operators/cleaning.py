@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillworks import schema as S
 from tillworks.functions.dates import to_moment
-from tillworks.functions.text import is_missing, strip
+from tillworks.functions.text import is_missing_word, strip
 
 
 def number(value: Column) -> Column:
@@ -72,20 +72,25 @@ def drop_invalid(raw: DataFrame) -> DataFrame:
     return raw.where(is_possible(raw.columns))
 
 
-def impute_customer(raw: DataFrame) -> DataFrame:
+def _text(name: str, stripped: bool) -> Column:
+    value = F.col(name).cast("string")
+    return value if stripped else strip(value)
+
+
+def impute_customer(raw: DataFrame, stripped: bool = False) -> DataFrame:
     """Guests for missing ids; ids read as numbers lose their ``.0``."""
     if "CustomerID" not in raw.columns:
         return raw
-    text = strip(F.col("CustomerID").cast("string"))
+    text = _text("CustomerID", stripped)
     known = F.when(text.endswith(".0"), F.substring_index(text, ".", 1)).otherwise(text)
-    return raw.withColumn("CustomerID", F.when(is_missing(text), S.GUEST_ID).otherwise(known))
+    return raw.withColumn("CustomerID", F.when(is_missing_word(text), S.GUEST_ID).otherwise(known))
 
 
-def impute_description(raw: DataFrame) -> DataFrame:
+def impute_description(raw: DataFrame, stripped: bool = False) -> DataFrame:
     if "Description" not in raw.columns:
         return raw
-    text = F.col("Description").cast("string")
-    return raw.withColumn("Description", F.when(is_missing(text), S.UNKNOWN_DESCRIPTION).otherwise(strip(text)))
+    text = _text("Description", stripped)
+    return raw.withColumn("Description", F.when(is_missing_word(text), S.UNKNOWN_DESCRIPTION).otherwise(text))
 
 
 def _dedupe_keys(columns: list[str]) -> list[Column]:
@@ -125,21 +130,27 @@ def cast_types(raw: DataFrame) -> DataFrame:
 
 
 def normalise(raw: DataFrame) -> DataFrame:
-    """Text steps only: every row stays."""
-    return title_country(upper_codes(trim_text(raw)))
+    """The text steps in one go, each value stripped once: every row stays."""
+    shaped = {name: F.col(name) for name, kind in raw.dtypes if kind == "string"}
+    shaped |= {name: F.col(name).cast("string") for name in ("InvoiceNo", "StockCode") if name in raw.columns}
+    finish = {"InvoiceNo": F.upper, "StockCode": F.upper, "Country": F.initcap}
+    return raw.withColumns({
+        name: finish.get(name, lambda text: text)(strip(value)) for name, value in shaped.items()
+    })
 
 
 def clean(raw: DataFrame, first_by: list[str] = ()) -> DataFrame:
     kept = drop_invalid(normalise(raw))
-    return cast_types(dedupe(impute_description(impute_customer(kept)), first_by))
+    filled = impute_description(impute_customer(kept, stripped=True), stripped=True)
+    return cast_types(dedupe(filled, first_by))
 
 
 def _missing_values(columns: list[str]) -> Column:
-    """How many fields of a row will be filled in."""
+    """How many fields of a row with stripped text will be filled in."""
     missing = F.lit(0)
     for name in ("CustomerID", "Description"):
         if name in columns:
-            missing = missing + is_missing(F.col(name).cast("string")).cast("int")
+            missing = missing + is_missing_word(F.col(name).cast("string")).cast("int")
     return missing
 
 
@@ -170,7 +181,7 @@ def cleaning_stats(raw: DataFrame) -> DataFrame:
     """What ``clean`` would do to these rows, from one scan and one shuffle on the dedupe key."""
     text = normalise(raw)
     flagged = text.withColumns({"_keep": is_possible(text.columns), "_missing": _missing_values(text.columns)})
-    flagged = impute_customer(flagged)
+    flagged = impute_customer(flagged, stripped=True)
     key = F.struct(*[value.alias(f"k{i}") for i, value in enumerate(_dedupe_keys(text.columns))])
     copies = flagged.groupBy("_keep", F.when(F.col("_keep"), key).alias("_key")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("_missing").alias("missing")
