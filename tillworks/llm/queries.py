@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillworks.llm import quality_rules
+from tillworks.llm import quality_rules, token_files
 from tillworks.llm.common import table
+from tillworks.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,8 +19,14 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept", "quality")
 
 
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    out = fresh_path(spark, "token-files")
+    files = token_files.write(table(spark, folder, "documents"), out, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read(spark, files, out)
+
+
 def queries() -> dict[str, Query]:
-    return {"op8_quality_rules": op8_quality_rules}
+    return {"op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
