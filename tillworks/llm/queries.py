@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillworks.llm import quality_rules, token_files
+from tillworks.llm import bpe_lexicon, quality_rules, token_files
 from tillworks.llm.common import table
 from tillworks.session import fresh_path
 
@@ -25,8 +26,19 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, files, out)
 
 
+def op10_bpe_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    docs, vocabulary = table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json")
+    lexicon = fresh_path(spark, "lexicon")
+    bpe_lexicon.build_lexicon(docs, vocabulary, lexicon)
+    coded = bpe_lexicon.encode(docs, vocabulary, lexicon)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {"op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
+    return {"op10_bpe_lexicon": op10_bpe_lexicon, "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
