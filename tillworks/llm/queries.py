@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import bpe_lexicon, quality_rules, token_files
+from tillworks.llm import bpe_lexicon, quality_rules, token_files, warc
 from tillworks.llm.common import table
 from tillworks.session import fresh_path
 
@@ -20,6 +20,13 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept", "quality")
 
 
+def op2_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives are written and every page is looked up in them by its key."""
+    out = fresh_path(spark, "warc")
+    keys = warc.archive(spark, table(spark, folder, "pages"), out)
+    return warc.look_up(keys, f"{out}/directory").drop("url")
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     out = fresh_path(spark, "token-files")
     files = token_files.write(table(spark, folder, "documents"), out, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -37,9 +44,19 @@ def op10_bpe_lexicon(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM q
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"op10_bpe_lexicon": op10_bpe_lexicon, "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
+    return {"op2_warc_index": op2_warc_index, "op10_bpe_lexicon": op10_bpe_lexicon, "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc_index": OP2_SQL}
