@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import bpe_lexicon, quality_rules, token_files, warc
+from tillworks.llm import bpe_lexicon, quality_rules, secret_scan, token_files, warc
 from tillworks.llm.common import table
 from tillworks.session import fresh_path
 
@@ -27,6 +27,22 @@ def op2_warc_index(spark: SparkSession, folder: str) -> DataFrame:
     return warc.look_up(keys, f"{out}/directory").drop("url")
 
 
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"), count("guess"),
+    )
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     out = fresh_path(spark, "token-files")
     files = token_files.write(table(spark, folder, "documents"), out, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -55,7 +71,7 @@ FROM q
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_warc_index": op2_warc_index, "op10_bpe_lexicon": op10_bpe_lexicon, "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
+    return {"op2_warc_index": op2_warc_index, "op10_bpe_lexicon": op10_bpe_lexicon, "op3_secret_scan": op3_secret_scan, "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
