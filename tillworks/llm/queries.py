@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import bpe_lexicon, quality_rules, secret_scan, token_files, warc
+from tillworks.llm import bpe_lexicon, dart_minhash, quality_rules, secret_scan, token_files, warc
 from tillworks.llm.common import table
 from tillworks.session import fresh_path
 
@@ -49,6 +49,10 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, files, out)
 
 
+def op9_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return dart_minhash.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op10_bpe_lexicon(spark: SparkSession, folder: str) -> DataFrame:
     docs, vocabulary = table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json")
     lexicon = fresh_path(spark, "lexicon")
@@ -71,7 +75,7 @@ FROM q
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_warc_index": op2_warc_index, "op10_bpe_lexicon": op10_bpe_lexicon, "op3_secret_scan": op3_secret_scan, "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
+    return {"op2_warc_index": op2_warc_index, "op9_dart_minhash": op9_dart_minhash, "op10_bpe_lexicon": op10_bpe_lexicon, "op3_secret_scan": op3_secret_scan, "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
