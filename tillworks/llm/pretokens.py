@@ -68,4 +68,7 @@ BYTE_LETTERS = _byte_letters()
 
 
 def in_byte_letters(piece: str) -> str:
+    word = piece[1:] if piece[:1] == " " else piece
+    if word.isascii() and word.isalnum():
+        return piece if word is piece else BYTE_LETTERS[0x20] + word
     return piece.encode().decode("latin-1").translate(BYTE_LETTERS)

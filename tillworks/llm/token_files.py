@@ -21,7 +21,9 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ TAIL = "<QQ8s"
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 2000, 16_000, 65_536
 LEVEL = 3
 #: Pieces whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
 _coders: dict = {}
 
@@ -58,7 +60,7 @@ class ByteCoder:
 
     def _piece_ids(self, piece: str) -> bytes:
         """A piece that the pattern would not split further: the library's merges alone."""
-        return np.array([t.id for t in self.model.tokenize(in_byte_letters(piece))], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(in_byte_letters(piece))]).tobytes()
 
     def _library_ids(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -84,20 +86,22 @@ def train(samples: list[bytes]) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES] or b"no tokens"
 
 
-def shared_dictionary(docs: DataFrame, vocabulary: str, end_id: int) -> bytes:
-    """Trained on the documents whose text hash is smallest: any rows, but the same each time."""
-    sample = (
-        docs.select(F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"))
-        .orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS).coalesce(1)
-    )
+def _learn(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -> Iterator[pa.RecordBatch]:
+    encode = coder(vocabulary, end_id).ids
+    samples = [encode(t) for _, texts in texts_of(batches) for t in texts]
+    yield pa.record_batch({"dictionary": pa.array([train(samples)], pa.binary())})
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = coder(vocabulary, end_id).ids
-        samples = [encode(t) for _, texts in texts_of(batches) for t in texts]
-        yield pa.record_batch({"dictionary": pa.array([train(samples)], pa.binary())})
 
-    rows = sample.mapInArrow(learn, "dictionary binary").collect()
-    return bytes(rows[0].dictionary) if rows else train([])
+def shared_dictionary(docs: DataFrame, vocabulary: str, end_id: int) -> bytes:
+    """Trained on the different texts whose hash is smallest: any texts, but the same each time."""
+    hashed = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    last = hashed.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    if last is None:
+        return train([])
+    sample = hashed.where(F.col("h") <= last).groupBy("h").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+    in_one_place = sample.orderBy("h").select("text").coalesce(1)  # SAMPLE_DOCS rows
+    rows = in_one_place.mapInArrow(partial(_learn, vocabulary=vocabulary, end_id=end_id), "dictionary binary").collect()
+    return bytes(rows[0].dictionary)
 
 
 def encoded(docs: DataFrame, vocabulary: str, end_id: int, dictionary: bytes) -> DataFrame:
