@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import bpe_lexicon, dart_minhash, quality_rules, secret_scan, token_files, warc
+from tillworks.llm import bpe_lexicon, dart_minhash, quality_rules, secret_scan, substring_dedup, token_files, warc
 from tillworks.llm.common import table
 from tillworks.session import fresh_path
 
@@ -20,6 +20,11 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept", "quality")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = substring_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_warc_index(spark: SparkSession, folder: str) -> DataFrame:
     """Archives are written and every page is looked up in them by its key."""
     out = fresh_path(spark, "warc")
@@ -75,7 +80,7 @@ FROM q
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_warc_index": op2_warc_index, "op9_dart_minhash": op9_dart_minhash, "op10_bpe_lexicon": op10_bpe_lexicon, "op3_secret_scan": op3_secret_scan, "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_warc_index": op2_warc_index, "op9_dart_minhash": op9_dart_minhash, "op10_bpe_lexicon": op10_bpe_lexicon, "op3_secret_scan": op3_secret_scan, "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
