@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import bpe_lexicon, dart_minhash, quality_rules, secret_scan, substring_dedup, token_files, warc
+from tillworks.llm import bpe_lexicon, dart_minhash, host_paths, quality_rules, secret_scan, substring_dedup, token_files, toxicity_fm, warc
 from tillworks.llm.common import table
 from tillworks.session import fresh_path
 
@@ -48,6 +48,15 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_host_paths(spark: SparkSession, folder: str) -> DataFrame:
+    texts = host_paths.main_texts(table(spark, folder, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op6_toxicity_fm(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_fm.scored(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     out = fresh_path(spark, "token-files")
     files = token_files.write(table(spark, folder, "documents"), out, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -80,7 +89,8 @@ FROM q
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_warc_index": op2_warc_index, "op9_dart_minhash": op9_dart_minhash, "op10_bpe_lexicon": op10_bpe_lexicon, "op3_secret_scan": op3_secret_scan, "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_warc_index": op2_warc_index, "op9_dart_minhash": op9_dart_minhash, "op10_bpe_lexicon": op10_bpe_lexicon, "op3_secret_scan": op3_secret_scan, "op5_host_paths": op5_host_paths, "op6_toxicity_fm": op6_toxicity_fm,
+        "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
