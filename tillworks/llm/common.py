@@ -5,6 +5,7 @@ from __future__ import annotations
 import mmap
 import os
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ WHITE = "\t\n\x0b\x0c\r "
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_GAP_SQL = r"[\x20\x09-\x0D]+"
 
+SHIPPED = "tillworks-package.zip"
 #: Rows in one Arrow batch. Texts may be long, so batches are kept short.
 BATCH_ROWS = 512
 
@@ -30,8 +32,14 @@ def words_of(text: str | None) -> list[str]:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Hand texts to Python a few hundred at a time, whatever their length."""
+    """Make ready for Python on the executors: this package goes along, and texts are handed over
+    a few hundred at a time, whatever their length."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    context = spark.sparkContext
+    if not any(f.rpartition("/")[2] == SHIPPED for f in context._python_includes):
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        archive = os.path.join(tempfile.mkdtemp(prefix="run-"), SHIPPED.removesuffix(".zip"))
+        context.addPyFile(shutil.make_archive(archive, "zip", root, "tillworks"))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
