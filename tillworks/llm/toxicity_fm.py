@@ -35,7 +35,9 @@ from tillworks.llm.pretokens import Memo
 
 BITS, FACTORS = 18, 4
 MOST_TOXIC, MOST_CLEAN = 3000, 6000
-EPOCHS, BATCH, RATE, DECAY, SEED = 6, 128, 0.08, 1e-4, 7
+EPOCHS, BATCH, RATE, DECAY, SEED = 5, 128, 0.05, 1e-4, 7
+#: Weight of every term at the start, and documents added to each term's counts.
+START, PRIOR_DOCS, NOISE = 0.3, 10, 0.8
 FOLDS = 5
 WORD = re.compile(r"\w+")
 #: Words at least so long also give their first letters as a term.
@@ -59,7 +61,11 @@ def terms(text: str) -> np.ndarray:
 
 @dataclass
 class Machine:
+    """``scale`` is how far the term's documents lean to either kind: the input of a term that is
+    present. Terms that are rare or lean nowhere hardly count, so none is learnt by heart."""
+
     bias: float
+    scale: np.ndarray
     weights: np.ndarray
     factors: np.ndarray
 
@@ -69,9 +75,10 @@ class Machine:
         filled = np.diff(np.r_[starts, len(places)]) > 0
         if filled.any():
             at = starts[filled]
-            v = self.factors[places]
+            x = self.scale[places]
+            v = self.factors[places] * x[:, None]
             sums = np.add.reduceat(v, at)
-            out[filled] += np.add.reduceat(self.weights[places], at) + (
+            out[filled] += np.add.reduceat(self.weights[places] * x, at) + (
                 (sums ** 2).sum(axis=1) - np.add.reduceat((v ** 2).sum(axis=1), at)) / 2
         return out
 
@@ -80,14 +87,22 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+def _lean(docs: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Logarithm of the ratio of a term's share in toxic and in clean documents, less what chance
+    may do: PRIOR_DOCS documents of the usual mixture are added, and NOISE is taken off."""
+    kinds = [[d for d, t in zip(docs, toxic) if t == kind] for kind in (1, 0)]
+    share = []
+    for of in kinds:
+        n = np.bincount(np.concatenate([np.empty(0, "i4"), *of]), minlength=1 << BITS)
+        share.append((n + PRIOR_DOCS * len(of) / len(docs)) / len(of))
+    ratio = np.log(share[0] / share[1])
+    return np.sign(ratio) * np.maximum(np.abs(ratio) - NOISE, 0)
+
+
 def train(docs: list[np.ndarray], toxic: np.ndarray) -> Machine:
     """AdaGrad on the logistic loss, a few documents at a time."""
     chance = np.random.default_rng(SEED)
-    machine = Machine(0.0, np.zeros(1 << BITS), chance.normal(0, 0.01, (1 << BITS, FACTORS)))
-    seen = np.zeros(1 << BITS, bool)
-    for d in docs:
-        seen[d] = True
-    machine.factors[~seen] = 0
+    machine = Machine(0.0, _lean(docs, toxic), np.full(1 << BITS, START), chance.normal(0, 0.01, (1 << BITS, FACTORS)))
     squares_w, squares_v, squares_b = np.full(1 << BITS, 1e-6), np.full((1 << BITS, FACTORS), 1e-6), 1e-6
     for _ in range(EPOCHS):
         order = chance.permutation(len(docs))
@@ -100,10 +115,11 @@ def train(docs: list[np.ndarray], toxic: np.ndarray) -> Machine:
             starts = np.r_[0, np.cumsum(sizes)[:-1]]
             error = (sigmoid(machine.log_odds(places, starts)) - toxic[some]) / len(some)
             each = np.repeat(error, sizes)
-            v = machine.factors[places]
-            slope = each[:, None] * (np.repeat(np.add.reduceat(v, starts), sizes, axis=0) - v)
+            x = machine.scale[places]
+            v = machine.factors[places] * x[:, None]
+            slope = (each * x)[:, None] * (np.repeat(np.add.reduceat(v, starts), sizes, axis=0) - v)
             used, back = np.unique(places, return_inverse=True)
-            grad_w = np.bincount(back, each, len(used)) + DECAY * machine.weights[used]
+            grad_w = np.bincount(back, each * x, len(used)) + DECAY * (machine.weights[used] - START)
             grad_v = np.stack([np.bincount(back, slope[:, f], len(used)) for f in range(FACTORS)], axis=1) + DECAY * machine.factors[used]
             squares_w[used] += grad_w ** 2
             squares_v[used] += grad_v ** 2
@@ -143,7 +159,7 @@ def learned(docs: DataFrame, labels: DataFrame) -> Machine:
     found, toxic = [found[i] for i in order], toxic[order]
     prior = log((n.get(1, 0) + 0.5) / (n.get(0, 0) + 0.5))
     if not 0 < toxic.sum() < len(toxic):
-        return Machine(prior, np.zeros(1 << BITS), np.zeros((1 << BITS, FACTORS)))
+        return Machine(prior, np.zeros(1 << BITS), np.zeros(1 << BITS), np.zeros((1 << BITS, FACTORS)))
     machine = train(found, toxic)
     machine.bias += prior - log(toxic.sum() / (len(toxic) - toxic.sum()))
     return machine
@@ -164,6 +180,6 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     short_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     fm = learned(docs, labels.select("doc_id", "toxic"))
-    fm.weights, fm.factors = fm.weights.astype("f4"), fm.factors.astype("f4")
+    fm.scale, fm.weights, fm.factors = fm.scale.astype("f4"), fm.weights.astype("f4"), fm.factors.astype("f4")
     out = docs.mapInArrow(partial(_score, machine=spark.sparkContext.broadcast(fm)), "doc_id long, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
