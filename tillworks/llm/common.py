@@ -27,8 +27,16 @@ SHIPPED = "tillworks-package.zip"
 BATCH_ROWS = 512
 
 
+#: What str.split() would split at besides: words keep these.
+OTHER_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in WHITE]
+
+
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text) if text else []
+    if not text:
+        return []
+    if any(map(text.__contains__, OTHER_WHITE)):
+        return WORD.findall(text)
+    return text.split()
 
 
 def short_batches(spark: SparkSession) -> None:

@@ -6,7 +6,7 @@ start). Windows are judged on the input, not on what is left of it.
 
 The minimiser of a window is the smallest hash of ``MER`` words inside it. Neighbouring windows
 mostly share theirs, so they travel together as one string of words to the bucket of the
-minimiser, about three words for each word of text instead of twenty. Equal windows have equal
+minimiser, a few words for each word of text instead of twenty. Equal windows have equal
 minimisers and meet in one bucket, where sorting brings them together word for word.
 
 Before the strings travel, the minimisers alone are counted: a window whose minimiser stands once
@@ -33,14 +33,15 @@ from operator import itemgetter
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import NewFile, batch, mapped, short_batches, stored, texts_of, words_of
+from tillworks.llm.common import NewFile, batch, open_store, read_file, short_batches, stored, texts_of, words_of
 from tillworks.llm.pretokens import Memo
 from tillworks.session import fresh_path
 
-WINDOW, MER = 20, 4
+WINDOW, MER = 20, 6
 HOT_SHARE = 2000
 #: Bits of the map of repeated minimisers, as a power of two.
 MAP_BITS = 27
@@ -58,7 +59,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_STEPS = _mixed(np.arange(1, MER + 1, dtype="u8"))
+#: One odd factor for each word of a mer; the words' hashes are mixed already.
+_FACTORS = _mixed(np.arange(1, MER + 1, dtype="u8")) | _U(1)
 
 
 def super_kmers(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -70,7 +72,7 @@ def super_kmers(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     hashes = np.frombuffer(b"".join(map(_memo.__getitem__, words)), ">u8").astype("u8")
     mers = np.zeros(len(words) - MER + 1, "u8")
     for i in range(MER):
-        mers += _mixed(hashes[i:i + len(mers)] ^ _STEPS[i])
+        mers += hashes[i:i + len(mers)] * _FACTORS[i]
     least = mers = _mixed(mers)
     width, span = 1, WINDOW - MER + 1
     while width < span:  # minima over doubled widths, the last step overlapping
@@ -102,7 +104,7 @@ def _send(batches: Iterator[pa.RecordBatch], bits: str, hot: frozenset[int]) ->
 
     ``start`` and ``stop`` are words: a string covers them, a repeated place is removed.
     """
-    repeated = np.frombuffer(mapped(bits), "u1")
+    repeated = _read_map(bits)
     sent: dict[bytes, tuple[int, int]] = {}
     for rows, texts in texts_of(batches, 2):
         out: list[tuple] = []
@@ -206,17 +208,48 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(PLACES, *map(list, zip(*out)))
 
 
-def _bit_map(counts: DataFrame, uri: str) -> None:
+#: The map is kept in so many files of equal length; one without a bit isn't written.
+MAP_FILES = 16
+FILE_BYTES = (1 << MAP_BITS) // 8 // MAP_FILES
+
+
+def _write_map(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """Rows (file, at, bits) come in the order of the files."""
+    now, bits = None, np.zeros(0, "<i8")
+
+    def close() -> None:
+        if now is not None:
+            out = NewFile(f"{folder}/{now}")
+            out.write(bits.tobytes())
+            out.close()
+
+    for rows in batches:
+        file, at, value = (c.to_numpy() for c in rows.columns)
+        for f in np.unique(file):
+            if f != now:
+                close()
+                now, bits = int(f), np.zeros(FILE_BYTES // 8, "<i8")
+            bits[at[file == f] % (FILE_BYTES // 8)] = value[file == f]
+        yield pa.record_batch({"n": pa.array([rows.num_rows], pa.int64())})
+    close()
+
+
+def _bit_map(counts: DataFrame, folder: str) -> None:
     """Write the map of repeated minimisers. It has ``2 ** MAP_BITS`` bits at any size of corpus."""
     place = F.col("bucket").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
     one = F.expr("shiftleft(1L, cast(bucket & 63 AS int))")
     parts = counts.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(one).alias("bits"))
-    bits = np.zeros(1 << (MAP_BITS - 6), "<i8")
-    found = parts.toPandas()
-    bits[found["at"].to_numpy()] = found["bits"].to_numpy()
-    out = NewFile(uri)
-    out.write(bits.tobytes())
-    out.close()
+    filed = parts.select((F.col("at") / (FILE_BYTES // 8)).cast("int").alias("file"), "at", "bits")
+    filed.repartition("file").sortWithinPartitions("file").mapInArrow(partial(_write_map, folder=folder), "n long").agg(F.sum("n")).collect()
+
+
+def _read_map(folder: str) -> np.ndarray:
+    store, path = open_store(folder)
+    bits = np.zeros(FILE_BYTES * MAP_FILES, "u1")
+    for i in range(MAP_FILES):
+        if store.get_file_info(f"{path}/{i}").type == fs.FileType.File:
+            bits[i * FILE_BYTES:(i + 1) * FILE_BYTES] = np.frombuffer(read_file(f"{folder}/{i}"), "u1")
+    return bits
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
@@ -241,13 +274,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, texts in texts_of(batches, 1):
         out = []
         for doc_id, text, places in zip(rows.column(0).to_pylist(), texts, rows.column(2).to_pylist()):
-            words = words_of(text)
-            gone = np.zeros(len(words) + 1, "i4")
-            for p in places or ():
-                gone[p["start"]] += 1
-                gone[p["stop"]] -= 1
-            gone = np.cumsum(gone)[:-1] > 0
-            kept = [w for w, g in zip(words, gone) if not g] if places else words
+            kept = words = words_of(text)
+            if places:
+                gone = np.zeros(len(words) + 1, "i4")
+                for p in places:
+                    gone[p["start"]] += 1
+                    gone[p["stop"]] -= 1
+                kept = [w for w, g in zip(words, np.cumsum(gone).tolist()) if not g]
             out.append((doc_id, len(words), len(words) - len(kept), " ".join(kept)))
         if out:
             yield batch(KEPT, *map(list, zip(*out)))
