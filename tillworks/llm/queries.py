@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import bpe_lexicon, dart_minhash, host_paths, quality_rules, secret_scan, substring_dedup, token_files, toxicity_fm, warc
+from tillworks.llm import bpe_lexicon, dart_minhash, host_paths, quality_rules, secret_scan, substring_dedup, template_leaks, token_files, toxicity_fm, warc
 from tillworks.llm.common import table
 from tillworks.session import fresh_path
 
@@ -48,6 +48,11 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_template_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    found = template_leaks.leaks(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "share", "slot_share").distinct()
+
+
 def op5_host_paths(spark: SparkSession, folder: str) -> DataFrame:
     texts = host_paths.main_texts(table(spark, folder, "pages"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
@@ -89,7 +94,7 @@ FROM q
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_warc_index": op2_warc_index, "op9_dart_minhash": op9_dart_minhash, "op10_bpe_lexicon": op10_bpe_lexicon, "op3_secret_scan": op3_secret_scan, "op5_host_paths": op5_host_paths, "op6_toxicity_fm": op6_toxicity_fm,
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_warc_index": op2_warc_index, "op9_dart_minhash": op9_dart_minhash, "op10_bpe_lexicon": op10_bpe_lexicon, "op3_secret_scan": op3_secret_scan, "op4_template_leaks": op4_template_leaks, "op5_host_paths": op5_host_paths, "op6_toxicity_fm": op6_toxicity_fm,
         "op7_token_files": op7_token_files, "op8_quality_rules": op8_quality_rules}
 
 
