@@ -62,6 +62,13 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def numbered(frame: DataFrame, column: str) -> tuple[DataFrame, str, list[str]]:
+    """The frame under column names that clash with nothing, the new name of ``column``, and the
+    old names in order."""
+    names = [f"_{i}" for i in range(len(frame.columns))]
+    return frame.toDF(*names), names[frame.columns.index(column)], frame.columns
+
+
 def word_array(text: Column) -> Column:
     """The words of a text as an array; null and blank texts have none."""
     parts = F.split(F.coalesce(text, F.lit("")), WORD_GAP_SQL)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import short_batches, stored, texts_of, words_of
+from tillworks.llm.common import numbered, short_batches, stored, texts_of, words_of
 from tillworks.llm.pretokens import Memo
 
 SHINGLE = 5
@@ -243,21 +243,43 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, n_copies, n_texts): the class of every row, how many rows share its text,
-    and how many different texts its class has."""
+def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every row's (doc_id, node), nodes without words set apart by ``worded``; and the members of
+    the classes: (node, first_id, n_copies, label, class_id, keeper, n_texts), keeper being the
+    node that holds the class's smallest doc_id."""
     short_batches(docs.sparkSession)
     docs = with_node(docs)
     signed = stored(docs.mapInArrow(_sign, "doc_id long, node binary, bands array<long>"), "signed")
-    worded = signed.where(F.size("bands") > 0)
-    nodes = stored(worded.groupBy("node").agg(
+    rows = signed.select("doc_id", "node", (F.size("bands") > 0).alias("worded"))
+    nodes = stored(signed.where(F.size("bands") > 0).groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.any_value("bands").alias("bands")), "nodes")
     _, labels = links(docs, nodes)
     flat = nodes.select("node", "first_id", "n_copies")
     labelled = flat.withColumn("label", F.col("node")) if labels is None else flat.join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
-    classes = labelled.groupBy("label").agg(F.min("first_id").alias("class_id"), F.count(F.lit(1)).alias("n_texts"))
-    members = labelled.join(classes, "label").select("node", "class_id", "n_copies", "n_texts")
-    blank = signed.where(F.size("bands") == 0).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(1).cast("long").alias("n_texts"))
-    return worded.select("doc_id", "node").join(members, "node").select("doc_id", "class_id", "n_copies", "n_texts").union(blank)
+    first = F.min(F.struct(F.col("first_id").isNull(), "first_id", "node"))
+    found = labelled.groupBy("label").agg(first["first_id"].alias("class_id"), first["node"].alias("keeper"), F.count(F.lit(1)).alias("n_texts"))
+    return rows, labelled.join(found, "label")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, n_copies, n_texts): the class of every row, how many rows share its text,
+    and how many different texts its class has."""
+    rows, members = classes(docs)
+    one = F.lit(1).cast("long")
+    blank = rows.where("NOT worded").select("doc_id", F.col("doc_id").alias("class_id"), one.alias("n_copies"), one.alias("n_texts"))
+    return rows.where("worded").join(members, "node").select("doc_id", "class_id", "n_copies", "n_texts").union(blank)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each class the row with the smallest doc_id
+    (of repeated rows one); rows without words all stay."""
+    _, members = classes(docs.select("doc_id", "text"))
+    keepers = members.where("node = keeper").select("node", "first_id")
+    rows, at, names = numbered(docs, "text")
+    doc_id = rows.columns[names.index("doc_id")]
+    marked = rows.withColumn("node", F.unhex(F.md5(F.coalesce(at, F.lit("")))))
+    blank = ~F.coalesce(at, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = marked.where(~blank).join(keepers, "node").where(F.col(doc_id).eqNullSafe(F.col("first_id")))
+    single = kept.groupBy("node").agg(F.any_value(F.struct(*rows.columns)).alias("r")).select("r.*")
+    return single.union(marked.where(blank).select(rows.columns)).toDF(*names)

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import stored, word_array
+from tillworks.llm.common import numbered, stored, word_array
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -177,10 +177,10 @@ def _shares(m) -> dict[str, Column]:
     }
 
 
-def measured(docs: DataFrame, text: str = "text") -> DataFrame:
+def measured(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
     """The rows with their counts, the base verdict and every rule's vote in ``votes``."""
     names = {n.lower() for n in [*MEASURES, "base_failed", "votes", "_m"]}
-    carried = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in names]
+    carried = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in names and (keep_text or c != text)]
     m = lambda name: F.col("_m")[name]
     shares = _shares(m)
     failed = (m("n_words") < MIN_WORDS) | (100 * m("n_repeat_words") > 50 * m("n_words"))
@@ -257,12 +257,13 @@ def fit(patterns: DataFrame, iterations: int = ITERATIONS) -> Fit:
     return now
 
 
-def judged(docs: DataFrame, text: str = "text", iterations: int = ITERATIONS) -> DataFrame:
+def judged(docs: DataFrame, text: str = "text", iterations: int = ITERATIONS, keep_text: bool = True) -> DataFrame:
     """The rows with counts, ``base_failed``, ``quality`` (posterior, 0 to 1) and ``kept``.
 
-    What ``docs`` carries is written once to the shared folder, so hand in the columns you need.
+    What ``docs`` carries is written once to the shared folder, so hand in the columns you need;
+    without ``keep_text`` the text itself is left out.
     """
-    rated = stored(measured(docs, text), "quality")
+    rated = stored(measured(docs, text, keep_text), "quality")
     patterns = stored(rated.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).coalesce(1), "quality-votes")
     found = fit(patterns, iterations)
     quality = _posterior(F.col("votes"), found.prior, found.chance)
@@ -272,6 +273,5 @@ def judged(docs: DataFrame, text: str = "text", iterations: int = ITERATIONS) ->
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows judged good, with the columns of ``docs`` unchanged."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    kept = judged(packed, "_text").where("kept")
-    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    rows, at, names = numbered(docs, text)
+    return judged(rows, at).where("kept").select(rows.columns).toDF(*names)

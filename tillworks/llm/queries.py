@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    rated = quality_rules.judged(table(spark, folder, "documents").select("doc_id", "text"))
+    rated = quality_rules.judged(table(spark, folder, "documents").select("doc_id", "text"), keep_text=False)
     return rated.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept", "quality")
 
 

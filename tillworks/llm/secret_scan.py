@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.llm.common import short_batches, texts_of
+from tillworks.llm.common import numbered, short_batches, texts_of
 from tillworks.llm.word_counts import frequent_words
 
 # The base patterns of the scan.
@@ -194,20 +194,19 @@ MARK = "[SECRET]"
 
 
 def without_secrets(docs: DataFrame, text: str = "text", mark: str = MARK) -> DataFrame:
-    """The rows with every span replaced by a mark; a null text stays null. Spans that overlap or
-    touch become one mark."""
-    scanned = scan(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text")), "_text")
-
+    """The rows with every span replaced by a mark; a null text stays null. Spans that overlap
+    become one mark."""
+    rows, at, names = numbered(docs, text)
+    scanned = scan(rows, at)
     # State: the text so far, and where the part not yet copied begins.
-    ends = F.aggregate(
+    clean = F.aggregate(
         "spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda s, x: F.struct(
             F.when(x["start"] >= s["at"], F.concat(
-                s["out"], F.substr(F.col("_text"), (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")), F.lit(mark),
+                s["out"], F.substr(F.col(at), (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")), F.lit(mark),
             )).otherwise(s["out"]).alias("out"),
             F.greatest(s["at"], x["end"]).alias("at"),
         ),
-        lambda s: F.concat(s["out"], F.substr(F.col("_text"), (s["at"] + 1).cast("int"))),
+        lambda s: F.concat(s["out"], F.substr(F.col(at), (s["at"] + 1).cast("int"))),
     )
-    clean = F.when(F.size("spans") > 0, ends).otherwise(F.col("_text"))
-    return scanned.select(*[(clean if c == text else F.col("_row")[c]).alias(c) for c in docs.columns])
+    return scanned.withColumn(at, F.when(F.size("spans") > 0, clean).otherwise(F.col(at))).drop("spans").toDF(*names)
