@@ -18,6 +18,7 @@ adds replace columns of the same name.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +60,8 @@ RULES = (
 
 MIN_WORDS = 50
 KEEP_FROM = 0.5
-ITERATIONS = 25
+#: The fit ends after so many rounds, or once the share of good documents moves less than this.
+ITERATIONS, SETTLED = 25, 1e-6
 
 
 def bound(value: Column, use) -> Column:
@@ -190,17 +192,16 @@ def measured(docs: DataFrame, text: str = "text", keep_text: bool = True) -> Dat
     )
 
 
-def _log_odds(votes: Column, prior: float, chance: list[dict[int, tuple[float, float]]]) -> Column:
-    """ln P(good | votes) - ln P(bad | votes), the rules taken as independent."""
-    total = F.ln(F.lit(prior)) - F.ln(F.lit(1 - prior))
-    for j, of in enumerate(chance):
-        weight = {v: F.ln(F.lit(good)) - F.ln(F.lit(bad)) for v, (good, bad) in of.items()}
-        total = total + F.when(votes[j] == GOOD, weight[GOOD]).when(votes[j] == BAD, weight[BAD]).otherwise(weight[ABSTAIN])
-    return total
-
-
 def _posterior(votes: Column, prior: float, chance: list[dict[int, tuple[float, float]]]) -> Column:
-    return 1 / (1 + F.exp(-_log_odds(votes, prior, chance)))
+    """P(good | votes), the rules taken as independent.
+
+    The numbers are one array, so the code that Spark generates is the same in every iteration and
+    compiled once.
+    """
+    weights = [log(of[v][0]) - log(of[v][1]) for of in chance for v in (BAD, ABSTAIN, GOOD)]
+    numbers = F.array(*map(F.lit, [*weights, log(prior) - log(1 - prior)]))
+    parts = F.transform(votes, lambda v, j: F.get(numbers, j * 3 + v + 1))
+    return 1 / (1 + F.exp(-F.aggregate(parts, F.get(numbers, F.lit(len(weights))), lambda total, x: total + x)))
 
 
 @dataclass(frozen=True)
@@ -229,28 +230,28 @@ START = Fit(0.8, [{GOOD: (0.85, 0.60), ABSTAIN: (0.149, 0.15), BAD: (0.001, 0.25
 
 
 def fit(patterns: DataFrame, iterations: int = ITERATIONS) -> Fit:
-    """EM over the table of vote combinations (``votes``, ``n``); one row comes back each time."""
+    """EM over the table of vote combinations (``votes``, ``n``)."""
     now = START
+    one_task = patterns.coalesce(1)  # at most 3 ** rules rows
     for _ in range(iterations):
         good = _posterior(F.col("votes"), now.prior, now.chance)
-        weighed = patterns.select("votes", (F.col("n") * good).alias("g"), (F.col("n") * (1 - good)).alias("b"))
-        sums = [F.sum("g").alias("g"), F.sum("b").alias("b")]
-        for j in range(len(RULES)):
-            for v in (GOOD, ABSTAIN, BAD):
-                hit = F.col("votes")[j] == v
-                sums += [F.sum(F.when(hit, F.col(k)).otherwise(0.0)).alias(f"{k}{j}_{v}") for k in "gb"]
-        row = weighed.agg(*sums).first()
-        if not row["g"] and not row["b"]:
+        each = one_task.select("n", good.alias("p"), F.posexplode("votes").alias("j", "v"))
+        sums = each.groupBy("j", "v").agg(F.sum(F.col("n") * F.col("p")).alias("g"), F.sum(F.col("n") * (1 - F.col("p"))).alias("b"))
+        found = {(r.j, r.v): (r.g, r.b) for r in sums.collect()}  # a row for each rule and vote
+        if not found:
             return now
-        # One pseudo-count for the start keeps every chance above nought.
-        share = lambda k, j, v: min(
-            (row[f"{k}{j}_{v}"] + START.chance[j][v]["gb".index(k)]) / (row[k] + 1),
-            FALSE_ALARM if (k, v) == ("g", BAD) else 1.0)
+        total = [sum(found.get((0, v), (0, 0))[k] for v in (GOOD, ABSTAIN, BAD)) for k in (0, 1)]
+
+        def share(k: int, j: int, v: int) -> float:
+            # One pseudo-count for the start keeps every chance above nought.
+            chance = (found.get((j, v), (0, 0))[k] + START.chance[j][v][k]) / (total[k] + 1)
+            return min(chance, FALSE_ALARM) if (k, v) == (0, BAD) else chance
+
         after = Fit(
-            (row["g"] + START.prior) / (row["g"] + row["b"] + 1),
-            [{v: (share("g", j, v), share("b", j, v)) for v in (GOOD, ABSTAIN, BAD)} for j in range(len(RULES))],
+            (total[0] + START.prior) / (sum(total) + 1),
+            [{v: (share(0, j, v), share(1, j, v)) for v in (GOOD, ABSTAIN, BAD)} for j in range(len(RULES))],
         )
-        settled = abs(after.prior - now.prior) < 1e-9
+        settled = abs(after.prior - now.prior) < SETTLED
         now = after
         if settled:
             break
