@@ -8,11 +8,13 @@ dart of each coordinate. Two documents agree in a coordinate with the probabilit
 likeness, and the work is one dart for most regions, not one for each pair of region and
 coordinate.
 
-Bands of the signature are joined on their hashes. Inside a bucket no pairs are listed: every text
-is compared with one leader, likenesses are computed exactly, links merge texts into classes, and
-the next round takes other leaders among what is still apart. When a round finds no more links,
-what remains apart inside a bucket is compared class by class, so no link that the bands bring
-together is left out. A pair of likeness 0.8 shares no band with a probability of 3e-6.
+Bands of the signature are joined on their hashes. Inside a bucket every text is first held
+against one leader; links merge texts into classes, and most buckets are one class then. What
+stays apart in a bucket is held against its other classes, in tiles of bounded size, so no link
+that the bands bring together is left out. Signatures (a byte for each coordinate) sort out what
+is far from alike: below ``NEAR`` of agreeing coordinates, five standard errors under the limit.
+The likeness of what remains is computed exactly from the texts. A pair of likeness 0.8 shares no
+band with a probability of 3e-6.
 
 Equal texts are one node from the start, however many there are.
 
@@ -43,8 +45,8 @@ DARTS = BANDS * ROWS
 #: Darts that a document is thrown at first: enough to hit every coordinate but seldom.
 THROWN = DARTS * np.log(DARTS) + 2 * DARTS
 REMEMBERED = 200_000
-#: Rounds of leaders before what is left is compared class by class.
-MOST_ROUNDS = 8
+#: Share of agreeing coordinates from which texts are compared, and texts in a tile's two sides.
+NEAR, TILE, SMALL_TILE = 0.65, 256, 64
 
 _U = np.uint64
 
@@ -57,6 +59,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 _STEPS = mixed(np.arange(1, 65, dtype="u8"))
+#: One odd factor for each word of a shingle; the words' hashes are mixed already.
+_FACTORS = _STEPS[:SHINGLE] | _U(1)
 _memo = Memo(xxhash.xxh3_64_digest, REMEMBERED)
 
 
@@ -69,7 +73,7 @@ def regions(text: str) -> np.ndarray:
     n = max(1, len(words) - SHINGLE + 1)
     sums = np.zeros(n, "u8")
     for i in range(min(SHINGLE, len(words))):
-        sums += mixed(hashes[i:i + n] ^ _STEPS[i])
+        sums += hashes[i:i + n] * _FACTORS[i]
     shingles = np.sort(mixed(sums))
     first = np.r_[True, shingles[1:] != shingles[:-1]]
     if first.all():
@@ -120,15 +124,22 @@ def band_hashes(found: np.ndarray) -> np.ndarray:
     return mixed(sums ^ _STEPS[:BANDS]).view("i8")
 
 
+def bytes_of(found: np.ndarray) -> np.ndarray:
+    """A byte for every coordinate."""
+    return (mixed(found.view("u8")) >> _U(56)).astype("u1")
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, texts in texts_of(batches, 1):
         of = [regions(t) for t in texts]
         has = np.array([len(r) > 0 for r in of], bool)
-        bands = band_hashes(signatures([r for r in of if len(r)])).reshape(-1)
+        found = signatures([r for r in of if len(r)])
+        bands, sketch = band_hashes(found).reshape(-1), iter(bytes_of(found))
         offsets = np.concatenate([[0], np.cumsum(has * BANDS)]).astype("i4")
         yield pa.RecordBatch.from_arrays(
-            [rows.column(0), rows.column(2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands))],
-            names=["doc_id", "node", "bands"])
+            [rows.column(0), rows.column(2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands)),
+             pa.array([next(sketch).tobytes() if h else None for h in has], pa.binary())],
+            names=["doc_id", "node", "bands", "sketch"])
 
 
 def with_node(docs: DataFrame) -> DataFrame:
@@ -187,60 +198,70 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _apart(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(bucket, node, label) of the buckets whose nodes aren't all in one class."""
-    if labels is None:
-        rows = buckets.withColumn("label", F.col("node"))
-    else:
-        rows = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed_buckets = rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("bucket")
-    return rows.join(mixed_buckets, "bucket", "left_semi").select("bucket", "node", "label")
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the texts on a tile's two sides (lists ``a`` and ``b``) the pairs of different classes
+    whose sketches are near, smaller node first."""
+    least = int(np.ceil(NEAR * DARTS))
+    for rows in batches:
+        found: set[tuple[bytes, bytes]] = set()
+        for left, right in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+            x, y = (np.frombuffer(b"".join([r["sketch"] for r in side]), "u1").reshape(-1, DARTS) for side in (left, right))
+            for i, j in zip(*np.nonzero((x[:, None, :] == y[None, :, :]).sum(axis=2) >= least)):
+                if left[i]["label"] != right[j]["label"]:
+                    found.add(tuple(sorted((left[i]["node"], right[j]["node"]))))
+        pairs = list(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], names=["a", "b"])
+
+
+def _tiles(rows: DataFrame, size: int, name: str) -> DataFrame:
+    """Rows (bucket, n, node, label, sketch) in lists of about ``size``; n is the rows of the bucket."""
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / size))
+    return rows.groupBy("bucket", part.alias("part")).agg(F.collect_list(F.struct("node", "label", "sketch")).alias(name)).drop("part")
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Links found between nodes that stood apart, and (node, label) of the classes they make."""
+def _near_leaders(apart: DataFrame) -> DataFrame:
+    """Pairs of a bucket's leader and its other texts."""
+    leaders = apart.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node").alias("h"), "node", "label", "sketch")).alias("l")).where("n > 1")
+    one = F.array(F.struct(F.col("l.node").alias("node"), F.col("l.label").alias("label"), F.col("l.sketch").alias("sketch")))
+    tiles = _tiles(apart.join(leaders.select("bucket", "n"), "bucket"), TILE, "b")
+    return tiles.join(leaders.select("bucket", one.alias("a")), "bucket").select("a", "b").mapInArrow(_meet, "a binary, b binary")
+
+
+def _near_rest(apart: DataFrame) -> DataFrame:
+    """Pairs of texts of different classes in one bucket: those outside its largest class against
+    all others."""
+    sizes = apart.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("m")).where("m.n < n").select("bucket", "n", F.col("m.label").alias("main"))
+    rows = apart.join(largest, "bucket")
+    few = _tiles(rows.where("label != main"), SMALL_TILE, "a")
+    return few.join(_tiles(rows, TILE, "b"), "bucket").select("a", "b").mapInArrow(_meet, "a binary, b binary")
+
+
+def links(docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b, likeness) found, and (node, label) of the classes they make."""
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    # Buckets with one node are most of all; they leave before anything is joined.
-    apart = stored(_apart(buckets, None), "apart")
-    wanted = apart.select("node").distinct()
-    texts = stored(
-        docs.join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")), "texts")
-    found, labels, tested, grew = [], None, None, True
-    for turn in range(MOST_ROUNDS + 1):
-        if apart.isEmpty():
-            break
-        last = turn == MOST_ROUNDS or (turn > 1 and not grew)
-        if last:
-            other = apart.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
-            pairs = apart.withColumnRenamed("node", "a").join(other, "bucket").where(F.col("label") < F.col("label_b"))
-        else:
-            order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")
-            leaders = apart.groupBy("bucket").agg(F.min(order).alias("l")).select(
-                "bucket", F.col("l.node").alias("leader"), F.col("l.label").alias("its"))
-            pairs = apart.join(leaders, "bucket").where("label != its").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        new = stored(alike(pairs, texts), "alike")
-        found.append(new)
-        grew = not new.isEmpty()
-        if last:
-            if grew:
-                labels = components(_all(found))
-            break
-        tested = pairs if tested is None else tested.union(pairs)
-        if grew:
-            labels = components(_all(found))
-            apart = stored(_apart(apart.select("bucket", "node"), labels), "apart")
-    return (_all(found) if found else None), labels
-
-
-def _all(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.union(f)
-    return out
+    # Most buckets hold one node and leave before anything heavier is joined.
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    met = buckets.join(shared, "bucket", "left_semi").join(nodes.select("node", "sketch"), "node")
+    apart = stored(met.withColumn("label", F.col("node")), "apart")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs.distinct(), "pairs")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        texts = docs.join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text"))
+        return stored(alike(pairs, stored(texts, "texts")), "alike")
+
+    found = compared(_near_leaders(apart))
+    labels = components(found)
+    relabelled = apart.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rest = compared(_near_rest(relabelled))
+    if not rest.isEmpty():
+        found = found.union(rest)
+        labels = components(found)
+    return found, labels
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -249,14 +270,13 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     node that holds the class's smallest doc_id."""
     short_batches(docs.sparkSession)
     docs = with_node(docs)
-    signed = stored(docs.mapInArrow(_sign, "doc_id long, node binary, bands array<long>"), "signed")
+    signed = stored(docs.mapInArrow(_sign, "doc_id long, node binary, bands array<long>, sketch binary"), "signed")
     rows = signed.select("doc_id", "node", (F.size("bands") > 0).alias("worded"))
     nodes = stored(signed.where(F.size("bands") > 0).groupBy("node").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.any_value("bands").alias("bands")), "nodes")
+        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")), "nodes")
     _, labels = links(docs, nodes)
     flat = nodes.select("node", "first_id", "n_copies")
-    labelled = flat.withColumn("label", F.col("node")) if labels is None else flat.join(labels, "node", "left").withColumn(
-        "label", F.coalesce("label", "node"))
+    labelled = flat.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = F.min(F.struct(F.col("first_id").isNull(), "first_id", "node"))
     found = labelled.groupBy("label").agg(first["first_id"].alias("class_id"), first["node"].alias("keeper"), F.count(F.lit(1)).alias("n_texts"))
     return rows, labelled.join(found, "label")
