@@ -39,10 +39,13 @@ INLINE = {
     "a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
     "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
 }
-CONTAINERS = {"html", "body", "main", "article", "section", "div", "td", "center"}
+#: Elements that pages may leave out; they are no part of a path.
+ROOTS = {"html", "body"}
+CONTAINERS = {"main", "article", "section", "div", "td", "center"}
 #: An element that begins ends an open one of these, up to the nearest container.
 ENDS = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"},
         "th": {"td", "th", "p"}, "option": {"option"}}
+LISTS = {"ul", "ol", "dl", "table"}
 #: Words in a class, id or role that mark menus, notices, adverts, comments and the like.
 NOISE = {
     "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
@@ -123,7 +126,7 @@ class Page:
                 self._text(" ")
             return
         label, noise = _label(tag, attributes)
-        noise = noise and tag not in {"html", "body"} or tag in APART
+        noise = noise and tag not in ROOTS or tag in APART
         if tag not in INLINE:
             self._close_block()
             self._imply_ends(ENDS.get(tag, {"p"}))
@@ -149,7 +152,7 @@ class Page:
     def _imply_ends(self, tags: set[str]) -> None:
         for i in range(len(self._open) - 1, -1, -1):
             tag = self._open[i][0]
-            if tag in CONTAINERS or tag in APART or tag in {"ul", "ol", "dl", "table"}:
+            if tag in CONTAINERS | ROOTS | APART | LISTS:
                 return
             if tag in tags:
                 while len(self._open) > i:
