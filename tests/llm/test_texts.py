@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from llm.edge import LONG, ODD, documents, prose
-from tillworks.llm import quality_rules, secret_scan, substring_dedup, toxicity_fm
+from tillworks.llm import quality_rules, secret_scan, substring_dedup, toxicity_fm, word_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SF = "/root/testdata/sf0.001"
@@ -190,3 +190,11 @@ def test_pairs_count_beyond_single_terms():
     assert (((fm.log_odds(np.concatenate(docs), starts) > 0) == np.array(toxic)).mean()) > 0.97
 
 
+
+
+def test_frequent_words(spark):
+    rows = [(1, "bb aaa aaa bb bb ccc ccc ddd ddd eee"), (2, None), (3, "aaa")]
+    counted = lambda most: word_counts.frequent_words(documents(spark, *rows), str.split, most)
+    assert counted(10) == [("aaa", 3), ("bb", 3), ("ccc", 2), ("ddd", 2)]
+    assert counted(3) == [("aaa", 3), ("bb", 3)]  # both words of the next count don't fit
+    assert counted(1) == [] == word_counts.frequent_words(documents(spark, *rows).limit(0), str.split, 5)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import short_batches, texts_of
+from tillworks.llm.common import short_batches, stored, texts_of
 
 SCHEMA = pa.schema([("word", pa.string()), ("n", pa.int64())])
 #: Different words a task gathers before it hands their counts on.
@@ -36,9 +36,23 @@ def _rows(seen: Counter) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(docs: DataFrame, split, most: int, text: str = "text") -> list[tuple[str, int]]:
-    """The ``most`` words that occur most often and at least twice, with their counts over all
-    documents; ties go to the smaller word. ``split`` is a function of a module."""
+    """The most frequent words with their counts over all documents, in order; ties by word.
+
+    It is as many counts as give no more than ``most`` words; a count whose words don't all fit is
+    left out, and so are words that occur once. Only that many rows reach the driver, however
+    many partitions the counts are in. ``split`` is a function of a module.
+    """
     short_batches(docs.sparkSession)
     counts = docs.select(text).mapInArrow(partial(_counts, split=split), "word string, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most)
-    return [(r.word, r.n) for r in top.collect()]
+    counts = stored(counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
+    # Every count has a word, so the highest ``most`` counts are enough to look at.
+    heights = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(most)
+    taken, least = 0, None
+    for r in heights.collect():
+        taken += r.words
+        if taken > most:
+            break
+        least = r.n
+    if least is None:
+        return []
+    return sorted(((r.word, r.n) for r in counts.where(F.col("n") >= least).collect()), key=lambda x: (-x[1], x[0]))
