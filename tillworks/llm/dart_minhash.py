@@ -45,6 +45,8 @@ DARTS = BANDS * ROWS
 #: Darts that a document is thrown at first: enough to hit every coordinate but seldom.
 THROWN = DARTS * np.log(DARTS) + 2 * DARTS
 REMEMBERED = 200_000
+#: Nodes (of 16 bytes) in a list that goes to every task.
+MOST_LISTED = 500_000
 #: Share of agreeing coordinates from which texts are compared, and texts in a tile's two sides.
 NEAR, TILE, SMALL_TILE = 0.65, 256, 64
 
@@ -221,9 +223,10 @@ def _tiles(rows: DataFrame, size: int, name: str) -> DataFrame:
 
 
 def _near_leaders(apart: DataFrame) -> DataFrame:
-    """Pairs of a bucket's leader and its other texts."""
+    """Pairs of a bucket's leader and its other texts. Every bucket picks its leader anew, so a text
+    meets as many leaders as it has buckets, and a large group grows together in one step."""
     leaders = apart.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node").alias("h"), "node", "label", "sketch")).alias("l")).where("n > 1")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), "node", "label", "sketch")).alias("l")).where("n > 1")
     one = F.array(F.struct(F.col("l.node").alias("node"), F.col("l.label").alias("label"), F.col("l.sketch").alias("sketch")))
     tiles = _tiles(apart.join(leaders.select("bucket", "n"), "bucket"), TILE, "b")
     return tiles.join(leaders.select("bucket", one.alias("a")), "bucket").select("a", "b").mapInArrow(_meet, "a binary, b binary")
@@ -250,7 +253,10 @@ def links(docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def compared(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs.distinct(), "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = stored(pairs.select("a").union(pairs.select("b")).distinct().toDF("node"), "wanted")
+        # Few texts have near ones; while their nodes are a short list, the others stay where they are.
+        if wanted.count() <= MOST_LISTED:
+            wanted = F.broadcast(wanted)
         texts = docs.join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text"))
         return stored(alike(pairs, stored(texts, "texts")), "alike")
 
