@@ -52,7 +52,7 @@ def test_header_faults(spark, folder):
         C.read_raw(spark, write(folder, "a.csv", "InvoiceNo,StockCode,InvoiceNo\n1,A,2\n"))
     with pytest.raises(SchemaError, match="missing required"):
         C.read_raw(spark, write(folder, "b.csv", "InvoiceNo,Description\n1,A\n"))
-    report = C.header_report(spark, os.path.join(folder, "a.csv")).where("repeated").collect()
+    report = C.header_report(C.file_manifest(spark, os.path.join(folder, "a.csv"))).where("repeated").collect()
     assert {r["name"] for r in report} == {"InvoiceNo"}
 
 
@@ -72,12 +72,69 @@ def test_manifest_hashes_content_not_names(spark, folder):
     found = C.file_manifest(spark, folder, "*.csv").collect()
     assert len(found) == 3 and all(len(r["file_hash"]) == 64 for r in found)
     assert len({r["file_hash"] for r in found}) == 2
-    by_lines = C.file_manifest(spark, folder, "*.csv", whole_file_limit=10).collect()
-    assert len({r["file_hash"] for r in by_lines}) == 2 and {r["hash_kind"] for r in by_lines} == {"lines"}
+    turned = "\n".join(reversed(text.split("\n")[:-1])) + "\n"
+    write(folder, "d.csv", turned)
+    assert len({r["file_hash"] for r in C.file_manifest(spark, folder, "[ad].csv").collect()}) == 1
+    os.remove(os.path.join(folder, "d.csv"))
     known = C.file_manifest(spark, os.path.join(folder, "a.csv"))
     assert C.new_files(C.file_manifest(spark, folder, "*.csv"), known).count() == 1
 
 
+def test_every_file_has_its_own_header(spark, folder):
+    write(folder, "a.csv", "InvoiceNo,StockCode,Quantity,InvoiceDate,UnitPrice,Country\n1,A,2,2010-12-01,3,UK\n")
+    write(folder, "b.csv", "\ufeffStockCode,InvoiceNo, UnitPrice,InvoiceDate,Quantity,\"Shop, no\",Country\nB,2,4,2010-12-02,5,x,UK\n")
+    write(folder, "c.csv", "")
+    rows = {r["InvoiceNo"]: r.asDict() for r in C.read_raw(spark, folder).collect()}
+    assert (rows["1"]["StockCode"], rows["1"]["Quantity"], rows["1"]["Country"], rows["1"]["Shop, no"]) == ("A", "2", "UK", None)
+    assert (rows["2"]["StockCode"], rows["2"]["Quantity"], rows["2"]["UnitPrice"], rows["2"]["Shop, no"]) == ("B", "5", "4", "x")
+    lake = Lake(spark, folder + "-lake")
+    stream_load(landing_stream(spark, folder), lake, folder + "-checkpoint").awaitTermination()
+    assert {(r["invoice_no"], r["stock_code"], r["quantity"]) for r in lake.fact().collect()} == {("1", "A", 2), ("2", "B", 5)}
+    write(folder, "d.csv", "InvoiceNo,StockCode\n3,C\n")
+    with pytest.raises(SchemaError, match="missing required.*d.csv"):
+        C.read_raw(spark, folder)
+
+
+def test_names_with_signs_of_patterns(spark, folder):
+    lake = Lake(spark, folder + "/lake+v1")
+    done = load_files(lake, folder + "/in") if write(folder + "/in", "f[1]{x}.csv", csv_text(CLEAN_ROWS)) else None
+    assert (done.status, done.rows_inserted) == (S.SUCCESS, 2), done
+    sizes = {r["zone"]: r for r in Z.lake_summary(spark, lake.base).collect()}
+    for zone in ("raw", "staged"):
+        files = [os.path.join(d, f) for d, _, names in os.walk(f"{lake.base}/{zone}") for f in names if f.endswith(".parquet")]
+        assert sizes[zone]["file_count"] == len(files) > 0
+        assert sizes[zone]["total_size_mb"] == round(sum(map(os.path.getsize, files)) / 1024 / 1024, 2)
+
+
+@pytest.mark.parametrize("policy", ["strict", "antijoin"])
+def test_a_load_that_broke_off_is_repeated(spark, folder, monkeypatch, policy):
+    """The append dies after the newest month: the repeated run adds the older one."""
+    rows = [CLEAN_ROWS[0], ("9", "Z", "d", "1", "2011-01-05 08:00:00", "2.00", "1", "UK")]
+    lake, path = Lake(spark, folder + "/lake"), write(folder + "/in", "a.csv", csv_text(rows))
+    whole, options = Z.write_fact, LoadOptions(late_policy=policy)
+
+    def half(frame, where, if_exists="append"):
+        whole(frame.where("invoice_year = 2011"), where, if_exists)
+        raise OSError("the driver is gone")
+
+    monkeypatch.setattr(Z, "write_fact", half)
+    assert load_files(lake, path, options).status == S.FAILED and lake.fact().count() == 1
+    monkeypatch.setattr(Z, "write_fact", whole)
+    again = load_files(lake, path, options)
+    assert (again.status, again.rows_inserted) == (S.SUCCESS, 1), again
+    assert sorted(r["invoice_no"] for r in lake.fact().collect()) == ["536365", "9"]
+    assert Z.read_from_lake(spark, lake.base, "raw").count() == 2
+
+
+def test_files_without_new_rows_are_known(spark, folder):
+    lake = Lake(spark, folder + "/lake")
+    load_files(lake, write(folder + "/in", "a.csv", csv_text(CLEAN_ROWS)))
+    old = write(folder + "/in", "b.csv", csv_text([("1", "Z", "d", "1", "2009-01-05 08:00:00", "2.00", "1", "UK")]))
+    assert load_files(lake, old).rows_skipped == 1
+    assert load_files(lake, old).rows_read == 0
+    assert lake.watermarks().count() == 2
+
+
 # --- lake --------------------------------------------------------------------------------
 
 
@@ -121,6 +178,8 @@ def test_watermark_filter_is_strict(spark):
     assert one(I.watermark_counts(rows, mark, moment)) == {"kept_rows": 2, "skipped_rows": 3}
     nothing = spark.sql("select cast(null as timestamp_ntz) m")
     assert I.after_watermark(rows, nothing, moment).count() == 5
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS|more than one row"):
+        I.after_watermark(rows, mark.union(mark), moment).count()
 
 
 def test_high_watermark(spark, folder):

@@ -1,5 +1,6 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
+import re
 import sys
 from concurrent.futures import ThreadPoolExecutor
 
@@ -28,7 +29,8 @@ def con():
 
 def test_registry():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"src_file_manifest", "src_new_files", "lake_summary"}
+    # What has no SQL twin belongs to the training-data operators, which have tests of their own.
+    assert all(name == "pipeline" or re.match(r"op\d+_", name) for name in set(QUERIES) - set(SQL))
 
 
 def test_entry(spark):

@@ -72,8 +72,12 @@ def drop_invalid(raw: DataFrame) -> DataFrame:
     return raw.where(is_possible(raw.columns))
 
 
-def _text(name: str, stripped: bool) -> Column:
-    value = F.col(name).cast("string")
+def _text(name: str, stripped: bool, kind: str = "string") -> Column:
+    value = F.col(name)
+    if kind in ("double", "float"):  # whole numbers as digits, without an exponent
+        whole = value.try_cast("decimal(38,0)")
+        value = F.when(whole == value, whole.cast("string")).otherwise(value.cast("string"))
+    value = value.cast("string")
     return value if stripped else strip(value)
 
 
@@ -81,8 +85,8 @@ def impute_customer(raw: DataFrame, stripped: bool = False) -> DataFrame:
     """Guests for missing ids; ids read as numbers lose their ``.0``."""
     if "CustomerID" not in raw.columns:
         return raw
-    text = _text("CustomerID", stripped)
-    known = F.when(text.endswith(".0"), F.substring_index(text, ".", 1)).otherwise(text)
+    text = _text("CustomerID", stripped, dict(raw.dtypes)["CustomerID"])
+    known = F.regexp_replace(text, r"^(\d+)\.0$", "$1")
     return raw.withColumn("CustomerID", F.when(is_missing_word(text), S.GUEST_ID).otherwise(known))
 
 

@@ -336,21 +336,46 @@ MONITORING = {
 
 TABLE_ORDER = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"]
 NEED = ["InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "UnitPrice"]
+SHORT_ORDER = [name for name in TABLE_ORDER if name != "UnitPrice"]
+DIGESTS = """
+SELECT 'd' || CAST(o_custkey % 7 AS VARCHAR) AS part, CAST(COUNT(*) AS BIGINT) AS n_lines,
+       CAST(SUM(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS VARCHAR) AS digest_a,
+       CAST(SUM(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS VARCHAR) AS digest_b, TRUE AS is_utf8
+FROM (SELECT o_custkey, md5(CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR)) AS h FROM orders)
+WHERE {where} GROUP BY 1
+"""
 SOURCES = {
-    "src_csv": on_dirty("SELECT * REPLACE (nullif(CustomerID, 'nan') AS CustomerID) FROM dirty"),
+    "src_csv": on_dirty(
+        "SELECT * REPLACE (nullif(CustomerID, 'nan') AS CustomerID, "
+        "CASE WHEN InvoiceNo NOT LIKE ' c%' THEN Country END AS Country) FROM dirty"
+    ),
     "src_csv_encoding": on_dirty("SELECT InvoiceNo, StockCode, Quantity, 'é£ ' || Country AS Country FROM dirty"),
-    "src_header_check": "SELECT * FROM (VALUES " + ", ".join(
-        f"(CAST({i} AS INTEGER), '{name}', TRUE, {name in NEED})" for i, name in enumerate(TABLE_ORDER)
-    ) + ") t(position, name, present, required)",
-    "src_extra_columns": "SELECT CAST(8 AS INTEGER) AS position, 'Channel' AS name",
+    "src_header_check": on_dirty(
+        "SELECT country, position, name, present, required FROM (SELECT DISTINCT trim(Country) AS country FROM dirty) d, (VALUES "
+        + ", ".join(f"(CAST({i} AS INTEGER), '{name}', TRUE, {name in NEED})" for i, name in enumerate(SHORT_ORDER))
+        + f", (CAST({len(SHORT_ORDER)} AS INTEGER), 'UnitPrice', FALSE, TRUE)) t(position, name, present, required)"
+    ),
+    "src_extra_columns": on_dirty("SELECT DISTINCT trim(Country) AS country, CAST(8 AS INTEGER) AS position, 'Channel' AS name FROM dirty"),
+    "src_duplicate_header": on_dirty(
+        "SELECT DISTINCT trim(Country) AS country, CAST(p AS INTEGER) AS position, 'InvoiceNo' AS name "
+        "FROM dirty, (VALUES (0), (2)) t(p)"
+    ),
+    "src_file_manifest": DIGESTS.format(where="TRUE"),
+    "src_new_files": DIGESTS.format(where="o_custkey % 7 > 2"),
+    "lake_summary": "SELECT zone, zone <> 'staged' AND n > 0 AS has_files FROM (VALUES ('raw'), ('staged'), ('processed')) z(zone), "
+                    "(SELECT COUNT(*) AS n FROM lineitem)",
     "lake_write": O.on_fact(
-        "SELECT CAST(invoice_year AS INTEGER) AS InvoiceYear, CAST(invoice_month AS INTEGER) AS InvoiceMonth, "
-        "COUNT(*) AS row_count FROM fact GROUP BY 1, 2"
+        "SELECT invoice_no AS InvoiceNo, stock_code AS StockCode, CAST(quantity AS INTEGER) AS Quantity, "
+        "CAST(total_amount AS DOUBLE) AS TotalPrice, CAST(invoice_year AS INTEGER) AS InvoiceYear, "
+        "CAST(invoice_month AS INTEGER) AS InvoiceMonth FROM fact"
     ),
     "lake_read": O.on_fact(
         "SELECT invoice_no AS InvoiceNo, stock_code AS StockCode, CAST(total_amount AS DOUBLE) AS TotalPrice FROM fact"
     ),
-    "stage_write": O.on_fact("SELECT revenue_bucket AS RevenueBucket, COUNT(*) AS row_count FROM fact GROUP BY 1"),
+    "stage_write": O.on_fact(
+        "SELECT invoice_no AS InvoiceNo, stock_code AS StockCode, CAST(quantity AS INTEGER) AS Quantity, "
+        "CAST(total_amount AS DOUBLE) AS TotalPrice, revenue_bucket AS RevenueBucket FROM fact"
+    ),
     "fact_load": O.on_fact(f"SELECT {LINE}, invoice_year, invoice_month FROM fact"),
     "fact_column_map": O.on_fact(
         "SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_amount AS DOUBLE) AS total_amount) FROM fact"

@@ -28,7 +28,7 @@ from tillworks.sources import csv_files as files
 from tillworks.sources import lake as Z
 from tillworks.sources import star_tables as T
 from tillworks.sources.synthetic import from_ids
-from tillworks.streaming.landing import stream_load
+from tillworks.streaming.landing import landing_stream, stream_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-01-01 00:00:00"
@@ -62,7 +62,13 @@ def exported_csv(spark: SparkSession, folder: str) -> str:
 
 
 def src_csv(spark: SparkSession, folder: str) -> DataFrame:
-    return files.read_raw(spark, exported_csv(spark, folder))
+    """Two folders read together: returned lines have their columns in another order and no Country."""
+    rows = T.dirty_rows(spark, folder)
+    returned = F.col("InvoiceNo").startswith(" c")
+    kept = files.write_csv(rows.where(~returned), fresh_path(spark, "csv"))
+    turned = [name for name in reversed(rows.columns) if name != "Country"]
+    back = files.write_csv(rows.where(returned).select(*turned), fresh_path(spark, "csv"))
+    return files.read_raw(spark, [kept, back])
 
 
 def src_csv_encoding(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,31 +80,74 @@ def src_csv_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_raw(spark, [utf8, latin]).select("InvoiceNo", "StockCode", "Quantity", "Country")
 
 
+def _by_country(spark: SparkSession, folder: str, rows: DataFrame) -> str:
+    """The rows as CSV with one folder for each country; a file holds the rows of one country."""
+    path = fresh_path(spark, "csv")
+    (
+        rows.withColumn("part", F.trim("Country")).repartition("part").write.partitionBy("part")
+        .option("header", True).option("escape", '"').csv(path)
+    )
+    return path
+
+
+def _country_of(file_path: Column) -> Column:
+    return F.regexp_extract(file_path, "part=([^/]*)/", 1).alias("country")
+
+
 def src_header_check(spark: SparkSession, folder: str) -> DataFrame:
-    return files.header_report(spark, exported_csv(spark, folder)).select("position", "name", "present", "required")
+    """Header and required columns of every file, one file for each country in the lines; the
+    files lack UnitPrice."""
+    path = _by_country(spark, folder, T.dirty_rows(spark, folder).drop("UnitPrice"))
+    report = files.header_report(files.file_manifest(spark, path))
+    return report.select(_country_of(F.col("file_path")), "position", "name", "present", "required")
 
 
 def src_extra_columns(spark: SparkSession, folder: str) -> DataFrame:
-    rows = T.dirty_rows(spark, folder).withColumn("Channel", F.lit("shop"))
-    path = files.write_csv(rows, fresh_path(spark, "csv"))
-    return files.header_report(spark, path).where(~F.col("expected")).select("position", "name")
+    path = _by_country(spark, folder, T.dirty_rows(spark, folder).withColumn("Channel", F.lit("shop")))
+    report = files.header_report(files.file_manifest(spark, path))
+    return report.where(~F.col("expected")).select(_country_of(F.col("file_path")), "position", "name")
+
+
+def src_duplicate_header(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of text lines whose first line names InvoiceNo twice."""
+    lines = T.dirty_rows(spark, folder).select(
+        F.trim("Country").alias("part"), F.concat_ws(",", F.trim("InvoiceNo"), "StockCode", F.trim("InvoiceNo")).alias("value"))
+    heads = lines.select("part").distinct().select("part", F.lit("InvoiceNo,StockCode, InvoiceNo ").alias("value"))
+    path = fresh_path(spark, "lines")
+    both = heads.withColumn("rank", F.lit(0)).unionByName(lines.withColumn("rank", F.lit(1)))
+    both.repartition("part").sortWithinPartitions("part", "rank").drop("rank").write.partitionBy("part").text(path)
+    report = files.header_report(files.file_manifest(spark, path))
+    return report.where("repeated").select(_country_of(F.col("file_path")), "position", "name")
+
+
+def _order_lines(spark: SparkSession, folder: str) -> str:
+    """Orders as plain lines, one folder for each status."""
+    orders = T.table(spark, folder, "orders")
+    path = fresh_path(spark, "lines")
+    orders.select(
+        F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")).alias("value"),
+        F.concat(F.lit("d"), (F.col("o_custkey") % 7).cast("string")).alias("part"),
+    ).write.partitionBy("part").text(path)
+    return path
+
+
+def _digests(manifest: DataFrame) -> DataFrame:
+    """Digests add up over files, however the lines were dealt to them."""
+    return manifest.groupBy(F.regexp_extract("file_path", "part=([^/]*)/", 1).alias("part")).agg(
+        F.sum("n_lines").alias("n_lines"),
+        *[F.sum(name).cast("string").alias(name) for name in files.DIGEST_PARTS], F.bool_and("is_utf8").alias("is_utf8"),
+    )
 
 
 def src_file_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """The given table files themselves."""
-    manifest = files.file_manifest(spark, folder, pattern="*.parquet")
-    return manifest.select(
-        F.element_at(F.split("file_path", "/"), -1).alias("file_path"), "bytes", "file_hash", "hash_kind"
-    )
+    return _digests(files.file_manifest(spark, _order_lines(spark, folder)))
 
 
 def src_new_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Table files, with the dimension tables already loaded."""
-    known = files.file_manifest(spark, folder, pattern="{region,nation,customer,supplier,part}.parquet")
-    manifest = files.file_manifest(spark, folder, pattern="*.parquet")
-    return files.new_files(manifest, known).select(
-        F.element_at(F.split("file_path", "/"), -1).alias("file_path"), "bytes", "file_hash"
-    )
+    """Files of lines, three folders of which were loaded before."""
+    path = _order_lines(spark, folder)
+    known = files.file_manifest(spark, path).where(F.col("file_path").rlike("part=d[0-2]/"))
+    return _digests(files.new_files(files.file_manifest(spark, path), known))
 
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,7 +157,8 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
 def lake_write(spark: SparkSession, folder: str) -> DataFrame:
     base = fresh_path(spark, "lake")
     path = Z.write_to_lake(_features(spark, folder), base, "processed", S.LAKE_PARTITIONS)
-    return spark.read.parquet(path).groupBy("InvoiceYear", "InvoiceMonth").agg(F.count(F.lit(1)).alias("row_count"))
+    rows = spark.read.parquet(path)
+    return rows.select("InvoiceNo", "StockCode", "Quantity", F.col("TotalPrice").cast("double").alias("TotalPrice"), "InvoiceYear", "InvoiceMonth")
 
 
 def lake_read(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,17 +169,18 @@ def lake_read(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lake_summary(spark: SparkSession, folder: str) -> DataFrame:
-    base = fresh_path(spark, "lake")
+    """Zones with and without files; the base's name has signs of patterns."""
+    base = fresh_path(spark, "lake") + "+v1"
     Z.write_to_lake(T.dirty_rows(spark, folder), base, "raw")
     Z.write_to_lake(_features(spark, folder), base, "processed", S.LAKE_PARTITIONS)
-    return Z.lake_summary(spark, base)
+    return Z.lake_summary(spark, base).select("zone", (F.col("file_count") > 0).alias("has_files"))
 
 
 def stage_write(spark: SparkSession, folder: str) -> DataFrame:
     base = fresh_path(spark, "lake")
     Z.write_to_lake(_features(spark, folder), base, "staged")
     staged = Z.read_from_lake(spark, base, "staged")
-    return staged.groupBy("RevenueBucket").agg(F.count(F.lit(1)).alias("row_count"))
+    return staged.select("InvoiceNo", "StockCode", "Quantity", F.col("TotalPrice").cast("double").alias("TotalPrice"), "RevenueBucket")
 
 
 def fact_load(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,6 +206,7 @@ SOURCES: dict[str, Query] = {
     "src_csv_encoding": src_csv_encoding,
     "src_header_check": src_header_check,
     "src_extra_columns": src_extra_columns,
+    "src_duplicate_header": src_duplicate_header,
     "src_file_manifest": src_file_manifest,
     "src_new_files": src_new_files,
     "lake_write": lake_write,
@@ -248,15 +300,13 @@ def inc_load_run(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def inc_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The line table as a stream, through the same load in micro-batches."""
-    lake = Lake(spark, fresh_path(spark, "lake"))
-    layout = T.table(spark, folder, "lineitem").schema
-    lines = spark.readStream.schema(layout).option("pathGlobFilter", "lineitem.parquet").parquet(folder)
-    raw = files.null_missing(T.dirty_rows(spark, folder, lines))
+    """The raw rows as files in a landing folder, streamed through the same load; the stream starts
+    twice."""
+    lake, landing = Lake(spark, fresh_path(spark, "lake")), exported_csv(spark, folder)
     options = LoadOptions(on_invalid="quarantine", as_of=AS_OF, late_policy="antijoin")
     checkpoint = fresh_path(spark, "checkpoint")
     for _ in range(2):
-        stream_load(raw, lake, checkpoint, options).awaitTermination()
+        stream_load(landing_stream(spark, landing), lake, checkpoint, options).awaitTermination()
     return lake.fact().select(*LINE, _amount(), "description", "customer_id", "country", "invoice_year", "invoice_month")
 
 
