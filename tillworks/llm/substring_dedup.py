@@ -38,19 +38,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.common import NewFile, batch, open_store, read_file, short_batches, stored, texts_of, words_of
-from tillworks.llm.pretokens import Memo
 from tillworks.session import fresh_path
 
 WINDOW, MER = 20, 6
 HOT_SHARE = 2000
 #: Bits of the map of repeated minimisers, as a power of two.
 MAP_BITS = 27
-#: Words and strings that a worker remembers.
-REMEMBERED, SENT = 200_000, 500_000
+#: Strings that a task remembers having sent.
+SENT = 500_000
 NO_ID = (1 << 63) - 1
 
 _U = np.uint64
-_memo = Memo(xxhash.xxh3_64_digest, REMEMBERED)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -64,12 +62,12 @@ _FACTORS = _mixed(np.arange(1, MER + 1, dtype="u8")) | _U(1)
 
 
 def super_kmers(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first window, end) of each run of windows with one minimiser, and whether the
-    words of that minimiser stand in the document more than once."""
+    """(minimiser, first window, end) of each run of windows with one minimiser, and the hashes of
+    all mers."""
     n = len(words) - WINDOW + 1
     if n <= 0:
-        return np.empty(0, "u8"), np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, bool)
-    hashes = np.frombuffer(b"".join(map(_memo.__getitem__, words)), ">u8").astype("u8")
+        return np.empty(0, "u8"), np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "u8")
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype("u8")
     mers = np.zeros(len(words) - MER + 1, "u8")
     for i in range(MER):
         mers += hashes[i:i + len(mers)] * _FACTORS[i]
@@ -80,17 +78,22 @@ def super_kmers(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
         least = np.minimum(least[:-step], least[step:])
         width += step
     starts = np.r_[0, np.flatnonzero(least[1:] != least[:-1]) + 1]
+    return least[starts], starts, np.r_[starts[1:], n], mers
+
+
+def minimisers_of(words: list[str]) -> np.ndarray:
+    """The minimiser of each run; once more if its words stand elsewhere in the document, so that
+    windows repeated inside one run count as repeated."""
+    found, _, _, mers = super_kmers(words)
     ordered = np.sort(mers)
     twice = ordered[1:][ordered[1:] == ordered[:-1]]
-    return least[starts], starts, np.r_[starts[1:], n], np.isin(least[starts], twice)
+    return np.concatenate([found, found[np.isin(found, twice)]]) if len(twice) else found
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("bucket", pa.int64()), ("n", pa.int64())])
     for _, texts in texts_of(batches):
-        found = []
-        for minimisers, _, _, twice in (super_kmers(words_of(t)) for t in texts):
-            found += [minimisers, minimisers[twice]]
+        found = [minimisers_of(words_of(t)) for t in texts]
         buckets, n = np.unique(np.concatenate([np.empty(0, "u8"), *found]).view("i8"), return_counts=True)
         yield batch(schema, pa.array(buckets), pa.array(n.astype("i8")))
 
@@ -113,7 +116,8 @@ def _send(batches: Iterator[pa.RecordBatch], bits: str, hot: frozenset[int]) ->
             key, here = xxhash.xxh3_128_digest(packed), (rid, start)
             before = sent.get(key)
             if before is not None and here > before:
-                out.append((xxhash.xxh3_64_intdigest(key) - (1 << 63), rid, text_hash, start, stop, None))
+                # Its bucket is any: the places of a popular passage are dealt out evenly.
+                out.append(((text_hash ^ start * 0x9E3779B97F4A7C15 & NO_ID) % (1 << 63), rid, text_hash, start, stop, None))
                 return
             if len(sent) >= SENT:
                 sent.clear()
