@@ -8,6 +8,11 @@ templates. What stood in the placeholders must agree too: each value of the item
 replaced by one value throughout (its main value, in at least 0.8 of its places), be it the same
 value or another. Windows of placeholders alone say nothing and are left out.
 
+Most documents are far from any item, and that shows in single words. Of each item up to
+``GROUPS`` groups of plain words are picked, the longest first, so that the windows with a word of
+a group are more than 0.2 of all. A document that lacks a whole group can't hold 0.8 of the
+windows; if every item has a group that the document lacks, it isn't cut into windows.
+
 The join is a hash join in Spark. Only windows that occur in some item need to take part; while the
 items have no more than ``MOST_LISTED`` windows their hashes go to the tasks, which drop
 all other windows at once. With more, every window of the documents is shuffled instead.
@@ -31,12 +36,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import batch, short_batches, texts_of, words_of
+from tillworks.llm.common import batch, short_batches, stored, texts_of, words_of
 from tillworks.llm.pretokens import Memo
 
 WINDOW, SHARE = 5, 0.8
 MOST_LISTED = 4_000_000
-REMEMBERED = 200_000
+REMEMBERED, GROUPS = 300_000, 3
 
 # Words for numbers and units in the languages of the corpus.
 NUMBER_WORDS = set(
@@ -112,21 +117,81 @@ def windows(template: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, _mixed(sums[at])
 
 
+TOKEN = re.compile(r"\w+")
+
+
+def anchors(text: str) -> list[list[str]]:
+    """Groups of pieces of words; a text that holds ``SHARE`` of this text's windows has a word of
+    each. Words are lower case and as ``TOKEN`` finds them."""
+    template, _, kind, words = canonical(text)
+    at, hashes = windows(template, kind)
+    # By word: the different windows that it stands in.
+    inside: dict[str, set[int]] = {}
+    for place, h in zip(at.tolist(), hashes.tolist()):
+        for k in range(place, min(place + WINDOW, len(words))):
+            if kind[k] == PLAIN:
+                inside.setdefault(words[k].strip(_OUTER).lower(), set()).add(h)
+    groups, enough = [], len(set(hashes.tolist())) * (1 - SHARE) + 1e-9
+    picked, covered = [], set()
+    # A word without a letter or digit can't be looked up.
+    for word in sorted((w for w in inside if TOKEN.search(w)), key=lambda w: (-len(w), w)):
+        picked.append(max(TOKEN.findall(word), key=len))
+        covered |= inside[word]
+        if len(covered) > enough:
+            groups.append(picked)
+            picked, covered = [], set()
+            if len(groups) == GROUPS:
+                break
+    return groups
+
+
+class Anchors:
+    """Tells which texts may hold enough of some item."""
+
+    def __init__(self, groups: list[list[list[str]]]) -> None:
+        #: An item without a group can't be ruled out by words.
+        self.any = any(not g for g in groups)
+        self.full = [(1 << len(g)) - 1 for g in groups]
+        self.of: dict[str, list[tuple[int, int]]] = {}
+        for item, of in enumerate(groups):
+            for bit, group in enumerate(of):
+                for word in set(group):
+                    self.of.setdefault(word, []).append((item, 1 << bit))
+        self.words = frozenset(self.of)
+
+    def near(self, text: str) -> bool:
+        if self.any:
+            return True
+        has: dict[int, int] = {}
+        for word in self.words & set(TOKEN.findall(text.lower())):
+            for item, bit in self.of[word]:
+                has[item] = has.get(item, 0) | bit
+        return any(bits == self.full[item] for item, bits in has.items())
+
+
+def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, texts in texts_of(batches, 2):
+        groups = [anchors(t) for t in texts if len(windows(*[canonical(t)[k] for k in (0, 2)])[0])]
+        yield pa.record_batch({"groups": pa.array(groups, pa.list_(pa.list_(pa.string())))})
+
+
 FOUND = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("window", pa.int64()), ("slots", pa.list_(pa.string()))])
 FOUND_DDL = "id long, text_hash long, window long, slots array<string>"
 
 
 def _windows(batches: Iterator[pa.RecordBatch], listed) -> Iterator[pa.RecordBatch]:
     """Every different (window, slot values) of each text; of documents only windows listed."""
-    wanted = None if listed is None else listed.value
+    wanted, near = (None, None) if listed is None else listed.value
     for rows, texts in texts_of(batches, 2):
         out = []
         for i, text_hash, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), texts):
+            if near is not None and not near.near(text):
+                continue
             template, _, kind, words = canonical(text)
             at, hashes = windows(template, kind)
             if wanted is not None:
-                near = np.searchsorted(wanted, hashes)
-                hit = wanted[np.minimum(near, len(wanted) - 1)] == hashes if len(wanted) else np.zeros(len(hashes), bool)
+                found_at = np.searchsorted(wanted, hashes)
+                hit = wanted[np.minimum(found_at, len(wanted) - 1)] == hashes if len(wanted) else np.zeros(len(hashes), bool)
                 at, hashes = at[hit], hashes[hit]
             seen = set()
             for place, h in zip(at.tolist(), hashes.view("i8").tolist()):
@@ -149,16 +214,20 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     windows in the document, and of the slots that agree (1 if it has none)."""
     spark = docs.sparkSession
     short_batches(spark)
-    item_windows = _rows(items, "item_id").where("id IS NOT NULL").mapInArrow(partial(_windows, listed=None), FOUND_DDL).select(
-        F.col("id").alias("item_id"), "window", F.col("slots").alias("item_slots"))
+    item_rows = _rows(items, "item_id").where("id IS NOT NULL")
+    item_windows = stored(item_rows.mapInArrow(partial(_windows, listed=None), FOUND_DDL).select(
+        F.col("id").alias("item_id"), "window", F.col("slots").alias("item_slots")), "item-windows")
     sizes = item_windows.groupBy("item_id").agg(F.countDistinct("window").alias("n"))
     different = item_windows.select("window").distinct()
     first = different.limit(MOST_LISTED + 1).toArrow().column(0).to_numpy()
     listed = None
     if len(first) <= MOST_LISTED:
-        listed = spark.sparkContext.broadcast(np.sort(first.astype("i8").view("u8")))
+        # An item has no more anchors than windows.
+        groups = [r.groups for r in item_rows.mapInArrow(_anchors, "groups array<array<string>>").distinct().collect()]
+        listed = spark.sparkContext.broadcast((np.sort(first.astype("i8").view("u8")), Anchors(groups)))
     found = _rows(docs, "doc_id").mapInArrow(partial(_windows, listed=listed), FOUND_DDL)
-    met = found.join(item_windows, "window")
+    # Two aggregates look at the meeting windows, which are few; the documents are read once.
+    met = stored(found.join(item_windows, "window"), "met")
     key = ["id", "text_hash", "item_id"]
     # One row per window: how many slot pairs, kept apart by the item's value.
     pairs = met.withColumn("pair", F.explode_outer(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))))
