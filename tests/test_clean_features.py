@@ -66,12 +66,21 @@ def test_strip_handles_tabs_and_wide_spaces(spark):
     ("2010-12-01 08:26:00", datetime(2010, 12, 1, 8, 26)),
     ("12/1/2010 8:26", datetime(2010, 12, 1, 8, 26)),
     ("2010-12-01", datetime(2010, 12, 1)),
-    ("invalid_date_str", None), ("13/45/2010", None), (None, None),
+    ("12/1/10 8:26", datetime(2010, 12, 1, 8, 26)), ("1/2/69", datetime(1969, 1, 2)), ("01-Dec-2010", datetime(2010, 12, 1)),
+    ("1 december 2010 08:26", datetime(2010, 12, 1, 8, 26)), ("20101201", datetime(2010, 12, 1)),
+    ("invalid_date_str", None), ("13/45/2010", None), (None, None), ("01-eca-2010", None), ("13/45/10", None), ("", None),
 ])
 def test_dates(spark, text, expected):
     assert spark.createDataFrame([(text,)], "x string").select(to_moment(F.col("x")).alias("d")).first()["d"] == expected
 
 
+def test_ids_lose_a_whole_number_point_only(spark):
+    ids = spark.createDataFrame([(x,) for x in ("A.1.0", "A.2.0", "1.2.0", "12.0", "7", "nan")], "CustomerID string")
+    assert [r[0] for r in C.impute_customer(ids).collect()] == ["A.1.0", "A.2.0", "1.2.0", "12", "7", "GUEST"]
+    numbers = spark.createDataFrame([(12345678.0,), (1.5,), (None,), (float("nan"),)], "CustomerID double")
+    assert [r[0] for r in C.impute_customer(numbers).collect()] == ["12345678", "1.5", "GUEST", "GUEST"]
+
+
 def test_dedupe_is_stable_and_matches_quantities_by_value(spark):
     a = ("1", "A", "b", "6", "2010-12-01", "2.00", "7", "X")
     b = ("1", "A", "a", "6.0", "2010-12-01", "1.00", "7", "X")
