@@ -2,32 +2,57 @@
 
 from __future__ import annotations
 
+import re
+
 from tillworks.operators.insights import RULES, Thresholds
 from tillworks.plans import oracles as O
 
 AS_OF = "TIMESTAMP '2001-01-01 00:00:00'"
 CUTOFF = "TIMESTAMP '1998-01-01 00:00:00'"
 
+WORDS = "['nan', 'None', 'NULL', '<NA>']"
+MOMENT = "coalesce(TRY_CAST(InvoiceDate AS TIMESTAMP), try_strptime(InvoiceDate, '%m/%d/%Y %H:%M'))"
+
+
+def missing(name: str) -> str:
+    return f"({name} IS NULL OR upper(trim({name})) IN ('', 'NAN', 'NONE', 'NULL', '<NA>'))"
+
+
 DIRTY = f"""
 dirty AS (
   SELECT CASE WHEN l_orderkey % 101 = 0 THEN '  '
               WHEN l_returnflag = 'R' THEN ' c' || CAST(l_orderkey AS VARCHAR)
               ELSE CAST(l_orderkey AS VARCHAR) || ' ' END AS InvoiceNo,
          CAST(l_partkey AS VARCHAR) || 'a' AS StockCode,
-         CASE WHEN l_partkey % 109 = 0 THEN NULL ELSE ' ' || p_name END AS Description,
+         CASE WHEN l_partkey % 113 = 0 THEN ' None' WHEN copy = 1 THEN 'Copy of ' || p_name
+              WHEN l_partkey % 109 = 0 THEN NULL ELSE ' ' || chr(9) || p_name END AS Description,
          CASE WHEN l_partkey % 107 = 0 THEN 'x'
               ELSE CAST(CAST(l_quantity AS INTEGER) * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS VARCHAR)
+                   || CASE WHEN copy = 1 THEN '.0' ELSE '' END
          END AS Quantity,
-         CASE WHEN l_orderkey % 103 = 0 THEN 'bad-date' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS InvoiceDate,
+         CASE WHEN l_orderkey % 103 = 0 THEN 'bad-date' WHEN l_orderkey % 5 = 1 THEN strftime(o_orderdate, '%-m/%-d/%Y %-H:%M')
+              ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS InvoiceDate,
          CASE WHEN l_partkey % 97 = 0 THEN '-' ELSE '' END
            || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) AS UnitPrice,
-         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'nan' ELSE CAST(o_custkey AS VARCHAR) END AS CustomerID,
-         ' ' || lower(n_name) || ' ' AS Country
+         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN {WORDS}[o_custkey % 4 + 1]
+              WHEN o_custkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) || '.0' ELSE CAST(o_custkey AS VARCHAR) END AS CustomerID,
+         ' ' || lower(n_name) || CASE WHEN o_custkey % 5 = 0 THEN ' west isle' || chr(9) ELSE ' ' END AS Country
   {O.JOINS}
+  CROSS JOIN (VALUES (0), (1)) copies(copy) WHERE copy = 0 OR l_orderkey % 4 = 0
 )
 """
 
-TITLE = "upper(trim(Country)[1]) || lower(trim(Country)[2:])"
+TITLE = (
+    "array_to_string([upper(w[1]) || w[2:] FOR w IN string_split(lower(trim(Country)), ' ')], ' ')"
+)
+CUSTOMER = f"CASE WHEN {missing('CustomerID')} THEN 'GUEST' ELSE regexp_replace(trim(CustomerID), '^([0-9]+)\\.0$', '\\1') END"
+DESCRIPTION = f"CASE WHEN {missing('Description')} THEN 'UNKNOWN DESCRIPTION' ELSE trim(Description) END"
+# One row per five-column key, quantities by value; of several the first by the other columns.
+FIRST = """
+row_number() OVER (
+  PARTITION BY InvoiceNo, StockCode, coalesce(CAST(TRY_CAST(Quantity AS DOUBLE) AS VARCHAR), Quantity), InvoiceDate, CustomerID
+  ORDER BY Description, Quantity, UnitPrice, Country)
+"""
 CLEAN = f"""
 {DIRTY},
 norm AS (
@@ -38,25 +63,23 @@ norm AS (
 ),
 possible AS (SELECT * FROM norm WHERE TRY_CAST(UnitPrice AS DOUBLE) >= 0 AND InvoiceNo NOT IN ('', 'NAN')),
 filled AS (
-  SELECT * REPLACE (CASE WHEN CustomerID = 'nan' THEN 'GUEST' ELSE CustomerID END AS CustomerID,
-                    coalesce(Description, 'UNKNOWN DESCRIPTION') AS Description)
-  FROM possible
+  SELECT * REPLACE ({CUSTOMER} AS CustomerID, {DESCRIPTION} AS Description) FROM possible
 ),
-unique_rows AS (SELECT DISTINCT * FROM filled),
+unique_rows AS (SELECT * EXCLUDE (n) FROM (SELECT *, {FIRST} AS n FROM filled) WHERE n = 1),
 typed AS (
   SELECT InvoiceNo, StockCode, Description, coalesce(TRY_CAST(Quantity AS BIGINT), 0) AS Quantity,
-         TRY_CAST(InvoiceDate AS TIMESTAMP) AS InvoiceDate,
+         {MOMENT} AS InvoiceDate,
          coalesce(TRY_CAST(UnitPrice AS DECIMAL(14,4)), 0) AS UnitPrice, CustomerID, Country
   FROM unique_rows
 )
 """
 
-BAD_DATE = "TRY_CAST(InvoiceDate AS TIMESTAMP) IS NULL"
+BAD_DATE = f"{MOMENT} IS NULL"
 BAD_QUANTITY = "(Quantity IS NOT NULL AND TRY_CAST(Quantity AS DOUBLE) IS NULL)"
 BAD_PRICE = "(UnitPrice IS NOT NULL AND TRY_CAST(UnitPrice AS DOUBLE) IS NULL)"
 NO_INVOICE = "coalesce(trim(InvoiceNo), '') = ''"
 NEGATIVE = "coalesce(TRY_CAST(UnitPrice AS DOUBLE) < 0, FALSE)"
-FUTURE = f"coalesce(TRY_CAST(InvoiceDate AS TIMESTAMP) > {AS_OF}, FALSE)"
+FUTURE = f"coalesce({MOMENT} > {AS_OF}, FALSE)"
 RETURNED = "coalesce(TRY_CAST(Quantity AS DOUBLE) < 0, FALSE)"
 HITS = {
     "INVALID_DATE_FORMAT": f"COUNT(*) FILTER ({BAD_DATE})",
@@ -120,7 +143,7 @@ STRIPPED = ", ".join(
 )
 KEYS = "InvoiceNo, StockCode, Quantity, InvoiceDate, CustomerID"
 NULLS = (
-    "(SELECT COUNT(*) FILTER (CustomerID = 'nan') + COUNT(*) FILTER (Description IS NULL) FROM possible)"
+    f"(SELECT COUNT(*) FILTER ({missing('CustomerID')}) + COUNT(*) FILTER ({missing('Description')}) FROM possible)"
 )
 
 CLEANING = {
@@ -131,16 +154,16 @@ CLEANING = {
     "cln_title_country": on_dirty(f"SELECT InvoiceNo, StockCode, {TITLE} AS Country FROM dirty"),
     "cln_drop_invalid": on_clean(f"SELECT {KEYS}, UnitPrice FROM possible"),
     "cln_impute_customer": on_dirty(
-        "SELECT InvoiceNo, StockCode, CASE WHEN CustomerID = 'nan' THEN 'GUEST' ELSE CustomerID END AS CustomerID FROM dirty"
+        f"SELECT InvoiceNo, StockCode, {CUSTOMER} AS CustomerID FROM dirty"
     ),
     "cln_impute_description": on_dirty(
-        "SELECT InvoiceNo, StockCode, coalesce(trim(Description), 'UNKNOWN DESCRIPTION') AS Description FROM dirty"
+        f"SELECT InvoiceNo, StockCode, {DESCRIPTION} AS Description FROM dirty"
     ),
     "cln_dedupe": on_clean("SELECT * FROM unique_rows"),
     "cln_cast": on_dirty(
         "SELECT InvoiceNo, StockCode, coalesce(TRY_CAST(Quantity AS BIGINT), 0) AS Quantity, "
         "CAST(coalesce(TRY_CAST(UnitPrice AS DECIMAL(14,4)), 0) AS DOUBLE) AS UnitPrice, "
-        "TRY_CAST(InvoiceDate AS TIMESTAMP) AS InvoiceDate FROM dirty"
+        f"{MOMENT} AS InvoiceDate FROM dirty"
     ),
     "cln_stats": on_clean(f"""
         SELECT (SELECT COUNT(*) FROM dirty) AS initial_rows,
@@ -166,14 +189,15 @@ unique_fact AS (
 # Good rows of the dirty view, cleaned, with features, one per natural key.
 LOADED = f"""
 WITH {DIRTY},
-good AS (SELECT * FROM dirty WHERE NOT ({ANY})),
+good AS (
+  SELECT upper(trim(InvoiceNo)) AS InvoiceNo, upper(trim(StockCode)) AS StockCode, {DESCRIPTION} AS Description, Quantity,
+         InvoiceDate, UnitPrice, {CUSTOMER} AS CustomerID, {TITLE} AS Country
+  FROM dirty WHERE NOT ({ANY})
+),
 shaped AS (
-  SELECT DISTINCT upper(trim(InvoiceNo)) AS invoice_no, upper(StockCode) AS stock_code,
-         coalesce(trim(Description), 'UNKNOWN DESCRIPTION') AS description,
-         CAST(Quantity AS INTEGER) AS quantity, CAST(UnitPrice AS DECIMAL(10,2)) AS unit_price,
-         CAST(InvoiceDate AS TIMESTAMP) AS invoice_timestamp,
-         CASE WHEN CustomerID = 'nan' THEN 'GUEST' ELSE CustomerID END AS customer_id, {TITLE} AS country
-  FROM good
+  SELECT InvoiceNo AS invoice_no, StockCode AS stock_code, Description AS description, CAST(Quantity AS INTEGER) AS quantity,
+         CAST(UnitPrice AS DECIMAL(10,2)) AS unit_price, {MOMENT} AS invoice_timestamp, CustomerID AS customer_id, Country AS country
+  FROM (SELECT *, {FIRST} AS n FROM good) WHERE n = 1
 ),
 numbered AS (
   SELECT *, row_number() OVER (
@@ -336,6 +360,7 @@ MONITORING = {
 
 TABLE_ORDER = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"]
 NEED = ["InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "UnitPrice"]
+NATION = "string_split(trim(Country), ' ')[1]"
 SHORT_ORDER = [name for name in TABLE_ORDER if name != "UnitPrice"]
 DIGESTS = """
 SELECT 'd' || CAST(o_custkey % 7 AS VARCHAR) AS part, CAST(COUNT(*) AS BIGINT) AS n_lines,
@@ -346,18 +371,18 @@ WHERE {where} GROUP BY 1
 """
 SOURCES = {
     "src_csv": on_dirty(
-        "SELECT * REPLACE (nullif(CustomerID, 'nan') AS CustomerID, "
+        f"SELECT * REPLACE (CASE WHEN NOT list_contains({WORDS}, CustomerID) THEN CustomerID END AS CustomerID, "
         "CASE WHEN InvoiceNo NOT LIKE ' c%' THEN Country END AS Country) FROM dirty"
     ),
     "src_csv_encoding": on_dirty("SELECT InvoiceNo, StockCode, Quantity, 'é£ ' || Country AS Country FROM dirty"),
     "src_header_check": on_dirty(
-        "SELECT country, position, name, present, required FROM (SELECT DISTINCT trim(Country) AS country FROM dirty) d, (VALUES "
+        f"SELECT country, position, name, present, required FROM (SELECT DISTINCT {NATION} AS country FROM dirty) d, (VALUES "
         + ", ".join(f"(CAST({i} AS INTEGER), '{name}', TRUE, {name in NEED})" for i, name in enumerate(SHORT_ORDER))
         + f", (CAST({len(SHORT_ORDER)} AS INTEGER), 'UnitPrice', FALSE, TRUE)) t(position, name, present, required)"
     ),
-    "src_extra_columns": on_dirty("SELECT DISTINCT trim(Country) AS country, CAST(8 AS INTEGER) AS position, 'Channel' AS name FROM dirty"),
+    "src_extra_columns": on_dirty(f"SELECT DISTINCT {NATION} AS country, CAST(8 AS INTEGER) AS position, 'Channel' AS name FROM dirty"),
     "src_duplicate_header": on_dirty(
-        "SELECT DISTINCT trim(Country) AS country, CAST(p AS INTEGER) AS position, 'InvoiceNo' AS name "
+        f"SELECT DISTINCT {NATION} AS country, CAST(p AS INTEGER) AS position, 'InvoiceNo' AS name "
         "FROM dirty, (VALUES (0), (2)) t(p)"
     ),
     "src_file_manifest": DIGESTS.format(where="TRUE"),
@@ -410,10 +435,10 @@ SOURCES = {
 
 INCREMENTAL = {
     "inc_high_watermark": O.on_fact("SELECT MAX(invoice_timestamp) AS high_watermark FROM fact"),
-    "inc_filter": on_dirty(f"SELECT {KEYS} FROM dirty WHERE TRY_CAST(InvoiceDate AS TIMESTAMP) > {CUTOFF}"),
+    "inc_filter": on_dirty(f"SELECT {KEYS} FROM dirty WHERE {MOMENT} > {CUTOFF}"),
     "inc_filter_counts": on_dirty(
-        f"SELECT COUNT(*) FILTER (coalesce(TRY_CAST(InvoiceDate AS TIMESTAMP) > {CUTOFF}, FALSE)) AS kept_rows, "
-        f"COUNT(*) FILTER (NOT coalesce(TRY_CAST(InvoiceDate AS TIMESTAMP) > {CUTOFF}, FALSE)) AS skipped_rows FROM dirty"
+        f"SELECT COUNT(*) FILTER (coalesce({MOMENT} > {CUTOFF}, FALSE)) AS kept_rows, "
+        f"COUNT(*) FILTER (NOT coalesce({MOMENT} > {CUTOFF}, FALSE)) AS skipped_rows FROM dirty"
     ),
     "inc_antijoin": f"WITH {O.FACT}, {UNIQUE} SELECT {LINE} FROM unique_fact WHERE invoice_timestamp >= {CUTOFF}",
     "inc_batch_unique": f"WITH {O.FACT}, {UNIQUE} SELECT {LINE} FROM unique_fact",
@@ -516,6 +541,8 @@ PACKAGES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    queries = {
         **SOURCES, **VALIDATION, **CLEANING, **INCREMENTAL, **AUDIT, **MONITORING, **INSIGHTS, **PACKAGES,
     }
+    # The planted white space has tabs as well, which a plain trim leaves.
+    return {name: re.sub(r"\btrim\((\w+)\)", r"trim(\1, ' ' || chr(9))", sql) for name, sql in queries.items()}

@@ -80,11 +80,15 @@ def src_csv_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_raw(spark, [utf8, latin]).select("InvoiceNo", "StockCode", "Quantity", "Country")
 
 
+def _nation() -> Column:
+    return F.split(F.trim("Country"), " ")[0]
+
+
 def _by_country(spark: SparkSession, folder: str, rows: DataFrame) -> str:
     """The rows as CSV with one folder for each country; a file holds the rows of one country."""
     path = fresh_path(spark, "csv")
     (
-        rows.withColumn("part", F.trim("Country")).repartition("part").write.partitionBy("part")
+        rows.withColumn("part", _nation()).repartition("part").write.partitionBy("part")
         .option("header", True).option("escape", '"').csv(path)
     )
     return path
@@ -111,7 +115,7 @@ def src_extra_columns(spark: SparkSession, folder: str) -> DataFrame:
 def src_duplicate_header(spark: SparkSession, folder: str) -> DataFrame:
     """Files of text lines whose first line names InvoiceNo twice."""
     lines = T.dirty_rows(spark, folder).select(
-        F.trim("Country").alias("part"), F.concat_ws(",", F.trim("InvoiceNo"), "StockCode", F.trim("InvoiceNo")).alias("value"))
+        _nation().alias("part"), F.concat_ws(",", F.trim("InvoiceNo"), "StockCode", F.trim("InvoiceNo")).alias("value"))
     heads = lines.select("part").distinct().select("part", F.lit("InvoiceNo,StockCode, InvoiceNo ").alias("value"))
     path = fresh_path(spark, "lines")
     both = heads.withColumn("rank", F.lit(0)).unionByName(lines.withColumn("rank", F.lit(1)))

@@ -67,25 +67,40 @@ def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     return to_fact_columns(add_features(clean_rows(spark, folder)))
 
 
+# Words for a missing customer, as the planted rows spell them.
+PLANTED_MISSING = ["nan", "None", "NULL", "<NA>"]
+
+
 def dirty_rows(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
-    """Raw text transactions with faults planted by key; ``lines`` may be a stream."""
+    """Raw text transactions with faults planted by key; ``lines`` may be a stream.
+
+    Every fourth order is written twice: the copy has the same key with its quantity spelled as a
+    decimal, and another description.
+    """
     order = F.col("l_orderkey").cast("string")
-    part = F.col("l_partkey")
-    return _order_lines(spark, folder, lines).select(
+    part, customer = F.col("l_partkey"), F.col("o_custkey")
+    copies = F.when(F.col("l_orderkey") % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    copied = F.col("copy") == 1
+    word = F.element_at(F.array(*map(F.lit, PLANTED_MISSING)), (customer % 4 + 1).cast("int"))
+    quantity = _signed_quantity().cast("string")
+    return _order_lines(spark, folder, lines).withColumn("copy", F.explode(copies)).select(
         F.when(F.col("l_orderkey") % 101 == 0, "  ")
         .when(F.col("l_returnflag") == "R", F.concat(F.lit(" c"), order))
         .otherwise(F.concat(order, F.lit(" "))).alias("InvoiceNo"),
         F.concat(part.cast("string"), F.lit("a")).alias("StockCode"),
-        F.when(part % 109 != 0, F.concat(F.lit(" "), F.col("p_name"))).alias("Description"),
-        F.when(part % 107 == 0, "x").otherwise(_signed_quantity().cast("string")).alias("Quantity"),
+        F.when(part % 113 == 0, " None").when(copied, F.concat(F.lit("Copy of "), F.col("p_name")))
+        .when(part % 109 != 0, F.concat(F.lit(" \t"), F.col("p_name"))).alias("Description"),
+        F.when(part % 107 == 0, "x").when(copied, F.concat(quantity, F.lit(".0"))).otherwise(quantity).alias("Quantity"),
         F.when(F.col("l_orderkey") % 103 == 0, "bad-date")
+        .when(F.col("l_orderkey") % 5 == 1, F.date_format("o_orderdate", "M/d/yyyy H:mm"))
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("InvoiceDate"),
         F.concat(
             F.when(part % 97 == 0, "-").otherwise(""),
             F.col("p_retailprice").cast("decimal(10,2)").cast("string"),
         ).alias("UnitPrice"),
-        _guest_or_id(F.lit("nan")).alias("CustomerID"),
-        F.concat(F.lit(" "), F.lower("n_name"), F.lit(" ")).alias("Country"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", word)
+        .when(customer % 3 == 0, F.concat(customer.cast("string"), F.lit(".0"))).otherwise(customer.cast("string")).alias("CustomerID"),
+        F.concat(F.lit(" "), F.lower("n_name"), F.when(customer % 5 == 0, " west isle\t").otherwise(" ")).alias("Country"),
     )
 
 
