@@ -426,7 +426,7 @@ SOURCES = {
         SELECT CASE WHEN i % 10 = 0 THEN 'C' ELSE '' END || '536' ||
                CASE WHEN i < 1000 THEN lpad(CAST(i AS VARCHAR), 3, '0') ELSE CAST(i AS VARCHAR) END AS InvoiceNo,
                '8512' || CAST(i % 10 AS VARCHAR) || 'A' AS StockCode,
-               CASE WHEN i % 2 = 0 THEN 'WHITE HANGING HEART T-LIGHT HOLDER' END AS Description,
+               CASE WHEN i % 2 = 0 THEN 'GREEN GLASS TEA LAMP' END AS Description,
                CAST(CASE WHEN i % 10 = 0 THEN -1 ELSE 6 END AS BIGINT) AS Quantity,
                TIMESTAMP '2010-12-01 08:26:00' AS InvoiceDate, CAST(2.55 AS DOUBLE) AS UnitPrice,
                CASE WHEN i % 3 <> 0 THEN '17850' END AS CustomerID, 'United Kingdom' AS Country

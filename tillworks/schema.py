@@ -41,6 +41,7 @@ FACT_COLUMN_MAP = {
     "RevenueBucket": "revenue_bucket",
 }
 
+# Warehouse columns and types.
 FACT_SCHEMA = T.StructType([
     T.StructField("invoice_no", T.StringType()),
     T.StructField("stock_code", T.StringType()),
@@ -62,6 +63,7 @@ FACT_SCHEMA = T.StructType([
     T.StructField("loaded_at", T.TimestampNTZType()),
 ])
 
+# Keys, partition columns and zones.
 NATURAL_KEY = ["invoice_no", "stock_code", "invoice_timestamp"]
 DEDUPE_KEY = ["InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "CustomerID"]
 FACT_PARTITIONS = ["invoice_year", "invoice_month"]
@@ -89,6 +91,7 @@ PARTIAL = "PARTIAL"
 SKIPPED = "SKIPPED"
 FAILED = "FAILED"
 
+# Columns of the logs.
 RUN_EVENT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("event_seq", T.IntegerType()),

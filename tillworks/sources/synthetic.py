@@ -16,7 +16,7 @@ def from_ids(ids: DataFrame, name: str = "id") -> DataFrame:
     return ids.select(
         F.when(tenth, F.concat(F.lit("C"), invoice)).otherwise(invoice).alias("InvoiceNo"),
         F.concat(F.lit("8512"), (i % 10).cast("string"), F.lit("A")).alias("StockCode"),
-        F.when(i % 2 == 0, "WHITE HANGING HEART T-LIGHT HOLDER").alias("Description"),
+        F.when(i % 2 == 0, "GREEN GLASS TEA LAMP").alias("Description"),
         F.when(tenth, -1).otherwise(6).cast("bigint").alias("Quantity"),
         moment("2010-12-01 08:26:00").alias("InvoiceDate"),
         F.lit("2.55").cast("decimal(10,2)").alias("UnitPrice"),
