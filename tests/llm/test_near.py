@@ -65,7 +65,10 @@ def test_classes_are_brute_force(spark, seed):
 
 def test_small_tiles_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(dart_minhash, "TILE", 3)
+    monkeypatch.setattr(dart_minhash, "TEXT_TILE", 3)
     monkeypatch.setattr(dart_minhash, "SMALL_TILE", 2)
+    assert np.allclose(dart_minhash.likenesses(*[[dart_minhash.regions(prose(k, 40) + x) for k in (1, 2)] for x in ("", " a")]), [
+        [weighted(shingles(prose(k, 40)), shingles(prose(j, 40) + " a")) for j in (1, 2)] for k in (1, 2)])
     r, base = random.Random(4), prose(77, 120)
     rows = [(i, edited(base, r, i % 9)) for i in range(90)]
     found = dart_minhash.near_copies(documents(spark, *rows)).collect()

@@ -39,10 +39,10 @@ def words_of(text: str | None) -> list[str]:
     return text.split()
 
 
-def short_batches(spark: SparkSession) -> None:
+def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Make ready for Python on the executors: this package goes along, and texts are handed over
     a few hundred at a time, whatever their length."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     context = spark.sparkContext
     if not any(f.rpartition("/")[2] == SHIPPED for f in context._python_includes):
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

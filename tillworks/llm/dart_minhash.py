@@ -11,9 +11,10 @@ coordinate.
 Bands of the signature are joined on their hashes. Inside a bucket every text is first held
 against one leader; links merge texts into classes, and most buckets are one class then. What
 stays apart in a bucket is held against its other classes, in tiles of bounded size, so no link
-that the bands bring together is left out. Signatures (a byte for each coordinate) sort out what
-is far from alike: below ``NEAR`` of agreeing coordinates, five standard errors under the limit.
-The likeness of what remains is computed exactly from the texts. A pair of likeness 0.8 shares no
+that the bands bring together is left out. Against leaders, signatures (a byte for each
+coordinate) first sort out what is far from alike: below ``NEAR`` of agreeing coordinates, five
+standard errors under the limit. Likenesses are always computed exactly from the texts; in a tile
+all at once, as a product of two tables of texts by regions. A pair of likeness 0.8 shares no
 band with a probability of 3e-6.
 
 Equal texts are one node from the start, however many there are.
@@ -46,7 +47,9 @@ THROWN = DARTS * np.log(DARTS) + 2 * DARTS
 #: Nodes (of 16 bytes) in a list that goes to every task.
 MOST_LISTED = 500_000
 #: Share of agreeing coordinates from which texts are compared, and texts in a tile's two sides.
-NEAR, TILE, SMALL_TILE = 0.65, 256, 64
+NEAR, TILE, TEXT_TILE, SMALL_TILE = 0.65, 256, 64, 32
+#: Cells of those tables; longer texts are compared pair by pair. And tiles handed to Python at once.
+MOST_CELLS, TILE_BATCH = 16_000_000, 32
 
 _U = np.uint64
 
@@ -148,19 +151,25 @@ def with_node(docs: DataFrame) -> DataFrame:
     ).withColumn("node", F.unhex(F.md5("text")))
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of texts that are alike."""
-    held: OrderedDict[bytes, np.ndarray] = OrderedDict()
+class _Regions:
+    """Regions of the texts used last."""
 
-    def of(node: bytes, text: str) -> np.ndarray:
-        if node not in held:
-            held[node] = regions(text)
-            if len(held) > 64:
-                held.popitem(last=False)
+    def __init__(self, most: int) -> None:
+        self.most, self.held = most, OrderedDict()
+
+    def of(self, node: bytes, text: str) -> np.ndarray:
+        if node not in self.held:
+            self.held[node] = regions(text)
+            if len(self.held) > self.most:
+                self.held.popitem(last=False)
         else:
-            held.move_to_end(node)
-        return held[node]
+            self.held.move_to_end(node)
+        return self.held[node]
+
 
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of texts that are alike."""
+    of = _Regions(64).of
     for rows in batches:
         a, b, text_a, text_b = (c.to_pylist() for c in rows.columns)
         alike = [likeness(of(x, s), regions(t)) for x, s, t in zip(a, text_a, text_b)]
@@ -213,10 +222,38 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], names=["a", "b"])
 
 
-def _tiles(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Rows (bucket, n, node, label, sketch) in lists of about ``size``; n is the rows of the bucket."""
+def _tiles(rows: DataFrame, size: int, name: str, *fields: str) -> DataFrame:
+    """Rows (bucket, n, node, label, ...) in lists of about ``size``; n is the rows of the bucket."""
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / size))
-    return rows.groupBy("bucket", part.alias("part")).agg(F.collect_list(F.struct("node", "label", "sketch")).alias(name)).drop("part")
+    return rows.groupBy("bucket", part.alias("part")).agg(F.collect_list(F.struct("node", "label", *fields)).alias(name)).drop("part")
+
+
+def likenesses(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Weighted Jaccard of every text on the left with every text on the right."""
+    different, at = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    sizes = [np.array([len(r) for r in side], "f4") for side in (left, right)]
+    if len(different) * (len(left) + len(right)) > MOST_CELLS:
+        return np.array([[likeness(x, y) for y in right] for x in left])
+    has = np.zeros((len(left) + len(right), len(different)), "f4")
+    has[np.repeat(np.arange(len(has)), np.concatenate(sizes).astype("i8")), at] = 1
+    both = has[:len(left)] @ has[len(left):].T
+    return both / (sizes[0][:, None] + sizes[1][None, :] - both)
+
+
+def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the texts on a tile's two sides the alike pairs of different classes."""
+    held = _Regions(2000)
+    for rows in batches:
+        found: dict[tuple[bytes, bytes], float] = {}
+        for left, right in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+            same = likenesses(*[[held.of(r["node"], r["text"]) for r in side] for side in (left, right)])
+            for i, j in zip(*np.nonzero(same >= LIKENESS)):
+                if left[i]["label"] != right[j]["label"]:
+                    found[tuple(sorted((left[i]["node"], right[j]["node"])))] = float(same[i, j])
+        pairs = list(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary()),
+             pa.array(list(found.values()), pa.float64())], names=["a", "b", "likeness"])
 
 
 def _near_leaders(apart: DataFrame) -> DataFrame:
@@ -225,19 +262,21 @@ def _near_leaders(apart: DataFrame) -> DataFrame:
     leaders = apart.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), "node", "label", "sketch")).alias("l")).where("n > 1")
     one = F.array(F.struct(F.col("l.node").alias("node"), F.col("l.label").alias("label"), F.col("l.sketch").alias("sketch")))
-    tiles = _tiles(apart.join(leaders.select("bucket", "n"), "bucket"), TILE, "b")
+    tiles = _tiles(apart.join(leaders.select("bucket", "n"), "bucket"), TILE, "b", "sketch")
     return tiles.join(leaders.select("bucket", one.alias("a")), "bucket").select("a", "b").mapInArrow(_meet, "a binary, b binary")
 
 
-def _near_rest(apart: DataFrame) -> DataFrame:
-    """Pairs of texts of different classes in one bucket: those outside its largest class against
-    all others."""
+def _links_of_rest(apart: DataFrame, texts_of_nodes) -> DataFrame:
+    """Links between texts of different classes in one bucket: those outside its largest class are
+    held against all others."""
     sizes = apart.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("bucket").agg(
         F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("m")).where("m.n < n").select("bucket", "n", F.col("m.label").alias("main"))
-    rows = apart.join(largest, "bucket")
-    few = _tiles(rows.where("label != main"), SMALL_TILE, "a")
-    return few.join(_tiles(rows, TILE, "b"), "bucket").select("a", "b").mapInArrow(_meet, "a binary, b binary")
+    rows = stored(apart.drop("sketch").join(largest, "bucket"), "rest")
+    rows = rows.join(texts_of_nodes(rows.select("node")), "node")
+    few = _tiles(rows.where("label != main"), SMALL_TILE, "a", "text")
+    return few.join(_tiles(rows, TEXT_TILE, "b", "text"), "bucket").select("a", "b").mapInArrow(
+        _link, "a binary, b binary, likeness double").distinct()
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -248,19 +287,20 @@ def links(docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = buckets.join(shared, "bucket", "left_semi").join(nodes.select("node", "sketch"), "node")
     apart = stored(met.withColumn("label", F.col("node")), "apart")
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs.distinct(), "pairs")
-        wanted = stored(pairs.select("a").union(pairs.select("b")).distinct().toDF("node"), "wanted")
+    def texts_of_nodes(wanted: DataFrame) -> DataFrame:
+        wanted = stored(wanted.distinct(), "wanted")
         # Few texts have near ones; while their nodes are a short list, the others stay where they are.
         if wanted.count() <= MOST_LISTED:
             wanted = F.broadcast(wanted)
-        texts = docs.join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text"))
-        return stored(alike(pairs, stored(texts, "texts")), "alike")
+        return stored(docs.join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")), "texts")
 
-    found = compared(_near_leaders(apart))
+    pairs = stored(_near_leaders(apart).distinct(), "pairs")
+    found = stored(alike(pairs, texts_of_nodes(pairs.select("a").union(pairs.select("b")).toDF("node"))), "alike")
     labels = components(found)
     relabelled = apart.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    rest = compared(_near_rest(relabelled))
+    short_batches(docs.sparkSession, TILE_BATCH)
+    rest = stored(_links_of_rest(relabelled, texts_of_nodes), "alike")
+    short_batches(docs.sparkSession)
     if not rest.isEmpty():
         found = found.union(rest)
         labels = components(found)
