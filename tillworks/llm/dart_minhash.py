@@ -337,12 +337,19 @@ def near_copies(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near copies: of each class the row with the smallest doc_id
     (of repeated rows one); rows without words all stay."""
-    _, members = classes(docs.select("doc_id", "text"))
-    keepers = members.where("node = keeper").select("node", "first_id")
+    own, members = classes(docs.select("doc_id", "text"))
+    copies = own.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("same"))
+    keepers = members.where("node = keeper").select("node", "first_id").join(copies, "node").where(
+        F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "first_id", "same")
+    keepers = stored(keepers, "keepers")
+    if keepers.count() <= MOST_LISTED:  # else the documents are shuffled to their keepers
+        keepers = F.broadcast(keepers)
     rows, at, names = numbered(docs, "text")
     doc_id = rows.columns[names.index("doc_id")]
     marked = rows.withColumn("node", F.unhex(F.md5(F.coalesce(at, F.lit("")))))
     blank = ~F.coalesce(at, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     kept = marked.where(~blank).join(keepers, "node").where(F.col(doc_id).eqNullSafe(F.col("first_id")))
-    single = kept.groupBy("node").agg(F.any_value(F.struct(*rows.columns)).alias("r")).select("r.*")
-    return single.union(marked.where(blank).select(rows.columns)).toDF(*names)
+    # Repeated rows are few; only they have to meet for one of them to stay.
+    single = kept.where("same = 1").select(rows.columns)
+    repeated = kept.where("same > 1").groupBy("node").agg(F.any_value(F.struct(*rows.columns)).alias("r")).select("r.*")
+    return single.union(repeated).union(marked.where(blank).select(rows.columns)).toDF(*names)
