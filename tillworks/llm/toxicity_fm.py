@@ -37,7 +37,9 @@ BITS, FACTORS = 18, 4
 MOST_TOXIC, MOST_CLEAN = 3000, 6000
 EPOCHS, BATCH, RATE, DECAY, SEED = 5, 128, 0.05, 1e-4, 7
 #: Weight of every term at the start, and documents added to each term's counts.
-START, PRIOR_DOCS, NOISE = 0.3, 10, 0.8
+START, PRIOR_DOCS, NOISE = 0.5, 40, 0.5
+#: Deviation of the factors at the start.
+SPREAD = 0.1
 FOLDS = 5
 WORD = re.compile(r"\w+")
 #: Words at least so long also give their first letters as a term.
@@ -102,7 +104,7 @@ def _lean(docs: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
 def train(docs: list[np.ndarray], toxic: np.ndarray) -> Machine:
     """AdaGrad on the logistic loss, a few documents at a time."""
     chance = np.random.default_rng(SEED)
-    machine = Machine(0.0, _lean(docs, toxic), np.full(1 << BITS, START), chance.normal(0, 0.01, (1 << BITS, FACTORS)))
+    machine = Machine(0.0, _lean(docs, toxic), np.full(1 << BITS, START), chance.normal(0, SPREAD, (1 << BITS, FACTORS)))
     squares_w, squares_v, squares_b = np.full(1 << BITS, 1e-6), np.full((1 << BITS, FACTORS), 1e-6), 1e-6
     for _ in range(EPOCHS):
         order = chance.permutation(len(docs))
@@ -124,7 +126,7 @@ def train(docs: list[np.ndarray], toxic: np.ndarray) -> Machine:
             squares_w[used] += grad_w ** 2
             squares_v[used] += grad_v ** 2
             machine.weights[used] -= RATE * grad_w / np.sqrt(squares_w[used])
-            machine.factors[used] -= RATE / 4 * grad_v / np.sqrt(squares_v[used])
+            machine.factors[used] -= RATE * grad_v / np.sqrt(squares_v[used])
             squares_b += error.sum() ** 2
             machine.bias -= RATE * error.sum() / squares_b ** 0.5
     return machine
