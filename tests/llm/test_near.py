@@ -122,6 +122,26 @@ def test_leaks(spark):
     assert template_leaks.leaks(frame, items.limit(0)).count() == 0 == template_leaks.leaks(frame.limit(0), items).count()
 
 
+def leaked(spark, items, *texts):
+    """(doc_id, item_id) of each leak; texts are numbered from 0."""
+    items = spark.createDataFrame(items, "item_id bigint, text string")
+    return {(r.doc_id, r.item_id) for r in template_leaks.leaks(documents(spark, *enumerate(texts)), items).collect()}
+
+
+def test_leaks_by_occurrence(spark):
+    ask = "A train leaves {} at {} and travels {} km in {} hours. How fast does the train go on its way?".format
+    twice = "She puts 3 red apples in the big basket and he puts 5 red apples in the big basket today."
+    apart = ask("Lyon", 7, 300, 4).replace("How fast", prose(4, 60) + " How fast")
+    bad = ("A train leaves Lyon at 7 and travels 300 km in 4 hours. How fast does the train go on its way?" + " 5 red apples") * 2
+    same = "Take 7 of the old coins and 7 of the new coins, then put 7 of the best coins and 7 of the worst coins aside."
+    wrong = "Take 1 of the old coins and 2 of the new coins, then put 3 of the best coins and 4 of the worst coins aside."
+    assert leaked(
+        spark, [(1, ask("Paris", 9, 120, 2)), (2, twice), (3, same)],
+        ask("Paris", 9, 120, 2) + " " + ask("Rome", 5, 77, 8), prose(5, 200) + " " + " ".join(ask(c, k, k + 50, k + 9) for k, c in enumerate(["Rome", "Bonn", "Bern"])),
+        twice, apart + " " + ask("Rome", 5, 77, 8), bad, wrong, same.replace("7", "12"), prose(6, 300),
+    ) == {(0, 1), (1, 1), (2, 2), (3, 1), (4, 1), (6, 3)}
+
+
 def test_leaks_without_a_list(spark, monkeypatch):
     """More benchmark windows than tasks can be given: all windows take part in the join."""
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")

@@ -4,9 +4,13 @@ A benchmark question is often reused with other numbers, names or units. Words a
 canonicalised: numbers, units and names become typed placeholders, other words lose case and
 outer punctuation. Windows of five canonical words are the templates. Windows of documents and of
 items are joined on their hashes; a document leaks an item if it holds at least 0.8 of the item's
-templates. What stood in the placeholders must agree too: each value of the item has to be
-replaced by one value throughout (its main value, in at least 0.8 of its places), be it the same
-value or another. Windows of placeholders alone say nothing and are left out.
+templates. What stood in the placeholders must agree too, in one occurrence of the item at least:
+each value of the item has to be replaced by one value throughout (its main value, in at least 0.8
+of its places), be it the same value or another. Windows of placeholders alone say nothing and are left out.
+
+Every distance between a place of a window in the document and in the item may be where an occurrence
+begins. Each window of the item is then looked up where it stands nearest to that, so words put in
+or left out do no harm, and other occurrences don't count.
 
 Most documents are far from any item, and that shows in single words. Of each item up to
 ``GROUPS`` groups of plain words are picked, the longest first, so that the windows with a word of
@@ -42,6 +46,8 @@ from tillworks.llm.pretokens import Memo
 WINDOW, SHARE = 5, 0.8
 MOST_LISTED = 4_000_000
 REMEMBERED, GROUPS = 300_000, 3
+#: Slots looked at together.
+_BLOCK = 1 << 18
 
 # Words for numbers and units in the languages of the corpus.
 NUMBER_WORDS = set(
@@ -175,12 +181,15 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"groups": pa.array(groups, pa.list_(pa.list_(pa.string())))})
 
 
-FOUND = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("window", pa.int64()), ("slots", pa.list_(pa.string()))])
-FOUND_DDL = "id long, text_hash long, window long, slots array<string>"
+FOUND = pa.schema([
+    ("id", pa.int64()), ("text_hash", pa.int64()), ("window", pa.int64()), ("at", pa.list_(pa.int32())),
+    ("slots", pa.list_(pa.list_(pa.string()))), ("n", pa.int32())])
+FOUND_DDL = "id long, text_hash long, window long, at array<int>, slots array<array<string>>, n int"
 
 
 def _windows(batches: Iterator[pa.RecordBatch], listed) -> Iterator[pa.RecordBatch]:
-    """Every different (window, slot values) of each text; of documents only windows listed."""
+    """Every different window of each text with its places, the slot values there and the number of
+    the text's windows; of documents only windows listed."""
     wanted, near = (None, None) if listed is None else listed.value
     for rows, texts in texts_of(batches, 2):
         out = []
@@ -193,17 +202,83 @@ def _windows(batches: Iterator[pa.RecordBatch], listed) -> Iterator[pa.RecordBat
                 found_at = np.searchsorted(wanted, hashes)
                 hit = wanted[np.minimum(found_at, len(wanted) - 1)] == hashes if len(wanted) else np.zeros(len(hashes), bool)
                 at, hashes = at[hit], hashes[hit]
-            seen = set()
+            found: dict[int, tuple[list[int], list[list[str]]]] = {}
             for place, h in zip(at.tolist(), hashes.view("i8").tolist()):
                 end = min(place + WINDOW, len(words))
-                slots = tuple(words[k].strip(_OUTER).lower() for k in range(place, end) if kind[k] != PLAIN)
-                if (h, slots) not in seen:
-                    seen.add((h, slots))
-                    out.append((i, text_hash, h, slots))
+                places, slots = found.setdefault(h, ([], []))
+                places.append(place)
+                slots.append([words[k].strip(_OUTER).lower() for k in range(place, end) if kind[k] != PLAIN])
+            out += [(i, text_hash, h, *of, len(found)) for h, of in found.items()]
         if out:
             yield batch(FOUND, *map(list, zip(*out)))
 
 
+def _nearest(places: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Index of the place nearest to each wanted one; places ascend."""
+    k = np.minimum(np.searchsorted(places, wanted), len(places) - 1)
+    before = np.maximum(k - 1, 0)
+    return np.where(np.abs(places[before] - wanted) <= np.abs(places[k] - wanted), before, k)
+
+
+def agreement(met: list[dict], n: int) -> float:
+    """Share of the slots that agree in the occurrence where most do; 1 without slots. ``met`` has the
+    windows that the document and the item, of ``n`` windows, have in common."""
+    codes: dict[str, int] = {}
+    # Each place of the item: the place, which window it is, where the document has it, and codes of the slots of both.
+    places = []
+    for window, m in enumerate(met):
+        at, by = np.array(m["at"], "i8"), [[codes.setdefault(s, len(codes)) for s in slots] for slots in m["slots"]]
+        by = np.array(by, "i8").reshape(len(at), -1)
+        for q, slots in zip(m["item_at"], m["item_slots"]):
+            places.append((q, window, at, [codes.setdefault(s, len(codes)) for s in slots], by))
+    if not any(p[3] for p in places):
+        return 1.0
+    reach = max(p[0] for p in places) // 2 + 1
+    offsets, support = np.unique(np.concatenate([at - q for q, _, at, _, _ in places]), return_counts=True)
+    offsets = offsets[np.lexsort((offsets, -support))]
+    best, size = 0.0, _BLOCK // sum(1 + len(p[3]) for p in places) + 1
+    for lo in range(0, len(offsets), size):
+        begins = offsets[lo:lo + size]
+        rows = np.arange(len(begins)) * len(codes)
+        holds = np.zeros((len(met), len(begins)), bool)
+        keys, near = [], []
+        for q, window, at, values, by in places:
+            k = _nearest(at, begins + q)
+            close = np.abs(at[k] - q - begins) <= reach
+            holds[window] |= close
+            for slot, value in enumerate(values):
+                keys.append((rows + value) * len(codes) + by[k, slot])
+                near.append(close)
+        # An occurrence may be whole without what stands far away; else all of the document counts.
+        whole = holds.sum(axis=0) >= SHARE * n - 1e-9
+        for chosen in (np.array(near) & whole, np.ones((len(near), len(begins)), bool)):
+            pairs, times = np.unique(np.array(keys)[chosen], return_counts=True)
+            if not len(pairs):
+                continue
+            value = pairs // len(codes)
+            first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+            agree = np.bincount(value[first] // len(codes), np.maximum.reduceat(times, first), len(begins))
+            best = max(best, float((agree / np.maximum(chosen.sum(axis=0), 1)).max()))
+        if best == 1.0:
+            break
+    return best
+
+
+LEAKS = pa.schema([
+    ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64()), ("slot_share", pa.float64())])
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        out = []
+        for r in rows.to_pylist():
+            share = len(r["met"]) / r["n"]
+            if share >= SHARE and (slots := agreement(r["met"], r["n"])) >= SHARE:
+                out.append((r["id"], r["text_hash"], r["item_id"], share, slots))
+        if out:
+            yield batch(LEAKS, *map(list, zip(*out)))
+
+
 def _rows(frame: DataFrame, id_column: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return frame.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
@@ -214,10 +289,9 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     windows in the document, and of the slots that agree (1 if it has none)."""
     spark = docs.sparkSession
     short_batches(spark)
-    item_rows = _rows(items, "item_id").where("id IS NOT NULL")
+    item_rows = _rows(items, "item_id").where("id IS NOT NULL").dropDuplicates(["id", "text_hash"])
     item_windows = stored(item_rows.mapInArrow(partial(_windows, listed=None), FOUND_DDL).select(
-        F.col("id").alias("item_id"), "window", F.col("slots").alias("item_slots")), "item-windows")
-    sizes = item_windows.groupBy("item_id").agg(F.countDistinct("window").alias("n"))
+        F.col("id").alias("item_id"), "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "n"), "item-windows")
     different = item_windows.select("window").distinct()
     first = different.limit(MOST_LISTED + 1).toArrow().column(0).to_numpy()
     listed = None
@@ -225,20 +299,12 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         # An item has no more anchors than windows.
         groups = [r.groups for r in item_rows.mapInArrow(_anchors, "groups array<array<string>>").distinct().collect()]
         listed = spark.sparkContext.broadcast((np.sort(first.astype("i8").view("u8")), Anchors(groups)))
-    found = _rows(docs, "doc_id").mapInArrow(partial(_windows, listed=listed), FOUND_DDL)
-    # Two aggregates look at the meeting windows, which are few; the documents are read once.
-    met = stored(found.join(item_windows, "window"), "met")
-    key = ["id", "text_hash", "item_id"]
-    # One row per window: how many slot pairs, kept apart by the item's value.
-    pairs = met.withColumn("pair", F.explode_outer(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))))
-    values = pairs.groupBy(*key, F.col("pair.i").alias("value"), F.col("pair.d").alias("by")).agg(
-        F.collect_set("window").alias("w"), F.count(F.lit(1)).alias("n"))
-    main = values.groupBy(*key, "value").agg(F.sum("n").alias("of"), F.max("n").alias("most"))
-    slots = main.where("value IS NOT NULL").groupBy(*key).agg((F.sum("most") / F.sum("of")).alias("slot_share"))
-    shares = met.groupBy(*key).agg(F.countDistinct("window").alias("hit")).join(sizes, "item_id").select(
-        *key, (F.col("hit") / F.col("n")).alias("share")).where(F.col("share") >= SHARE)
-    judged = shares.join(slots, key, "left").withColumn("slot_share", F.coalesce("slot_share", F.lit(1.0)))
-    return judged.where(F.col("slot_share") >= SHARE).select(F.col("id").alias("doc_id"), "text_hash", "item_id", "share", "slot_share")
+    found = _rows(docs, "doc_id").mapInArrow(partial(_windows, listed=listed), FOUND_DDL).drop("n")
+    # A set, as rows may share doc_id and text; one entry per window.
+    met = found.join(item_windows, "window").groupBy("id", "text_hash", "item_id").agg(
+        F.max("n").alias("n"), F.collect_set(F.struct("window", "at", "slots", "item_at", "item_slots")).alias("met"))
+    return met.where(F.size("met") >= SHARE * F.col("n") - 1e-9).mapInArrow(
+        _judged, "doc_id long, text_hash long, item_id long, share double, slot_share double")
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
