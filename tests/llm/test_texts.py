@@ -93,6 +93,20 @@ def test_secrets(spark):
     assert secret_scan.scan(documents(spark, *ODD).limit(0)).count() == 0
 
 
+def test_copied_secrets_stay_secret(spark):
+    """Neither copies of a text nor other texts with the same secret make it a known word."""
+    texts = [*["Our pwd is qzkvxwjpmt now, qzkvxwjpmt for all."] * 30, *[f"{prose(k, 20)} login: wqxzjvkpth" for k in range(30)]]
+    for r in secret_scan.scan(documents(spark, *enumerate(texts)).repartition(4)).collect():
+        assert [r.text[s.start:s.end] for s in r.spans] == ["qzkvxwjpmt" if r.doc_id < 30 else "wqxzjvkpth"]
+
+
+def test_different_texts(spark, monkeypatch):
+    expected = sorted({t or "" for _, t in ODD})
+    for most in (1_000_000, 1):
+        monkeypatch.setattr(word_counts, "MOST_REPEATED", most)
+        assert sorted(r.text for r in word_counts.different_texts(documents(spark, *ODD)).collect()) == expected
+
+
 def test_secrets_are_masked(spark):
     masked = {r.doc_id: r.text for r in secret_scan.without_secrets(documents(spark, *SECRETS, (60, None), (61, ""))).collect()}
     assert masked[50] == "é [SECRET]\" and token=short [SECRET] [SECRET]"

@@ -6,8 +6,10 @@ by dynamic programming, into the segments that are cheapest to guess together -
 (with capitals and digit-for-letter spelling), dates, repeats, keyboard walks and runs, and what
 is left by brute force. Cheap values are placeholders or prose; dear ones are secrets.
 
-Words cost the logarithm of their rank. Ranks come from the counts of all documents, with a short
-list of favourite passwords before them; the list sent to the tasks is bounded by ``WORDS``.
+Words cost the logarithm of their rank. Ranks come from the number of different texts that hold the
+word outside of a credential's place, with a short list of favourite passwords before them; the list
+sent to the tasks is bounded by ``WORDS``. So a secret doesn't become a known word by being copied,
+neither with its text nor from one text to others.
 
 Cases: null and empty texts have no spans. Spans are code points, end exclusive, in the order of
 their start, then kind. Equal rows get equal spans. Other columns are carried along; ``spans``
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.llm.common import numbered, short_batches, texts_of
-from tillworks.llm.word_counts import frequent_words
+from tillworks.llm.word_counts import different_texts, frequent_words
 
 # The base patterns of the scan.
 ASSIGN = re.compile(
@@ -68,8 +70,14 @@ DATE = re.compile(r"(\d{1,4})([-/._]?)(\d{1,2})\2(\d{1,4})")
 PLAIN_WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_pieces(text: str) -> list[str]:
-    return [w for w in PLAIN_WORD.findall(text.lower()) if 3 <= len(w) <= LONGEST_WORD]
+def word_pieces(text: str) -> set[str]:
+    """The different words of a text, without what stands in a credential's place."""
+    parts, at = [], 0
+    for lo, hi in sorted(m.span(m.re.groups) for pattern in (CONTEXT, ASSIGN) for m in pattern.finditer(text)):
+        parts.append(text[at:max(at, lo)])
+        at = max(at, hi)
+    text = " ".join([*parts, text[at:]])
+    return {w for w in PLAIN_WORD.findall(text.lower()) if 3 <= len(w) <= LONGEST_WORD}
 
 
 def ranks(words: list[str]) -> dict[str, int]:
@@ -184,7 +192,7 @@ SPANS = T.ArrayType(T.StructType([
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with ``spans``: kind, start, end and, for added ones, the guess cost."""
     short_batches(docs.sparkSession)
-    words = [w for w, _ in frequent_words(docs, word_pieces, WORDS, text)]
+    words = [w for w, _ in frequent_words(different_texts(docs, text), word_pieces, WORDS)]
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c == text or c.lower() != "spans"])
     schema = T.StructType([*docs.schema, T.StructField("spans", SPANS)])
     return docs.mapInArrow(partial(_scan, at=docs.columns.index(text), words=words), schema)

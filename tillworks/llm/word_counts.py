@@ -1,4 +1,4 @@
-"""How often each word occurs in all documents."""
+"""How often each word occurs in all documents, or in how many different texts."""
 
 from __future__ import annotations
 
@@ -15,6 +15,8 @@ from tillworks.llm.common import short_batches, stored, texts_of
 SCHEMA = pa.schema([("word", pa.string()), ("n", pa.int64())])
 #: Different words a task gathers before it hands their counts on.
 GATHERED = 200_000
+#: Repeated texts whose hashes are broadcast.
+MOST_REPEATED = 1_000_000
 
 
 def _counts(batches: Iterator[pa.RecordBatch], split) -> Iterator[pa.RecordBatch]:
@@ -35,6 +37,19 @@ def _rows(seen: Counter) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([seen[w] for w in part], pa.int64())], schema=SCHEMA)
 
 
+def different_texts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(text): every different text once; a null text is an empty one. While few texts are repeated,
+    only copies of these are moved."""
+    rows = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    again = stored(hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "repeated")
+    if again.limit(MOST_REPEATED + 1).count() > MOST_REPEATED:
+        return rows.distinct()
+    again = F.broadcast(again)
+    once = hashed.join(again, "hash", "left_anti").select("text")
+    return once.union(hashed.join(again, "hash", "left_semi").select("text").distinct())
+
+
 def frequent_words(docs: DataFrame, split, most: int, text: str = "text") -> list[tuple[str, int]]:
     """The most frequent words with their counts over all documents, in order; ties by word.
 
