@@ -142,6 +142,17 @@ def test_leaks_by_occurrence(spark):
     ) == {(0, 1), (1, 1), (2, 2), (3, 1), (4, 1), (6, 3)}
 
 
+def test_leaks_with_other_names_and_units(spark):
+    ask = "{0} has 5 apples. {1} gives {0} 3 more. How many apples does {0} have?".format
+    run = "On Monday the {} ran {} around the old lake, and then the old {} slept for {} days in the tall grass.".format
+    corpus = "how many of the apples are old, and how many more are on the lake? how old are the many apples?"
+    assert leaked(
+        spark, [(1, ask("Alice", "Bob")), (2, run("fox", "5km", "fox", "five")), (3, "the McDonald farm sells the best milk to O'Brien and to the old town")],
+        ask("Carol", "Dave"), "We read: " + ask("Alice", "Bob"), run("fox", "8km", "fox", "twenty"), "the McArthur farm sells the best milk to O'Neill and to the old town",
+        ask("Carol", "Dave").replace("How many", "So few"), corpus, corpus + " so few.", ask("Will", "Dave") + " he will, she will",
+    ) == {(0, 1), (1, 1), (2, 2), (3, 3), (7, 1)}
+
+
 def test_leaks_without_a_list(spark, monkeypatch):
     """More benchmark windows than tasks can be given: all windows take part in the join."""
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")

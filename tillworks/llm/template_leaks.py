@@ -8,6 +8,11 @@ templates. What stood in the placeholders must agree too, in one occurrence of t
 each value of the item has to be replaced by one value throughout (its main value, in at least 0.8
 of its places), be it the same value or another. Windows of placeholders alone say nothing and are left out.
 
+A word that begins a sentence and is written like a name may be one. It is read as a plain word and,
+if it is a name elsewhere in the text or isn't among the ``KNOWN`` commonest lower-case words of the
+documents, as a name as well; a window is held if any reading of it is. So nothing is lost where
+the two texts don't read it alike.
+
 Every distance between a place of a window in the document and in the item may be where an occurrence
 begins. Each window of the item is then looked up where it stands nearest to that, so words put in
 or left out do no harm, and other occurrences don't count.
@@ -42,27 +47,43 @@ from pyspark.sql import functions as F
 
 from tillworks.llm.common import batch, short_batches, stored, texts_of, words_of
 from tillworks.llm.pretokens import Memo
+from tillworks.llm.word_counts import frequent_words
 
 WINDOW, SHARE = 5, 0.8
 MOST_LISTED = 4_000_000
 REMEMBERED, GROUPS = 300_000, 3
+#: Lower-case words that are known not to be names alone.
+KNOWN = 100_000
 #: Slots looked at together.
 _BLOCK = 1 << 18
 
 # Words for numbers and units in the languages of the corpus.
 NUMBER_WORDS = set(
     "zero one two three four five six seven eight nine ten eleven twelve dozen hundred thousand million billion half "
+    "thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety trillion "
+    "elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn zwanzig dreißig vierzig fünfzig sechzig siebzig "
+    "achtzig neunzig million millionen onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante mille "
+    "doce trece catorce quince dieciséis diecisiete dieciocho diecinueve veinte treinta cuarenta cincuenta sesenta setenta "
+    "ochenta noventa ciento "
     "eins zwei drei vier fünf sechs sieben acht neun zehn hundert tausend "
     "deux trois quatre cinq sept huit neuf dix cent mille dos tres cuatro cinco siete ocho nueve diez cien mil".split())
 UNIT_WORDS = set(
     "km m cm mm mile miles metre metres meter meters foot feet inch inches yard yards kg g mg lb lbs pound pounds ounce "
     "ounces ton tons litre litres liter liters ml hour hours minute minutes second seconds day days week weeks month "
     "months year years dollar dollars cent cents euro euros percent % $ € £ mph kmh kph degrees degree".split())
+#: Tens and ones in one word: 'twenty-five'.
+NUMBER_PAIR = re.compile(r"(twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety)-(one|two|three|four|five|six|seven|eight|nine)")
+#: A number and its unit in one word: '5km'.
+GLUED = re.compile(r"([+-]?[$€£]?\d[\d.,:/]*)-?([^\W\d_]+|%)")
+#: Written like a name: one capital at the beginning, or more after an apostrophe, a hyphen or a small letter.
+NAMED = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*(?:['’]s)?")
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*\d?(?:st|nd|rd|th)?%?")
 
 _U = np.uint64
 #: Kinds of word: plain, and the placeholders.
 PLAIN, NUM, UNIT, NAME = 0, 1, 2, 3
+#: Where a sentence begins: plain, or a name.
+MAYBE = 4
 PLACEHOLDERS = np.array([0, *[xxhash.xxh3_64_intdigest(n) for n in ("<number>", "<unit>", "<name>")]], "u8")
 
 
@@ -77,28 +98,50 @@ _OUTER = "".join(chr(c) for c in range(0x2100) if unicodedata.category(chr(c))[0
 
 
 def _word(word: str) -> bytes:
-    """Hash of the plain form, hash of the written form, kind where it stands first in a sentence
-    and elsewhere, and whether a sentence ends with it; 24 bytes."""
+    """Hash of the plain form, kind where it stands first in a sentence and elsewhere, and whether a
+    sentence ends with it; 16 bytes."""
     core = word.strip(_OUTER)
     lower = core.lower()
     if NUMBER.fullmatch(core) or lower in NUMBER_WORDS:
         kinds = (NUM, NUM)
     elif lower in UNIT_WORDS:
         kinds = (UNIT, UNIT)
-    elif core[:1].isupper() and core[1:].islower():  # one capital: a name unless a sentence begins
-        kinds = (PLAIN, NAME)
+    elif (glued := GLUED.fullmatch(core)) and glued[2].lower() in UNIT_WORDS or NUMBER_PAIR.fullmatch(lower):
+        kinds = (NUM, NUM)
+    elif core[:1].isupper() and (core[1:].islower() or NAMED.fullmatch(core) and not core.isupper()):
+        kinds = (MAYBE, NAME)  # a name unless a sentence begins
     else:
         kinds = (PLAIN, PLAIN)
     ends = word.rstrip("\"')]»”’")[-1:] in (".", "!", "?", ":")
-    return xxhash.xxh3_64_digest(lower)[::-1] + xxhash.xxh3_64_digest(core)[::-1] + bytes([*kinds, ends, 0, 0, 0, 0, 0])
+    return xxhash.xxh3_64_digest(lower)[::-1] + bytes([*kinds, ends, 0, 0, 0, 0, 0])
 
 
 _memo = Memo(_word, REMEMBERED)
-_FIELDS = np.dtype([("plain", "<u8"), ("written", "<u8"), ("first", "u1"), ("inner", "u1"), ("ends", "u1"), ("_", "V5")])
+_FIELDS = np.dtype([("plain", "<u8"), ("first", "u1"), ("inner", "u1"), ("ends", "u1"), ("_", "V5")])
+
+
+LOWER = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+
+
+def lower_words(text: str) -> list[str]:
+    return [w for w in LOWER.findall(text) if w.islower()]
 
 
-def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
-    """(template hash, written hash, kind) of each word, and the words."""
+def hashed(words: list[str]) -> np.ndarray:
+    """Hashes of plain words, in order."""
+    return np.sort(np.array([xxhash.xxh3_64_intdigest(w) for w in words], "u8"))
+
+
+def _among(hashes: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which hashes are listed; the list is in order."""
+    if not len(listed):
+        return np.zeros(len(hashes), bool)
+    return listed[np.minimum(np.searchsorted(listed, hashes), len(listed) - 1)] == hashes
+
+
+def canonical(text: str, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """(template hash, kind, whether it may be a name besides) of each word, and the words.
+    ``known`` are the hashes of words that are no names alone."""
     words = words_of(text)
     w = np.frombuffer(b"".join(map(_memo.__getitem__, words)), _FIELDS)
     begins = np.r_[np.ones(min(1, len(w)), "u1"), w["ends"][:-1]] > 0
@@ -107,35 +150,54 @@ def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]
         at = np.cumsum([len(words_of(line)) for line in text.split("\n")])
         begins[at[at < len(w)]] = True
     kind = np.where(begins, w["first"], w["inner"])
-    return np.where(kind == PLAIN, w["plain"], PLACEHOLDERS[kind]), w["written"], kind, words
+    maybe = kind == MAYBE
+    if maybe.any():
+        maybe &= ~_among(w["plain"], known) | _among(w["plain"], np.unique(w["plain"][kind == NAME]))
+        kind = np.where(kind == MAYBE, PLAIN, kind)
+    return np.where(kind == PLAIN, w["plain"], PLACEHOLDERS[kind]), kind, maybe, words
 
 
-def windows(template: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place, hash) of the windows that hold a plain word."""
+def windows(template: np.ndarray, kind: np.ndarray, maybe: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place, hash, hash of the plain reading, bits of the words read as names) of each reading of
+    the windows that holds a plain word."""
     if not len(template):
-        return np.empty(0, "i8"), np.empty(0, "u8")
+        return np.empty(0, "i8"), np.empty(0, "u8"), np.empty(0, "u8"), np.empty(0, "i8")
     n, width = max(1, len(template) - WINDOW + 1), min(WINDOW, len(template))
     sums, plain = np.zeros(n, "u8"), np.zeros(n, bool)
     for i in range(width):
         sums += _mixed(template[i:i + n] ^ _STEPS[i])
         plain |= kind[i:i + n] == PLAIN
-    at = np.flatnonzero(plain)
-    return at, _mixed(sums[at])
+    at, bases = np.flatnonzero(plain), _mixed(sums)
+    found = [(at, bases[at], bases[at], np.zeros(len(at), "i8"))]
+    if maybe.any():
+        bits = sum(maybe[i:i + n].astype("i8") << i for i in range(width))
+        for names in range(1, 1 << width):
+            at = np.flatnonzero(bits & names == names)
+            if not len(at):
+                continue
+            sums, plain = np.zeros(len(at), "u8"), np.zeros(len(at), bool)
+            for i in range(width):
+                named = names >> i & 1
+                sums += _mixed((PLACEHOLDERS[NAME:NAME + 1] if named else template[at + i]) ^ _STEPS[i])
+                plain |= not named and kind[at + i] == PLAIN
+            at = at[plain]
+            found.append((at, _mixed(sums[plain]), bases[at], np.full(len(at), names)))
+    return tuple(map(np.concatenate, zip(*found)))
 
 
 TOKEN = re.compile(r"\w+")
 
 
-def anchors(text: str) -> list[list[str]]:
+def anchors(text: str, known: np.ndarray) -> list[list[str]]:
     """Groups of pieces of words; a text that holds ``SHARE`` of this text's windows has a word of
     each. Words are lower case and as ``TOKEN`` finds them."""
-    template, _, kind, words = canonical(text)
-    at, hashes = windows(template, kind)
-    # By word: the different windows that it stands in.
+    template, kind, maybe, words = canonical(text, known)
+    at, hashes, _, _ = windows(template, kind, np.zeros_like(maybe))
+    # By word: the different windows that it stands in, whatever their reading.
     inside: dict[str, set[int]] = {}
     for place, h in zip(at.tolist(), hashes.tolist()):
         for k in range(place, min(place + WINDOW, len(words))):
-            if kind[k] == PLAIN:
+            if kind[k] == PLAIN and not maybe[k]:
                 inside.setdefault(words[k].strip(_OUTER).lower(), set()).add(h)
     groups, enough = [], len(set(hashes.tolist())) * (1 - SHARE) + 1e-9
     picked, covered = [], set()
@@ -175,40 +237,42 @@ class Anchors:
         return any(bits == self.full[item] for item, bits in has.items())
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _anchors(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
     for _, texts in texts_of(batches, 2):
-        groups = [anchors(t) for t in texts if len(windows(*[canonical(t)[k] for k in (0, 2)])[0])]
+        groups = [anchors(t, known.value) for t in texts if len(windows(*canonical(t, known.value)[:3])[0])]
         yield pa.record_batch({"groups": pa.array(groups, pa.list_(pa.list_(pa.string())))})
 
 
 FOUND = pa.schema([
     ("id", pa.int64()), ("text_hash", pa.int64()), ("window", pa.int64()), ("at", pa.list_(pa.int32())),
-    ("slots", pa.list_(pa.list_(pa.string()))), ("n", pa.int32())])
-FOUND_DDL = "id long, text_hash long, window long, at array<int>, slots array<array<string>>, n int"
+    ("slots", pa.list_(pa.list_(pa.string()))), ("bases", pa.list_(pa.int64())), ("n", pa.int32())])
+FOUND_DDL = "id long, text_hash long, window long, at array<int>, slots array<array<string>>, bases array<long>, n int"
 
 
-def _windows(batches: Iterator[pa.RecordBatch], listed) -> Iterator[pa.RecordBatch]:
-    """Every different window of each text with its places, the slot values there and the number of
-    the text's windows; of documents only windows listed."""
+def _windows(batches: Iterator[pa.RecordBatch], known, listed) -> Iterator[pa.RecordBatch]:
+    """Every different window of each text with its places, the slot values and the plain reading
+    there and the number of the text's windows; of documents only windows listed."""
     wanted, near = (None, None) if listed is None else listed.value
     for rows, texts in texts_of(batches, 2):
         out = []
         for i, text_hash, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), texts):
             if near is not None and not near.near(text):
                 continue
-            template, _, kind, words = canonical(text)
-            at, hashes = windows(template, kind)
+            template, kind, maybe, words = canonical(text, known.value)
+            all_windows = windows(template, kind, maybe)
             if wanted is not None:
-                found_at = np.searchsorted(wanted, hashes)
-                hit = wanted[np.minimum(found_at, len(wanted) - 1)] == hashes if len(wanted) else np.zeros(len(hashes), bool)
-                at, hashes = at[hit], hashes[hit]
-            found: dict[int, tuple[list[int], list[list[str]]]] = {}
-            for place, h in zip(at.tolist(), hashes.view("i8").tolist()):
+                hit = _among(all_windows[1], wanted)
+                all_windows = tuple(x[hit] for x in all_windows)
+            at, hashes, bases, names = all_windows
+            found: dict[int, tuple[list[int], list[list[str]], list[int]]] = {}
+            for place, h, base, named in zip(at.tolist(), hashes.view("i8").tolist(), bases.view("i8").tolist(), names.tolist()):
                 end = min(place + WINDOW, len(words))
-                places, slots = found.setdefault(h, ([], []))
-                places.append(place)
-                slots.append([words[k].strip(_OUTER).lower() for k in range(place, end) if kind[k] != PLAIN])
-            out += [(i, text_hash, h, *of, len(found)) for h, of in found.items()]
+                of = found.setdefault(h, ([], [], []))
+                of[0].append(place)
+                of[1].append([words[k].strip(_OUTER).lower() for k in range(place, end) if kind[k] != PLAIN or named >> k - place & 1])
+                of[2].append(base)
+            n = len(np.unique(bases))
+            out += [(i, text_hash, h, *of, n) for h, of in found.items()]
         if out:
             yield batch(FOUND, *map(list, zip(*out)))
 
@@ -224,34 +288,43 @@ def agreement(met: list[dict], n: int) -> float:
     """Share of the slots that agree in the occurrence where most do; 1 without slots. ``met`` has the
     windows that the document and the item, of ``n`` windows, have in common."""
     codes: dict[str, int] = {}
-    # Each place of the item: the place, which window it is, where the document has it, and codes of the slots of both.
-    places = []
-    for window, m in enumerate(met):
+    windows_of: dict[int, int] = {}
+    # By place of the item: which window it is, where the document has it, and codes of the slots of both; for each reading.
+    places: dict[int, list[tuple]] = {}
+    for m in met:
         at, by = np.array(m["at"], "i8"), [[codes.setdefault(s, len(codes)) for s in slots] for slots in m["slots"]]
         by = np.array(by, "i8").reshape(len(at), -1)
-        for q, slots in zip(m["item_at"], m["item_slots"]):
-            places.append((q, window, at, [codes.setdefault(s, len(codes)) for s in slots], by))
-    if not any(p[3] for p in places):
+        for q, slots, base in zip(m["item_at"], m["item_slots"], m["bases"]):
+            window = windows_of.setdefault(base, len(windows_of))
+            places.setdefault(q, []).append((window, at, [codes.setdefault(s, len(codes)) for s in slots], by))
+    readings = [(q, r) for q, of in places.items() for r in of]
+    if not any(r[2] for _, r in readings):
         return 1.0
-    reach = max(p[0] for p in places) // 2 + 1
-    offsets, support = np.unique(np.concatenate([at - q for q, _, at, _, _ in places]), return_counts=True)
+    reach = max(places) // 2 + 1
+    offsets, support = np.unique(np.concatenate([r[1] - q for q, r in readings]), return_counts=True)
     offsets = offsets[np.lexsort((offsets, -support))]
-    best, size = 0.0, _BLOCK // sum(1 + len(p[3]) for p in places) + 1
+    best, size = 0.0, _BLOCK // sum(1 + len(r[2]) for _, r in readings) + 1
     for lo in range(0, len(offsets), size):
         begins = offsets[lo:lo + size]
         rows = np.arange(len(begins)) * len(codes)
-        holds = np.zeros((len(met), len(begins)), bool)
-        keys, near = [], []
-        for q, window, at, values, by in places:
-            k = _nearest(at, begins + q)
-            close = np.abs(at[k] - q - begins) <= reach
-            holds[window] |= close
-            for slot, value in enumerate(values):
-                keys.append((rows + value) * len(codes) + by[k, slot])
-                near.append(close)
+        holds = np.zeros((len(windows_of), len(begins)), bool)
+        keys, near, counted = [], [], []
+        for q, of in places.items():
+            # The reading that stands nearest; of equally near ones that with most slots.
+            of.sort(key=lambda r: -len(r[2]))
+            ks = [_nearest(at, begins + q) for _, at, _, _ in of]
+            far = np.array([np.abs(r[1][k] - q - begins) for r, k in zip(of, ks)])
+            pick = far.argmin(axis=0)
+            close = far.min(axis=0) <= reach
+            holds[of[0][0]] |= close
+            for number, ((_, _, values, by), k) in enumerate(zip(of, ks)):
+                for slot, value in enumerate(values):
+                    keys.append((rows + value) * len(codes) + by[k, slot])
+                    counted.append(pick == number)
+                    near.append(close & counted[-1])
         # An occurrence may be whole without what stands far away; else all of the document counts.
         whole = holds.sum(axis=0) >= SHARE * n - 1e-9
-        for chosen in (np.array(near) & whole, np.ones((len(near), len(begins)), bool)):
+        for chosen in (np.array(near) & whole, np.array(counted)):
             pairs, times = np.unique(np.array(keys)[chosen], return_counts=True)
             if not len(pairs):
                 continue
@@ -272,7 +345,7 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         out = []
         for r in rows.to_pylist():
-            share = len(r["met"]) / r["n"]
+            share = len({b for m in r["met"] for b in m["bases"]}) / r["n"]
             if share >= SHARE and (slots := agreement(r["met"], r["n"])) >= SHARE:
                 out.append((r["id"], r["text_hash"], r["item_id"], share, slots))
         if out:
@@ -289,21 +362,22 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     windows in the document, and of the slots that agree (1 if it has none)."""
     spark = docs.sparkSession
     short_batches(spark)
+    known = spark.sparkContext.broadcast(hashed([w for w, _ in frequent_words(docs, lower_words, KNOWN)]))
     item_rows = _rows(items, "item_id").where("id IS NOT NULL").dropDuplicates(["id", "text_hash"])
-    item_windows = stored(item_rows.mapInArrow(partial(_windows, listed=None), FOUND_DDL).select(
-        F.col("id").alias("item_id"), "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "n"), "item-windows")
+    item_windows = stored(item_rows.mapInArrow(partial(_windows, known=known, listed=None), FOUND_DDL).select(
+        F.col("id").alias("item_id"), "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "bases", "n"), "item-windows")
     different = item_windows.select("window").distinct()
     first = different.limit(MOST_LISTED + 1).toArrow().column(0).to_numpy()
     listed = None
     if len(first) <= MOST_LISTED:
         # An item has no more anchors than windows.
-        groups = [r.groups for r in item_rows.mapInArrow(_anchors, "groups array<array<string>>").distinct().collect()]
+        groups = [r.groups for r in item_rows.mapInArrow(partial(_anchors, known=known), "groups array<array<string>>").distinct().collect()]
         listed = spark.sparkContext.broadcast((np.sort(first.astype("i8").view("u8")), Anchors(groups)))
-    found = _rows(docs, "doc_id").mapInArrow(partial(_windows, listed=listed), FOUND_DDL).drop("n")
-    # A set, as rows may share doc_id and text; one entry per window.
+    found = _rows(docs, "doc_id").mapInArrow(partial(_windows, known=known, listed=listed), FOUND_DDL).drop("bases", "n")
+    # A set, as rows may share doc_id and text; one entry per reading of a window.
     met = found.join(item_windows, "window").groupBy("id", "text_hash", "item_id").agg(
-        F.max("n").alias("n"), F.collect_set(F.struct("window", "at", "slots", "item_at", "item_slots")).alias("met"))
-    return met.where(F.size("met") >= SHARE * F.col("n") - 1e-9).mapInArrow(
+        F.max("n").alias("n"), F.collect_set(F.struct("window", "at", "slots", "item_at", "item_slots", "bases")).alias("met"))
+    return met.where(F.size(F.array_distinct(F.flatten("met.bases"))) >= SHARE * F.col("n") - 1e-9).mapInArrow(
         _judged, "doc_id long, text_hash long, item_id long, share double, slot_share double")
 
 
