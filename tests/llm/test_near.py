@@ -153,6 +153,12 @@ def test_leaks_with_other_names_and_units(spark):
     ) == {(0, 1), (1, 1), (2, 2), (3, 3), (7, 1)}
 
 
+def test_leaks_by_item_and_text(spark):
+    two, three, none = (prose(910 + k, 40) for k in range(3))
+    assert leaked(spark, [(1, two), (1, three), (1, three), (None, none)], two, three, none, two + " " + three, prose(9, 90)) == {
+        (0, 1), (1, 1), (2, None), (3, 1)}
+
+
 def test_leaks_without_a_list(spark, monkeypatch):
     """More benchmark windows than tasks can be given: all windows take part in the join."""
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")

@@ -28,7 +28,8 @@ all other windows at once. With more, every window of the documents is shuffled
 
 Cases: null and empty texts leak nothing. Items of fewer than five words have one window, all
 their words; items without words, or of placeholders alone, are found nowhere. Rows that share
-doc_id are judged by text and reported once for each leaking text. Repeated items count as one.
+doc_id are judged by text and reported once for each leaking text. Items are judged by item_id and
+text, those without item_id as well; of several leaked texts of one item_id that with the largest share is reported.
 Extra columns are ignored.
 """
 
@@ -363,9 +364,9 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     short_batches(spark)
     known = spark.sparkContext.broadcast(hashed([w for w, _ in frequent_words(docs, lower_words, KNOWN)]))
-    item_rows = _rows(items, "item_id").where("id IS NOT NULL").dropDuplicates(["id", "text_hash"])
+    item_rows = _rows(items, "item_id").dropDuplicates(["id", "text_hash"])
     item_windows = stored(item_rows.mapInArrow(partial(_windows, known=known, listed=None), FOUND_DDL).select(
-        F.col("id").alias("item_id"), "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "bases", "n"), "item-windows")
+        F.col("id").alias("item_id"), F.col("text_hash").alias("item_hash"), "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "bases", "n"), "item-windows")
     different = item_windows.select("window").distinct()
     first = different.limit(MOST_LISTED + 1).toArrow().column(0).to_numpy()
     listed = None
@@ -375,10 +376,12 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         listed = spark.sparkContext.broadcast((np.sort(first.astype("i8").view("u8")), Anchors(groups)))
     found = _rows(docs, "doc_id").mapInArrow(partial(_windows, known=known, listed=listed), FOUND_DDL).drop("bases", "n")
     # A set, as rows may share doc_id and text; one entry per reading of a window.
-    met = found.join(item_windows, "window").groupBy("id", "text_hash", "item_id").agg(
+    met = found.join(item_windows, "window").groupBy("id", "text_hash", "item_id", "item_hash").agg(
         F.max("n").alias("n"), F.collect_set(F.struct("window", "at", "slots", "item_at", "item_slots", "bases")).alias("met"))
-    return met.where(F.size(F.array_distinct(F.flatten("met.bases"))) >= SHARE * F.col("n") - 1e-9).mapInArrow(
+    judged = met.where(F.size(F.array_distinct(F.flatten("met.bases"))) >= SHARE * F.col("n") - 1e-9).mapInArrow(
         _judged, "doc_id long, text_hash long, item_id long, share double, slot_share double")
+    key = ["doc_id", "text_hash", "item_id"]
+    return judged.groupBy(*key).agg(F.max(F.struct("share", "slot_share")).alias("most")).select(*key, "most.*")
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
