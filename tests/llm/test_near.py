@@ -159,6 +159,11 @@ def test_leaks_by_item_and_text(spark):
         (0, 1), (1, 1), (2, None), (3, 1)}
 
 
+def test_leaks_with_emphasis(spark):
+    item = "the extraordinarily old man met us on the way to the big red hut in the low hills"
+    assert leaked(spark, [(1, item)], item.replace("extraordinarily", "_extraordinarily_"), item) == {(0, 1), (1, 1)}
+
+
 def test_leaks_without_a_list(spark, monkeypatch):
     """More benchmark windows than tasks can be given: all windows take part in the join."""
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")

@@ -186,7 +186,7 @@ def windows(template: np.ndarray, kind: np.ndarray, maybe: np.ndarray) -> tuple[
     return tuple(map(np.concatenate, zip(*found)))
 
 
-TOKEN = re.compile(r"\w+")
+TOKEN = re.compile(r"[^\W_]+")  # windows strip "_" as well
 
 
 def anchors(text: str, known: np.ndarray) -> list[list[str]]:
