@@ -100,6 +100,15 @@ def test_copied_secrets_stay_secret(spark):
         assert [r.text[s.start:s.end] for s in r.spans] == ["qzkvxwjpmt" if r.doc_id < 30 else "wqxzjvkpth"]
 
 
+def test_secrets_of_environments(spark):
+    names = ["DB_PASS", "DB_PWD", "SECRET_KEY", "AWS_SECRET_ACCESS_KEY", "DB_PASSWORD", "dbPass", "PGPASSWORD", "DBPWD", "api_key_2", "my_auth_token"]
+    prose_like = ["the compass: riverstone", "bypass = riverwinter", "DB_PASS=changeme"]
+    rows = [*ODD, *enumerate([f"export {n}=xK9$vQ2!mZp7" for n in names], 100), *enumerate(prose_like, 200)]
+    for r in secret_scan.scan(documents(spark, *rows)).collect():
+        if (r.doc_id or 0) >= 100:
+            assert [r.text[s.start:s.end] for s in r.spans] == ["xK9$vQ2!mZp7"] * (r.doc_id < 200)
+
+
 def test_different_texts(spark, monkeypatch):
     expected = sorted({t or "" for _, t in ODD})
     for most in (1_000_000, 1):

@@ -42,9 +42,12 @@ ASSIGN_LENGTH, ACCESS_LENGTH = 8, 16
 KINDS = ["assign", "access", "hex", "guess"]
 
 #: Where a credential is named more loosely, and the value that follows.
+#: Names like DB_PASS, dbPass, DBPASS, PGPASSWORD and SECRET_KEY_BASE count; short keywords begin a word or a part of it.
 CONTEXT = re.compile(
-    r"(?:\b(?:pwd|pass|passw(?:or)?d|passphrase|passcode|secret|token|credentials?|auth|authorization|bearer|login"
-    r"|(?:api|access|private|client|account)[ _-]?(?:key|secret|token))\b)[\"']?"
+    r"(?:(?:passw(?:or)?d|passphrase|passcode|secret|token|credentials?)"
+    r"|(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z0-9])(?=PASS|PWD)))(?:pwd|pass|auth|authorization|bearer|login"
+    r"|(?:api|access|private|client|account)[ _-]?(?:key|secret|token)))"
+    r"(?:[ _-]?(?:access|key|token|secret|password|pass|pwd|base|value)|_\d{1,3}){0,3}[\"']?"
     r"(?:\s{0,3}(?::=?|=>?)\s{0,3}|\s{1,3}is\s{1,3})(?:(?:basic|bearer)\s{1,3})?[\"'`]?([^\s\"'`<>,;()]{8,})",
     re.IGNORECASE | re.ASCII,
 )
