@@ -202,6 +202,24 @@ def test_main_text(spark):
     assert host_paths.main_texts(frame).count() == len(rows) and host_paths.main_texts(frame.limit(0)).count() == 0
 
 
+def texts_of_pages(spark, *pages):
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id bigint, url string, html string")
+    return [r.text for r in host_paths.main_texts(frame).orderBy("page_id").collect()]
+
+
+def test_sections_and_templates(spark):
+    part = "<h2>Part</h2><p>" + "words of a part " * 9 + "</p>"
+    whole = f"<h1>Head</h1><p>A lead.</p><section>{part}</section><section>{part}</section><table><tr><td>{part}</table>"
+    flat = "\n".join(["Head", "A lead.", *["Part", ("words of a part " * 9).strip()] * 3])
+    furniture = "<div class=teasers>" + "<p><a href=/x>another story to read here</a></p>" * 20 + "</div>"
+    rows = [(f"http://a/{k}", f"<body><div class=page><main><article>{whole}</article>{furniture}</main></div></body>") for k in range(3)]
+    rows += [(f"http://b/{k}", f"<body><div class=story>{whole}</div>{furniture}<div class=other>Some other words</div></body>") for k in range(3)]
+    rows += [(f"http://c/{k}", f"<body class=post-{k}><div class=top>{'date and tags ' * 3}</div><div class=story>{part}</div></body>") for k in range(9)]
+    rows += [(f"http://c/q{k}", f"<body class=forum><div class=story>Rules</div><div class=top>{part}</div></body>") for k in range(6)]
+    part_text = flat.partition("A lead.\n")[2].split("\nPart")[0]
+    assert texts_of_pages(spark, *rows) == [flat] * 6 + [part_text] * 15
+
+
 def test_pages_of_the_tables(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}

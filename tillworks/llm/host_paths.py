@@ -4,7 +4,12 @@ Pages of one host are made from few templates. Each page scores its containers b
 stands in them outside links and boilerplate and proposes the best ones by path: the tags and
 classes from the root down, numbers generalised. Spark adds up the proposals of a host; its
 winning path is then applied to all its pages, also to those whose own text is too thin to tell.
-A page that lacks the winning path uses its own best container.
+A page that lacks the winning path uses its own best container. Templates of a host are told apart by the classes of
+body; one with ``TEMPLATE_PAGES`` pages or more has votes of its own.
+
+Sections and cells of an article are no containers of their own. From the best path the way leads up to
+the outermost container that adds mostly text outside links: an article or main, or a container in which most
+of the added text stands directly or in sections and cells, like a heading and a lead before a list of sections.
 
 Cases: a null or empty page, or one without text outside boilerplate, has an empty text. A page
 without host votes with all other such pages. Broken markup is read as browsers do: unclosed
@@ -17,13 +22,14 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import batch, short_batches
+from tillworks.llm.common import batch, short_batches, stored
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
@@ -42,6 +48,8 @@ INLINE = {
 #: Elements that pages may leave out; they are no part of a path.
 ROOTS = {"html", "body"}
 CONTAINERS = {"main", "article", "section", "div", "td", "center"}
+#: Containers that divide a text.
+PARTS = {"section", "td"}
 #: An element that begins ends an open one of these, up to the nearest container.
 ENDS = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"},
         "th": {"td", "th", "p"}, "option": {"option"}}
@@ -56,12 +64,43 @@ NOISE = {
 }
 #: Containers that a page proposes.
 PROPOSED = 3
+#: Pages from which a template of a host has its own votes.
+TEMPLATE_PAGES = 5
 
 
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def template(html: Column) -> Column:
+    """The classes of body, numbers generalised."""
+    classes = F.regexp_extract(html, r"(?i)<body\b[^>]*?\bclass\s*=\s*[\"']?([^\"'>]*)", 1)
+    return F.regexp_replace(F.lower(classes), r"\d+", "#")
+
+
+def _tag(path: str) -> str:
+    return path[path.rfind(">") + 1:].partition(".")[0]
+
+
+@lru_cache(20_000)
+def _inside(path: str) -> bool:
+    """Whether a main or article is in the path."""
+    return any(part.partition(".")[0] in ("main", "article") for part in path.split(">"))
+
+
+@lru_cache(20_000)
+def _candidate(path: str) -> bool:
+    """Sections and cells inside a main or article are parts of it."""
+    return _tag(path) not in PARTS or not _inside(path)
+
+
+def _climbs(above: str, added: float, unlinked: float, direct: float) -> bool:
+    """Whether a container above the path belongs to the text, by the characters it adds."""
+    if 2 * unlinked < added or not unlinked:
+        return False
+    return _tag(above) in ("main", "article") or 2 * direct >= added
+
+
 def _label(tag: str, attributes: str) -> tuple[str, bool]:
     """The element's part of a path, and whether its names mark it as noise."""
     if "=" not in attributes:
@@ -177,11 +216,35 @@ class Page:
         found: dict[str, float] = defaultdict(float)
         for text, linked, paths in self.blocks:
             worth = float(max(0, len(text) - 2 * linked))
-            for path in reversed(paths):
+            for path in filter(_candidate, reversed(paths)):
                 found[path] += worth
                 worth /= 2
         return found
 
+    def above(self, path: str) -> dict[str, tuple[float, float, float]]:
+        """(characters, those outside links, those of them that stand there directly or in its sections and cells) that each
+        container above the path adds; from the outermost main or article down if it has one."""
+        found: dict[str, list[float]] = {}
+        for text, linked, paths in self.blocks:
+            if path in paths:
+                continue
+            inner = next(p for p in reversed(paths) if _tag(p) not in PARTS)
+            for above in paths[1:]:
+                if path.startswith(above + ">") and _candidate(above) and not (_inside(path) and not _inside(above)):
+                    sums = found.setdefault(above, [0.0, 0.0, 0.0])
+                    sums[0] += len(text)
+                    sums[1] += len(text) - linked
+                    sums[2] += (len(text) - linked) * (above == inner)
+        return {k: tuple(v) for k, v in found.items()}
+
+    def own(self) -> str:
+        """The page's own best path, and as far up as it goes."""
+        best = self.best()
+        if not best:
+            return ""
+        up = [a for a, sums in self.above(best[0][0]).items() if _climbs(a, *sums)]
+        return min(up, key=len, default=best[0][0])
+
     def best(self) -> list[tuple[str, float]]:
         return sorted(((p, s) for p, s in self.scores().items() if s > 0), key=lambda x: (-x[1], x[0]))[:PROPOSED]
 
@@ -192,18 +255,26 @@ class Page:
         return any(path in paths for _, _, paths in self.blocks)
 
 
-VOTES = pa.schema([("host", pa.string()), ("path", pa.string()), ("score", pa.float64())])
+#: Votes have no ``above``; rows that count pages have no path; others say what a container above a page's best path adds.
+VOTES = pa.schema([
+    ("host", pa.string()), ("template", pa.string()), ("path", pa.string()), ("above", pa.string()), ("score", pa.float64()),
+    ("added", pa.float64()), ("unlinked", pa.float64()), ("direct", pa.float64())])
+VOTES_DDL = "host string, template string, path string, above string, score double, added double, unlinked double, direct double"
 
 
 def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        total: dict[tuple[str, str], float] = defaultdict(float)
-        for name, html in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-            best = Page(html).best()
+        total: dict[tuple, list[float]] = defaultdict(lambda: [0.0] * 4)
+        for name, kind, html in zip(*(rows.column(k).to_pylist() for k in range(3))):
+            page = Page(html)
+            best = page.best()
+            total[name, kind, None, None][0] += 1
             for path, score in best:  # every page has one vote, shared by how good its containers are
-                total[name, path] += round(score / best[0][1], 3)
-        keys = list(total)
-        yield batch(VOTES, [k[0] for k in keys], [k[1] for k in keys], [total[k] for k in keys])
+                total[name, kind, path, None][0] += round(score / best[0][1], 3)
+            for above, sums in page.above(best[0][0]).items() if best else ():
+                of = total[name, kind, best[0][0], above]
+                of[1:] = [a + b for a, b in zip(of[1:], sums)]
+        yield batch(VOTES, *map(list, zip(*[(*k, *v) for k, v in total.items()])))
 
 
 TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
@@ -215,18 +286,34 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for html, path in zip(rows.column(2).to_pylist(), rows.column(3).to_pylist()):
             page = Page(html)
             if path is None or not page.has(path):
-                best = page.best()
-                path = best[0][0] if best else ""
+                path = page.own()
             texts.append(page.text(path))
         yield batch(TEXTS, rows.column(0), rows.column(1), texts)
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path with most votes of each host."""
-    votes = pages.select("host", "html").mapInArrow(_propose, "host string, path string, score double")
-    sums = votes.groupBy("host", "path").agg(F.round(F.sum("score"), 3).alias("score"))
-    # max_by with the smaller path on ties: the negated score comes first.
-    return sums.groupBy("host").agg(F.min(F.struct((-F.col("score")).alias("s"), "path"))["path"].alias("path"))
+    """(host, template, path): the path with most votes of each template that has pages enough, and of
+    all pages of the host for other templates, led up as far as it goes."""
+    sums = ["score", "added", "unlinked", "direct"]
+    votes = pages.select("host", "template", "html").mapInArrow(_propose, VOTES_DDL)
+    votes = stored(votes.groupBy("host", "template", "path", "above").agg(*[F.round(F.sum(c), 3).alias(c) for c in sums]), "votes")
+    # Templates with few pages go together with all others of the host: their level is null.
+    counts = votes.where("path IS NULL").select("host", "template", F.when(F.col("score") >= TEMPLATE_PAGES, F.col("template")).alias("level"))
+    all_pages = votes.groupBy("host", "path", "above").agg(*[F.round(F.sum(c), 3).alias(c) for c in sums])
+    levels = votes.withColumnRenamed("template", "level").unionByName(all_pages.withColumn("level", F.lit(None).cast("string"))).where("path IS NOT NULL")
+    # The smaller path on ties: the negated score comes first.
+    best = levels.where("above IS NULL").groupBy("host", "level").agg(F.min(F.struct((-F.col("score")).alias("s"), "path"))["path"].alias("best"))
+    # As _climbs().
+    whole = F.regexp_extract("above", ">([^>.]*)[^>]*$", 1).isin("main", "article")
+    up = levels.where("above IS NOT NULL AND unlinked > 0 AND 2 * unlinked >= added").where(whole | (2 * F.col("direct") >= F.col("added")))
+    up = up.groupBy("host", "level", F.col("path").alias("best")).agg(F.min(F.struct(F.length("above").alias("n"), "above"))["above"].alias("above"))
+
+    def same(a, b):
+        return a["host"].eqNullSafe(b["host"]) & a["level"].eqNullSafe(b["level"])
+
+    paths = best.join(up, same(best, up) & (best["best"] == up["best"]), "left").select(
+        best["host"], best["level"], F.coalesce(up["above"], best["best"]).alias("path"))
+    return counts.join(paths, same(counts, paths)).select(counts["host"], "template", "path")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -234,5 +321,6 @@ def main_texts(pages: DataFrame) -> DataFrame:
     short_batches(pages.sparkSession)
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
-    return rows.join(winning_paths(rows), "host", "left").select("page_id", "url", "html", "path").mapInArrow(
+    rows = rows.withColumn("template", template(F.col("html")))
+    return rows.join(winning_paths(rows), ["host", "template"], "left").select("page_id", "url", "html", "path").mapInArrow(
         _extract, "page_id long, url string, text string")
