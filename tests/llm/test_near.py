@@ -220,6 +220,16 @@ def test_sections_and_templates(spark):
     assert texts_of_pages(spark, *rows) == [flat] * 6 + [part_text] * 15
 
 
+def test_noise_words_of_wrappers(spark):
+    story, menu = "<h1>Head</h1><p>" + "words of a story " * 9 + "</p>", "<div class=sidebar><p>Read this too</p></div>"
+    inside = [
+        f"<div class='layout has-sidebar'>{story}{menu}</div>", f"<div class=content-with-sidebar><article>{story}</article>{menu}</div>", f"<div class=no-header>{story}</div>",
+        f"<div class='search-result'>{story}{menu}</div>", f"<div id=search><main>{story}</main>{'<p>x y z</p>' * 3}</div>", f"<div class=comments>{story}</div>",
+        f"<div class=story>{story}</div><div class=comments><article class=comment><p>{'reader says ' * 90}</p></article></div>",
+    ]
+    assert texts_of_pages(spark, *[(f"http://h{k}/", f"<body>{h}</body>") for k, h in enumerate(inside)]) == ["Head\n" + ("words of a story " * 9).strip()] * 7
+
+
 def test_pages_of_the_tables(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}

@@ -11,7 +11,11 @@ Sections and cells of an article are no containers of their own. From the best p
 the outermost container that adds mostly text outside links: an article or main, or a container in which most
 of the added text stands directly or in sections and cells, like a heading and a lead before a list of sections.
 
-Cases: a null or empty page, or one without text outside boilerplate, has an empty text. A page
+A noise word in a name hides an element, unless that element holds the page's only main or article, or most of
+its text outside links and isn't for comments, consent or adverts; pieces after "has", "with" or "no" don't
+count. If names hide everything, they hide nothing.
+
+Cases: a null or empty page, or one without text outside boilerplate elements, has an empty text. A page
 without host votes with all other such pages. Broken markup is read as browsers do: unclosed
 paragraphs end at the next block, stray end tags are ignored. Extra columns are ignored; equal rows get equal texts. Ties go
 to the smaller path.
@@ -62,6 +66,13 @@ NOISE = {
     "related", "replies", "respond", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe",
     "toolbar", "widget",
 }
+#: Noise that stays noise when it has most of a page's text.
+SURE = {
+    "ad", "ads", "advert", "adverts", "advertisement", "comment", "comments", "consent", "cookie", "cookies", "disqus", "gdpr",
+    "newsletter", "promo", "promotion", "related", "replies", "respond", "sponsor", "sponsored", "subscribe",
+}
+#: What comes after these in a name is said of something else.
+SAID = {"has", "with", "no", "without"}
 #: Containers that a page proposes.
 PROPOSED = 3
 #: Pages from which a template of a host has its own votes.
@@ -101,14 +112,20 @@ def _climbs(above: str, added: float, unlinked: float, direct: float) -> bool:
     return _tag(above) in ("main", "article") or 2 * direct >= added
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """The element's part of a path, and whether its names mark it as noise."""
+def _noise(word: str) -> set[str]:
+    """The noise words in a name."""
+    pieces = re.split(r"[-_\d]+", word)
+    return {p for i, p in enumerate(pieces) if p in NOISE and not SAID & set(pieces[:i])}
+
+
+def _label(tag: str, attributes: str) -> tuple[str, set[str]]:
+    """The element's part of a path, and the noise words in its names."""
     if "=" not in attributes:
-        return tag, False
-    names, noise = [], False
+        return tag, set()
+    names, noise = [], set()
     for kind, a, b, c in CLASSES.findall(attributes):
         words = (a or b or c).lower().split()
-        noise = noise or any(part in NOISE for w in words for part in re.split(r"[-_\d]+", w))
+        noise = noise.union(*map(_noise, words))
         if kind.lower() == "class":
             names += [re.sub(r"\d+", "#", w) for w in words]
     return ".".join([tag, *sorted(set(names))]), noise
@@ -120,11 +137,18 @@ class Page:
     def __init__(self, html: str) -> None:
         #: (text, characters in links, container paths from the outermost in)
         self.blocks: list[tuple[str, int, tuple[str, ...]]] = []
-        self._parts: list[str] = []
-        self._linked = 0
-        # Open elements: tag, container path or None, is noise.
-        self._open: list[tuple[str, str | None, bool]] = []
-        self._noise = self._links = 0
+        # (text, is in a link, elements named as noise that it stands in) of the open block, and (parts, paths) of all blocks.
+        self._parts: list[tuple[str, bool, tuple[int, ...]]] = []
+        self._all: list[tuple[list[tuple[str, bool, tuple[int, ...]]], tuple[str, ...]]] = []
+        # Open elements: tag, container path or None, is never text, is named as noise.
+        self._open: list[tuple[str, str | None, bool, bool]] = []
+        self._apart = self._links = 0
+        # Elements named as noise: those open, by number; of each whether it stays noise, and whether it holds a main or article.
+        self._named: tuple[int, ...] = ()
+        self._sure: list[bool] = []
+        self._holds: list[bool] = []
+        #: Whether a main or article stands outside of them.
+        self._shown = False
         self._paths: tuple[str, ...] = ("",)
         at = 0
         while (m := TOKEN.search(html, at)) is not None:
@@ -143,19 +167,40 @@ class Page:
                     self._end(tag)
         self._text(html[at:])
         self._close_block()
+        self._show(self._hidden())
+        if not self.blocks and self._all:
+            self._show(set())
 
     def _text(self, text: str) -> None:
-        if text and not self._noise:
+        if text and not self._apart:
             text = unescape(text) if "&" in text else text
-            self._parts.append(text)
-            if self._links:
-                self._linked += len(text)
+            self._parts.append((text, self._links > 0, self._named))
 
     def _close_block(self) -> None:
         if self._parts:
-            if text := SPACE.sub(" ", "".join(self._parts)).strip():
-                self.blocks.append((text, self._linked, self._paths))
-            self._parts, self._linked = [], 0
+            self._all.append((self._parts, self._paths))
+            self._parts = []
+
+    def _hidden(self) -> set[int]:
+        """The elements named as noise that are taken for noise."""
+        hidden = set(range(len(self._sure)))
+        if not hidden:
+            return hidden
+        worth, total = [0] * len(hidden), 0
+        for parts, _ in self._all:
+            for text, linked, named in parts:
+                n = 0 if linked else len(SPACE.sub(" ", text).strip())
+                total += n
+                for k in named:
+                    worth[k] += n
+        return {k for k in hidden if not (self._holds[k] and not self._shown or 2 * worth[k] > total and not self._sure[k])}
+
+    def _show(self, hidden: set[int]) -> None:
+        """Make blocks of what doesn't stand in these elements."""
+        for parts, paths in self._all:
+            shown = [p for p in parts if not p[2] or hidden.isdisjoint(p[2])]
+            if text := SPACE.sub(" ", "".join([p[0] for p in shown])).strip():
+                self.blocks.append((text, sum(len(p[0]) for p in shown if p[1]), paths))
 
     def _begin(self, tag: str, attributes: str) -> None:
         if tag in VOID:
@@ -165,25 +210,38 @@ class Page:
                 self._text(" ")
             return
         label, noise = _label(tag, attributes)
-        noise = noise and tag not in ROOTS or tag in APART
+        named = bool(noise) and tag not in ROOTS and tag not in APART
         if tag not in INLINE:
             self._close_block()
             self._imply_ends(ENDS.get(tag, {"p"}))
         if attributes.endswith("/") and tag not in INLINE | CONTAINERS:
             return
         path = f"{self._paths[-1]}>{label}" if tag in CONTAINERS else None
-        self._push(tag, path, noise)
-
-    def _push(self, tag: str, path: str | None, noise: bool) -> None:
-        self._open.append((tag, path, noise))
-        self._noise += noise
+        self._push(tag, path, tag in APART, named)
+        if named:
+            self._named = (*self._named, len(self._sure))
+            self._sure.append(not noise.isdisjoint(SURE))
+            self._holds.append(False)
+        if tag in ("main", "article") and not self._apart:
+            # One that is named as noise for certain is a comment or the like.
+            if not self._named:
+                self._shown = True
+            elif not any(self._sure[k] for k in self._named[-1:] if named):
+                for k in self._named:
+                    self._holds[k] = True
+
+    def _push(self, tag: str, path: str | None, apart: bool, named: bool) -> None:
+        self._open.append((tag, path, apart, named))
+        self._apart += apart
         self._links += tag == "a"
         if path is not None:
             self._paths = (*self._paths, path)
 
     def _pop(self) -> None:
-        tag, path, noise = self._open.pop()
-        self._noise -= noise
+        tag, path, apart, named = self._open.pop()
+        self._apart -= apart
+        if named:
+            self._named = self._named[:-1]
         self._links -= tag == "a"
         if path is not None:
             self._paths = self._paths[:-1]
