@@ -160,7 +160,7 @@ def test_leaks_by_item_and_text(spark):
 
 
 def test_leaks_with_emphasis(spark):
-    item = "the extraordinarily old man met us on the way to the big red hut in the low hills"
+    item = "the old man met us on the way to the extraordinarily big red hut in the low hills"
     assert leaked(spark, [(1, item)], item.replace("extraordinarily", "_extraordinarily_"), item) == {(0, 1), (1, 1)}
 
 
