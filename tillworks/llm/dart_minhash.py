@@ -9,9 +9,10 @@ likeness, and the work is one dart for most regions, not one for each pair of re
 coordinate.
 
 Bands of the signature are joined on their hashes. Inside a bucket every text is first held
-against one leader; links merge texts into classes, and most buckets are one class then. What
-stays apart in a bucket is held against its other classes, in tiles of bounded size, so no link
-that the bands bring together is left out. Against leaders, signatures (a byte for each
+against one leader, the first in one order of all texts, so that the buckets of a large group share
+theirs; links merge texts into classes, and most buckets are one class then. Buckets that aren't
+pick a leader of their own. What then stays apart in a bucket is held against its other classes, in tiles of bounded size
+and bounded bytes of text, so no link that the bands bring together is left out. Against leaders, signatures (a byte for each
 coordinate) first sort out what is far from alike: below ``NEAR`` of agreeing coordinates, five
 standard errors under the limit. Likenesses are always computed exactly from the texts; in a tile
 all at once, as a product of two tables of texts by regions. A pair of likeness 0.8 shares no
@@ -20,7 +21,8 @@ band with a probability of 3e-6.
 Equal texts are one node from the start, however many there are.
 
 Cases: texts of fewer than five words have one shingle, all their words. Null texts and texts
-without words are near no other: each row is a class of its own. The class of a document is the
+without words are near no other: each row is a class of its own. Long texts count with all their
+shingles. Repeated rows are one node. An empty table gives no rows. The class of a document is the
 smallest doc_id in it (null if none of its rows has one). Extra columns are ignored.
 """
 
@@ -48,6 +50,8 @@ THROWN = DARTS * np.log(DARTS) + 2 * DARTS
 MOST_LISTED = 500_000
 #: Share of agreeing coordinates from which texts are compared, and texts in a tile's two sides.
 NEAR, TILE, TEXT_TILE, SMALL_TILE = 0.65, 256, 64, 32
+#: Bytes of text that a tile's side holds on average, and of regions that a task remembers.
+TILE_BYTES, HELD_BYTES = 1 << 20, 32 << 20
 #: Cells of those tables; longer texts are compared pair by pair. And tiles handed to Python at once.
 MOST_CELLS, TILE_BATCH = 16_000_000, 32
 
@@ -152,24 +156,25 @@ def with_node(docs: DataFrame) -> DataFrame:
 
 
 class _Regions:
-    """Regions of the texts used last."""
+    """Regions of the texts used last, ``HELD_BYTES`` of them."""
 
-    def __init__(self, most: int) -> None:
-        self.most, self.held = most, OrderedDict()
+    def __init__(self) -> None:
+        self.size, self.held = 0, OrderedDict()
 
     def of(self, node: bytes, text: str) -> np.ndarray:
-        if node not in self.held:
-            self.held[node] = regions(text)
-            if len(self.held) > self.most:
-                self.held.popitem(last=False)
-        else:
-            self.held.move_to_end(node)
-        return self.held[node]
+        found = self.held.pop(node, None)
+        if found is None:
+            found = regions(text)
+            self.size += found.nbytes
+        self.held[node] = found
+        while self.size > HELD_BYTES and len(self.held) > 1:
+            self.size -= self.held.popitem(last=False)[1].nbytes
+        return found
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of texts that are alike."""
-    of = _Regions(64).of
+    of = _Regions().of
     for rows in batches:
         a, b, text_a, text_b = (c.to_pylist() for c in rows.columns)
         alike = [likeness(of(x, s), regions(t)) for x, s, t in zip(a, text_a, text_b)]
@@ -223,8 +228,12 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tiles(rows: DataFrame, size: int, name: str, *fields: str) -> DataFrame:
-    """Rows (bucket, n, node, label, ...) in lists of about ``size``; n is the rows of the bucket."""
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / size))
+    """Rows (bucket, n, node, label, ...) in lists of about ``size``; n is the rows of the bucket, and
+    ``bytes``, if there, their bytes: long texts stand in lists of few."""
+    parts = F.ceil(F.col("n") / size)
+    if "bytes" in rows.columns:
+        parts = F.greatest(parts, F.ceil(F.col("bytes") / TILE_BYTES))
+    part = F.pmod(F.xxhash64("node"), parts)
     return rows.groupBy("bucket", part.alias("part")).agg(F.collect_list(F.struct("node", "label", *fields)).alias(name)).drop("part")
 
 
@@ -242,7 +251,7 @@ def likenesses(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the texts on a tile's two sides the alike pairs of different classes."""
-    held = _Regions(2000)
+    held = _Regions()
     for rows in batches:
         found: dict[tuple[bytes, bytes], float] = {}
         for left, right in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
@@ -256,16 +265,24 @@ def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(list(found.values()), pa.float64())], names=["a", "b", "likeness"])
 
 
-def _near_leaders(apart: DataFrame) -> DataFrame:
-    """Pairs of a bucket's leader and its other texts. Every bucket picks its leader anew, so a text
-    meets as many leaders as it has buckets, and a large group grows together in one step."""
+def _near_leaders(apart: DataFrame, *order: str) -> DataFrame:
+    """Pairs of a bucket's leader and its other texts, the first in the order of the hash of ``order``. Where
+    that is the node alone, buckets with the same texts have the same leader, and most pairs of a large
+    group are the same in all its buckets. With the bucket besides, every bucket picks anew."""
     leaders = apart.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), "node", "label", "sketch")).alias("l")).where("n > 1")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64(*order).alias("h"), "node", "label", "sketch")).alias("l")).where("n > 1")
     one = F.array(F.struct(F.col("l.node").alias("node"), F.col("l.label").alias("label"), F.col("l.sketch").alias("sketch")))
     tiles = _tiles(apart.join(leaders.select("bucket", "n"), "bucket"), TILE, "b", "sketch")
     return tiles.join(leaders.select("bucket", one.alias("a")), "bucket").select("a", "b").mapInArrow(_meet, "a binary, b binary")
 
 
+def _still_apart(apart: DataFrame, labels: DataFrame) -> DataFrame:
+    """The texts of buckets that are more than one class, under their labels so far."""
+    now = apart.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
+    return stored(now.join(several, "bucket", "left_semi"), "apart")
+
+
 def _links_of_rest(apart: DataFrame, texts_of_nodes) -> DataFrame:
     """Links between texts of different classes in one bucket: those outside its largest class are
     held against all others."""
@@ -274,6 +291,8 @@ def _links_of_rest(apart: DataFrame, texts_of_nodes) -> DataFrame:
         F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("m")).where("m.n < n").select("bucket", "n", F.col("m.label").alias("main"))
     rows = stored(apart.drop("sketch").join(largest, "bucket"), "rest")
     rows = rows.join(texts_of_nodes(rows.select("node")), "node")
+    bytes_of_bucket = rows.groupBy("bucket").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    rows = rows.join(bytes_of_bucket, "bucket")
     few = _tiles(rows.where("label != main"), SMALL_TILE, "a", "text")
     return few.join(_tiles(rows, TEXT_TILE, "b", "text"), "bucket").select("a", "b").mapInArrow(
         _link, "a binary, b binary, likeness double").distinct()
@@ -294,12 +313,20 @@ def links(docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
             wanted = F.broadcast(wanted)
         return stored(docs.join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")), "texts")
 
-    pairs = stored(_near_leaders(apart).distinct(), "pairs")
-    found = stored(alike(pairs, texts_of_nodes(pairs.select("a").union(pairs.select("b")).toDF("node"))), "alike")
+    def near(order: list[str], apart: DataFrame) -> DataFrame:
+        pairs = stored(_near_leaders(apart, *order).distinct(), "pairs")
+        return stored(alike(pairs, texts_of_nodes(pairs.select("a").union(pairs.select("b")).toDF("node"))), "alike")
+
+    found = near(["node"], apart)
     labels = components(found)
-    relabelled = apart.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    apart = _still_apart(apart, labels)
+    again = near(["node", "bucket"], apart)
+    if not again.isEmpty():
+        found = found.union(again)
+        labels = components(found)
+        apart = _still_apart(apart, labels)
     short_batches(docs.sparkSession, TILE_BATCH)
-    rest = stored(_links_of_rest(relabelled, texts_of_nodes), "alike")
+    rest = stored(_links_of_rest(apart, texts_of_nodes), "alike")
     short_batches(docs.sparkSession)
     if not rest.isEmpty():
         found = found.union(rest)
