@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import wraps
 
 #: Latin letters, their punctuation, and common dashes and quotation marks.
 _COMMON = [*range(0x00, 0x130), *range(0x131, 0x234), *range(0x2010, 0x2028)]
@@ -55,6 +56,28 @@ class Memo(dict):
         self[piece] = value
         return value
 
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
+
+def forgets(*memos: Memo):
+    """For the work of a task: what it has remembered goes with it, so a worker that is used for other
+    work next doesn't carry it along."""
+
+    def wrap(work):
+        @wraps(work)
+        def run(*args, **named):
+            try:
+                yield from work(*args, **named)
+            finally:
+                for memo in memos:
+                    memo.forget()
+
+        return run
+
+    return wrap
+
 
 def _byte_letters() -> dict[int, str]:
     """The visible letter that stands for each byte in byte-level vocabularies: printable Latin-1
@@ -67,6 +90,17 @@ def _byte_letters() -> dict[int, str]:
 BYTE_LETTERS = _byte_letters()
 
 
+LETTER_BYTES = {letter: b for b, letter in BYTE_LETTERS.items()}
+
+
+def from_byte_letters(letters: str) -> str | None:
+    """The text that the letters stand for; None if they are no whole characters."""
+    try:
+        return bytes(map(LETTER_BYTES.__getitem__, letters)).decode()
+    except (KeyError, UnicodeDecodeError):
+        return None
+
+
 def in_byte_letters(piece: str) -> str:
     word = piece[1:] if piece[:1] == " " else piece
     if word.isascii() and word.isalnum():

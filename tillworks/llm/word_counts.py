@@ -19,15 +19,25 @@ GATHERED = 200_000
 MOST_REPEATED = 1_000_000
 
 
-def _counts(batches: Iterator[pa.RecordBatch], split) -> Iterator[pa.RecordBatch]:
+def _counts(batches: Iterator[pa.RecordBatch], split, refine) -> Iterator[pa.RecordBatch]:
     seen: Counter = Counter()
     for _, texts in texts_of(batches):
         for text in texts:
             seen.update(split(text))
             if len(seen) >= GATHERED:
-                yield from _rows(seen)
+                yield from _rows(_refined(seen, refine))
                 seen = Counter()
-    yield from _rows(seen)
+    yield from _rows(_refined(seen, refine))
+
+
+def _refined(seen: Counter, refine) -> Counter:
+    if refine is None:
+        return seen
+    out: Counter = Counter()
+    for part, n in seen.items():
+        for word in refine(part):
+            out[word] += n
+    return out
 
 
 def _rows(seen: Counter) -> Iterator[pa.RecordBatch]:
@@ -50,15 +60,16 @@ def different_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     return once.union(hashed.join(again, "hash", "left_semi").select("text").distinct())
 
 
-def frequent_words(docs: DataFrame, split, most: int, text: str = "text") -> list[tuple[str, int]]:
+def frequent_words(docs: DataFrame, split, most: int, text: str = "text", refine=None) -> list[tuple[str, int]]:
     """The most frequent words with their counts over all documents, in order; ties by word.
 
     It is as many counts as give no more than ``most`` words; a count whose words don't all fit is
     left out, and so are words that occur once. Only that many rows reach the driver, however
-    many partitions the counts are in. ``split`` is a function of a module.
+    many partitions the counts are in. ``split`` is a function of a module; so is ``refine``, which gives the
+    words of what ``split`` returns and is asked once for what a task has counted many times.
     """
     short_batches(docs.sparkSession)
-    counts = docs.select(text).mapInArrow(partial(_counts, split=split), "word string, n long")
+    counts = docs.select(text).mapInArrow(partial(_counts, split=split, refine=refine), "word string, n long")
     counts = stored(counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
     # Every count has a word, so the highest ``most`` counts are enough to look at.
     heights = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(most)
