@@ -23,8 +23,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_GAP_SQL = r"[\x20\x09-\x0D]+"
 
 SHIPPED = "tillworks-package.zip"
-#: Rows in one Arrow batch. Texts may be long, so batches are kept short.
-BATCH_ROWS = 512
+#: Rows and bytes in one Arrow batch. Texts may be long, so batches are kept short.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 
 #: What str.split() would split at besides: words keep these.
@@ -41,8 +41,9 @@ def words_of(text: str | None) -> list[str]:
 
 def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Make ready for Python on the executors: this package goes along, and texts are handed over
-    a few hundred at a time, whatever their length."""
+    a few hundred at a time, fewer if they are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if not any(f.rpartition("/")[2] == SHIPPED for f in context._python_includes):
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

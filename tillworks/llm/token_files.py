@@ -72,7 +72,7 @@ class ByteCoder:
 
 
 def coder(vocabulary: str, end_id: int) -> ByteCoder:
-    """One for each worker process, kept between tasks."""
+    """One for each task."""
     if (vocabulary, end_id) not in _coders:
         _coders[vocabulary, end_id] = ByteCoder(vocabulary, end_id)
     return _coders[vocabulary, end_id]
@@ -111,9 +111,12 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int, dictionary: bytes) ->
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_ids = coder(vocabulary, end_id).ids
         pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=True)
-        for rows, texts in texts_of(batches, 1):
-            ids = [to_ids(t) for t in texts]
-            yield batch(schema, rows.column(0), [len(x) // 4 for x in ids], [pack.compress(x) for x in ids])
+        try:
+            for rows, texts in texts_of(batches, 1):
+                ids = [to_ids(t) for t in texts]
+                yield batch(schema, rows.column(0), [len(x) // 4 for x in ids], [pack.compress(x) for x in ids])
+        finally:
+            _coders.clear()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, n_tokens long, frame binary")
 

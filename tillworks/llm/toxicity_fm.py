@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.common import batch, short_batches, texts_of
-from tillworks.llm.pretokens import Memo
+from tillworks.llm.pretokens import Memo, forgets
 
 BITS, FACTORS = 18, 4
 MOST_TOXIC, MOST_CLEAN = 3000, 6000
@@ -136,6 +136,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
+@forgets(_memo)
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("toxic", pa.int32()), ("terms", pa.list_(pa.int32()))])
     for rows, texts in texts_of(batches, 1):
@@ -167,6 +168,7 @@ def learned(docs: DataFrame, labels: DataFrame) -> Machine:
     return machine
 
 
+@forgets(_memo)
 def _score(batches: Iterator[pa.RecordBatch], machine) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
     fm: Machine = machine.value
