@@ -114,10 +114,11 @@ def test_leaks(spark):
         (104, prose(900, 40)[:120]), (105, "12 13 14 15"), (106, mixed_up), (102, "other"), (107, ITEMS[1][1].upper()),
     ]
     found = {(r.doc_id, r.item_id) for r in template_leaks.leaks(documents(spark, *rows), items).collect()}
-    assert found == {(100, 1), (101, 1), (102, 2), (107, 2)}
+    # Three copies with other numbers each are one occurrence each: a leak.
+    assert found == {(100, 1), (101, 1), (102, 2), (106, 1), (107, 2)}
     frame = documents(spark, *rows)
     kept = template_leaks.without_leaks(frame, items)
-    assert kept.columns == frame.columns and kept.count() == len(rows) - 4
+    assert kept.columns == frame.columns and kept.count() == len(rows) - 5
     assert (102, "other") in {(r.doc_id, r.text) for r in kept.collect()}
     assert template_leaks.leaks(frame, items.limit(0)).count() == 0 == template_leaks.leaks(frame.limit(0), items).count()
 
@@ -164,6 +165,14 @@ def test_leaks_with_emphasis(spark):
     assert leaked(spark, [(1, item)], item.replace("extraordinarily", "_extraordinarily_"), item) == {(0, 1), (1, 1)}
 
 
+def test_leaks_with_a_common_phrase(spark):
+    """Many items share most of their windows: a document meets those that it holds."""
+    phrase = "what is the value of the old red copper coin in the garden of the king"
+    items = [(k, f"{phrase} when the {w} of the town is sold to the {w} of the river?") for k, w in enumerate("mill bridge tower market".split())]
+    docs = [items[2][1], phrase, (phrase + " ") * 50, items[0][1] + " " + items[3][1], prose(3, 400)]
+    assert leaked(spark, items, *docs) == {(0, 2), (3, 0), (3, 3)}
+
+
 def test_leaks_without_a_list(spark, monkeypatch):
     """More benchmark windows than tasks can be given: all windows take part in the join."""
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")

@@ -22,11 +22,12 @@ Most documents are far from any item, and that shows in single words. Of each it
 a group are more than 0.2 of all. A document that lacks a whole group can't hold 0.8 of the
 windows; if every item has a group that the document lacks, it isn't cut into windows.
 
-The join is a hash join in Spark. Only windows that occur in some item need to take part; while the
-items have no more than ``MOST_LISTED`` windows their hashes go to the tasks, which drop
-all other windows at once. With more, every window of the documents is shuffled instead.
+The join is a hash join in Spark. While the items have no more than ``MOST_LISTED`` windows their hashes go
+to the tasks, with the items of each. A task hands on a window only for items that the document's words
+don't rule out and of which it has met enough windows, so windows and items are joined on both, and
+a window that many items share doesn't multiply. With more, every window of the documents is shuffled, and joined on itself.
 
-Cases: null and empty texts leak nothing. Items of fewer than five words have one window, all
+Cases: null and empty texts leak nothing; long ones are cut into windows whole. Empty tables leak nothing. Items of fewer than five words have one window, all
 their words; items without words, or of placeholders alone, are found nowhere. Rows that share
 doc_id are judged by text and reported once for each leaking text. Items are judged by item_id and
 text, those without item_id as well; of several leaked texts of one item_id that with the largest share is reported.
@@ -47,12 +48,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.common import batch, short_batches, stored, texts_of, words_of
-from tillworks.llm.pretokens import Memo
+from tillworks.llm.pretokens import Memo, forgets
 from tillworks.llm.word_counts import frequent_words
 
 WINDOW, SHARE = 5, 0.8
 MOST_LISTED = 4_000_000
-REMEMBERED, GROUPS = 300_000, 3
+REMEMBERED, GROUPS = 100_000, 3
+#: Rows that a task hands on at once.
+HANDED = 5_000
 #: Lower-case words that are known not to be names alone.
 KNOWN = 100_000
 #: Slots looked at together.
@@ -215,11 +218,11 @@ def anchors(text: str, known: np.ndarray) -> list[list[str]]:
 
 
 class Anchors:
-    """Tells which texts may hold enough of some item."""
+    """Tells of which items a text may hold enough."""
 
     def __init__(self, groups: list[list[list[str]]]) -> None:
-        #: An item without a group can't be ruled out by words.
-        self.any = any(not g for g in groups)
+        #: Items without a group can't be ruled out by words.
+        self.always = {item for item, g in enumerate(groups) if not g}
         self.full = [(1 << len(g)) - 1 for g in groups]
         self.of: dict[str, list[tuple[int, int]]] = {}
         for item, of in enumerate(groups):
@@ -228,43 +231,78 @@ class Anchors:
                     self.of.setdefault(word, []).append((item, 1 << bit))
         self.words = frozenset(self.of)
 
-    def near(self, text: str) -> bool:
-        if self.any:
-            return True
+    def near(self, text: str) -> set[int]:
+        """Numbers of the items."""
         has: dict[int, int] = {}
         for word in self.words & set(TOKEN.findall(text.lower())):
             for item, bit in self.of[word]:
                 has[item] = has.get(item, 0) | bit
-        return any(bits == self.full[item] for item, bits in has.items())
+        return self.always | {item for item, bits in has.items() if bits == self.full[item]}
+
+
+class Listed:
+    """The windows of all items (``windows``, in order), the items of each and how many different windows
+    each item has; ``anchors`` numbers items alike."""
+
+    def __init__(self, windows: np.ndarray, items: np.ndarray, sizes: np.ndarray, anchors: Anchors) -> None:
+        order = np.lexsort((items, windows))
+        self.windows, first = np.unique(windows[order], return_index=True)
+        self.items, self.first = items[order], np.r_[first, len(order)]
+        self.sizes, self.anchors = sizes, anchors
+
+    def of(self, hashes: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which hash, item) of the windows that stand in one of the items ``near``, of which the
+        hashes hold enough: every plain reading is one of the windows met at least."""
+        met = np.flatnonzero(_among(hashes, self.windows))
+        at = np.searchsorted(self.windows, hashes[met])
+        n = self.first[at + 1] - self.first[at]
+        which = np.repeat(met, n)
+        item = self.items[np.repeat(self.first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        if not len(item):
+            return which, item
+        pairs = np.unique(np.stack([item, np.searchsorted(self.windows, hashes[which])]), axis=1)
+        enough = np.zeros(len(self.sizes), bool)
+        enough[near] = True
+        enough &= np.bincount(pairs[0], minlength=len(self.sizes)) >= SHARE * self.sizes - 1e-9
+        take = enough[item]
+        return which[take], item[take]
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
-    for _, texts in texts_of(batches, 2):
-        groups = [anchors(t, known.value) for t in texts if len(windows(*canonical(t, known.value)[:3])[0])]
-        yield pa.record_batch({"groups": pa.array(groups, pa.list_(pa.list_(pa.string())))})
+    """(id, text_hash, groups) of the items that have windows."""
+    for rows, texts in texts_of(batches, 2):
+        has = [i for i, t in enumerate(texts) if len(windows(*canonical(t, known.value)[:3])[0])]
+        groups = pa.array([anchors(texts[i], known.value) for i in has], pa.list_(pa.list_(pa.string())))
+        at = pa.array(has, pa.int64())
+        yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at), groups], names=["id", "text_hash", "groups"])
 
 
 FOUND = pa.schema([
     ("id", pa.int64()), ("text_hash", pa.int64()), ("window", pa.int64()), ("at", pa.list_(pa.int32())),
-    ("slots", pa.list_(pa.list_(pa.string()))), ("bases", pa.list_(pa.int64())), ("n", pa.int32())])
-FOUND_DDL = "id long, text_hash long, window long, at array<int>, slots array<array<string>>, bases array<long>, n int"
+    ("slots", pa.list_(pa.list_(pa.string()))), ("bases", pa.list_(pa.int64())), ("n", pa.int32()), ("items", pa.list_(pa.int32()))])
+FOUND_DDL = "id long, text_hash long, window long, at array<int>, slots array<array<string>>, bases array<long>, n int, items array<int>"
 
 
+@forgets(_memo)
 def _windows(batches: Iterator[pa.RecordBatch], known, listed) -> Iterator[pa.RecordBatch]:
     """Every different window of each text with its places, the slot values and the plain reading
-    there and the number of the text's windows; of documents only windows listed."""
-    wanted, near = (None, None) if listed is None else listed.value
+    there and the number of the text's windows; of documents only windows of items that the
+    document may hold enough of, with the numbers of these items."""
+    of_items: Listed | None = None if listed is None else listed.value
+    out: list[tuple] = []
     for rows, texts in texts_of(batches, 2):
-        out = []
         for i, text_hash, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), texts):
-            if near is not None and not near.near(text):
+            if of_items is not None and not (near := of_items.anchors.near(text)):
                 continue
             template, kind, maybe, words = canonical(text, known.value)
-            all_windows = windows(template, kind, maybe)
-            if wanted is not None:
-                hit = _among(all_windows[1], wanted)
-                all_windows = tuple(x[hit] for x in all_windows)
-            at, hashes, bases, names = all_windows
+            at, hashes, bases, names = windows(template, kind, maybe)
+            n, items = len(np.unique(bases)), {}
+            if of_items is not None:
+                which, item = of_items.of(hashes, np.fromiter(near, "i8"))
+                for h, k in zip(hashes[which].view("i8").tolist(), item.tolist()):
+                    items.setdefault(h, set()).add(k)
+                hit = np.unique(which)
+                at, hashes, bases, names = at[hit], hashes[hit], bases[hit], names[hit]
             found: dict[int, tuple[list[int], list[list[str]], list[int]]] = {}
             for place, h, base, named in zip(at.tolist(), hashes.view("i8").tolist(), bases.view("i8").tolist(), names.tolist()):
                 end = min(place + WINDOW, len(words))
@@ -272,10 +310,12 @@ def _windows(batches: Iterator[pa.RecordBatch], known, listed) -> Iterator[pa.Re
                 of[0].append(place)
                 of[1].append([words[k].strip(_OUTER).lower() for k in range(place, end) if kind[k] != PLAIN or named >> k - place & 1])
                 of[2].append(base)
-            n = len(np.unique(bases))
-            out += [(i, text_hash, h, *of, n) for h, of in found.items()]
-        if out:
-            yield batch(FOUND, *map(list, zip(*out)))
+            out += [(i, text_hash, h, *of, n, sorted(items.get(h, ()))) for h, of in found.items()]
+            while len(out) >= HANDED:
+                yield batch(FOUND, *map(list, zip(*out[:HANDED])))
+                out = out[HANDED:]
+    if out:
+        yield batch(FOUND, *map(list, zip(*out)))
 
 
 def _nearest(places: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -363,20 +403,32 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     windows in the document, and of the slots that agree (1 if it has none)."""
     spark = docs.sparkSession
     short_batches(spark)
-    known = spark.sparkContext.broadcast(hashed([w for w, _ in frequent_words(docs, lower_words, KNOWN)]))
+    known = spark.sparkContext.broadcast(hashed([w for w, _ in frequent_words(docs, str.split, KNOWN, refine=lower_words)]))
     item_rows = _rows(items, "item_id").dropDuplicates(["id", "text_hash"])
     item_windows = stored(item_rows.mapInArrow(partial(_windows, known=known, listed=None), FOUND_DDL).select(
         F.col("id").alias("item_id"), F.col("text_hash").alias("item_hash"), "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "bases", "n"), "item-windows")
-    different = item_windows.select("window").distinct()
-    first = different.limit(MOST_LISTED + 1).toArrow().column(0).to_numpy()
+    first = item_windows.select("item_id", "item_hash", "window", "n").limit(MOST_LISTED + 1).toArrow()
+    on = ["window"]
     listed = None
     if len(first) <= MOST_LISTED:
         # An item has no more anchors than windows.
-        groups = [r.groups for r in item_rows.mapInArrow(partial(_anchors, known=known), "groups array<array<string>>").distinct().collect()]
-        listed = spark.sparkContext.broadcast((np.sort(first.astype("i8").view("u8")), Anchors(groups)))
+        rows = item_rows.mapInArrow(partial(_anchors, known=known), "id long, text_hash long, groups array<array<string>>").collect()
+        number = {(r.id, r.text_hash): k for k, r in enumerate(sorted(rows, key=lambda r: (r.id is None, r.id or 0, r.text_hash)))}
+        groups = {(r.id, r.text_hash): r.groups for r in rows}
+        item, sizes = np.empty(len(first), "i4"), np.zeros(len(number))
+        for i, (i_id, i_hash, n) in enumerate(zip(*(first.column(c).to_pylist() for c in ("item_id", "item_hash", "n")))):
+            item[i] = number[i_id, i_hash]
+            sizes[item[i]] = n
+        hashes = first.column("window").to_numpy().astype("i8").view("u8")
+        listed = spark.sparkContext.broadcast(Listed(hashes, item, sizes, Anchors([groups[k] for k in number])))
+        numbers = spark.createDataFrame([(k, *of) for of, k in number.items()], "item int, _id long, _hash long")
+        item_windows = item_windows.join(F.broadcast(numbers), F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("item_hash") == F.col("_hash"))).drop("_id", "_hash")
+        on = ["window", "item"]
     found = _rows(docs, "doc_id").mapInArrow(partial(_windows, known=known, listed=listed), FOUND_DDL).drop("bases", "n")
+    if listed is not None:
+        found = found.withColumn("item", F.explode("items"))
     # A set, as rows may share doc_id and text; one entry per reading of a window.
-    met = found.join(item_windows, "window").groupBy("id", "text_hash", "item_id", "item_hash").agg(
+    met = found.drop("items").join(item_windows, on).groupBy("id", "text_hash", "item_id", "item_hash").agg(
         F.max("n").alias("n"), F.collect_set(F.struct("window", "at", "slots", "item_at", "item_slots", "bases")).alias("met"))
     judged = met.where(F.size(F.array_distinct(F.flatten("met.bases"))) >= SHARE * F.col("n") - 1e-9).mapInArrow(
         _judged, "doc_id long, text_hash long, item_id long, share double, slot_share double")
