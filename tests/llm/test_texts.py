@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -123,6 +124,71 @@ def test_secrets_are_masked(spark):
     assert "[SECRET] ok" in masked[52] and masked[52].endswith("Bearer [SECRET]")
 
 
+def all_cuts(value, rank):
+    """The cheapest of all ways to cut a value, each part at its price."""
+    n, cut = len(value), secret_scan.CUT
+
+    def prices(part):
+        yield sum(map(secret_scan.letter_cost, part)), True
+        if 3 <= len(part) <= secret_scan.LONGEST_WORD and (cost := secret_scan._word_cost(part, rank)) is not None:
+            yield cost, False
+        if len(part) >= 3 and all(part.lower()[k:k + 2] in secret_scan.NEXT_KEYS for k in range(len(part) - 1)):
+            yield np.log10(40) + np.log10(2) + np.log10(len(part)), False
+        for unit in range(1, 5):
+            if len(part) >= 3 and len(part) > unit and part == part[:unit] * (len(part) // unit):
+                yield sum(map(secret_scan.letter_cost, part[:unit])) + np.log10(len(part) // unit), False
+
+    # By end, and whether the last part is brute force, which goes on without a new cut.
+    best = {(0, True): 0.0}
+    for end in range(1, n + 1):
+        for start in range(end):
+            for cost, plain in prices(value[start:end]):
+                for before in (True, False):
+                    if (start, before) in best:
+                        total = best[start, before] + cost + (cut if start and not plain else 0)
+                        best[end, plain] = min(best.get((end, plain), np.inf), total)
+        for dated, cost in ((e, c) for s in range(end) for e, c in secret_scan._dates(value, s) if e == end for c in [c + (cut if s else 0) + min(best.get((s, b), np.inf) for b in (True, False))]):
+            best[dated, False] = min(best.get((dated, False), np.inf), cost)
+    return min(best[n, b] for b in (True, False) if (n, b) in best)
+
+
+def test_guess_cost_against_all_cuts():
+    r, rank = random.Random(5), secret_scan.ranks(["river", "stone"])
+    parts = ["password", "aaaa", "1212", "qwerty", "2019-05-06", "xK9$", "R1ver", "stone", "abcabcabc", "zz", "1999"]
+    for _ in range(150):
+        value = "".join(r.choice(parts) if r.random() < 0.7 else r.choice("abcq123$K") for _ in range(r.randint(1, 4)))
+        assert secret_scan.guess_cost(value, rank) == pytest.approx(all_cuts(value, rank)), value
+
+
+def test_long_values(monkeypatch):
+    """Time grows with the length, and the cost of long values is that of the cheapest cut."""
+    r, rank = random.Random(6), secret_scan.ranks(["river", "stone"])
+    begun = time.monotonic()
+    for unit in ("a", "12", "river", "xK9$vQ2!mZp7"):
+        value = unit * (100_000 // len(unit))
+        assert (secret_scan.guess_cost(value, rank) >= secret_scan.DEAR) == (len(unit) > 4)
+    assert secret_scan.find("pwd is " + "z" * 100_000, rank) == []
+    assert time.monotonic() - begun < 40
+    values = ["".join(r.choice(["aaaa", "1212", "qwerty", "river", "$K", "abc"]) * r.randint(1, 12) for _ in range(r.randint(1, 6))) for _ in range(200)]
+    whole = [secret_scan.guess_cost(v, rank) for v in values]
+    monkeypatch.setattr(secret_scan, "LONG_VALUE", 8)
+    assert [secret_scan.guess_cost(v, rank) for v in values] == pytest.approx(whole)
+
+
+PLANTED = {  # values in a credential's place, and whether they are secrets
+    "xK9$vQ2!mZp7": True, "q8Zr-7Tn_4Wx!2Kd": True, "Gx7#pLw2@vNz": True, "wqxzjvkpth83": True, "https://u:p4$$w0rdX@host/": True,
+    "https://example.org/reset/password": False, "${VAULT_KEY_PROD}": False, "process.env.SECRET": False, "$DB_PASSWORD": False, "{{secrets.token}}": False,
+    "os.environ[DB_PASS]": False, "passwordpassword": False, "aaaaaaaaaaaaaa": False, "qwertyuiop": False, "12345678901234": False, "2019-05-06": False,
+}
+
+
+def test_precision_and_recall_of_planted_values(spark):
+    values = list(PLANTED)
+    texts = [f"{prose(k, 30)} pwd is {v} and {prose(k + 50, 9)}" for k, v in enumerate(values)]
+    found = {r.doc_id: [r.text[s.start:s.end] for s in r.spans] for r in secret_scan.scan(documents(spark, *enumerate(texts))).collect()}
+    assert [found[k] for k in range(len(values))] == [[v] if PLANTED[v] else [] for v in values]
+
+
 def test_guess_cost_is_the_cheapest_cut():
     rank = secret_scan.ranks(["river", "stone"])
     cost = lambda v: secret_scan.guess_cost(v, rank)

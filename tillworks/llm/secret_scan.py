@@ -11,8 +11,13 @@ word outside of a credential's place, with a short list of favourite passwords b
 sent to the tasks is bounded by ``WORDS``. So a secret doesn't become a known word by being copied,
 neither with its text nor from one text to others.
 
-Cases: null and empty texts have no spans. Spans are code points, end exclusive, in the order of
-their start, then kind. Equal rows get equal spans. Other columns are carried along; ``spans``
+Links and references to variables ("${VAULT_KEY}", "process.env.KEY") are no secrets, whatever they would cost.
+
+In values of more than ``LONG_VALUE`` characters, walks and repeats end near where they can end first or
+last (``NEAR_END`` places), so the time grows with the length only; shorter values are cut in every way.
+
+Cases: null and empty texts have no spans; long texts and values are looked at whole. Spans are code points, end exclusive, in the order of
+their start, then kind. Equal rows get equal spans; an empty table stays empty. Other columns are carried along; ``spans``
 replaces a column of that name.
 """
 
@@ -29,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.llm.common import numbered, short_batches, texts_of
+from tillworks.llm.pretokens import Memo, forgets
 from tillworks.llm.word_counts import different_texts, frequent_words
 
 # The base patterns of the scan.
@@ -52,10 +58,20 @@ CONTEXT = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 
+#: One of these (in any case) is in every match of CONTEXT and ASSIGN.
+KEYWORDS = ["pass", "pwd", "secret", "token", "key", "auth", "bearer", "login", "credential"]
+#: What stands for a secret that is kept elsewhere, and links without a password in them.
+REFERENCE = re.compile(
+    r"[a-z][a-z0-9+.-]*://[^\s@]*|[$%]?\$?\{{0,2}\s*(?:process\.env|os\.environ|import\.meta\.env|env|vars|secrets|config|settings)[.\[][\w.\[\]'\"-]*\}{0,2}"
+    r"|\$\{\{?[\w.:/-]+\}?\}|\$[A-Za-z_]\w*|%[A-Za-z_]\w*%|\{\{[\w.:/-]+\}\}", re.IGNORECASE | re.ASCII)
+
 #: Guesses (as a power of ten) from which a value counts as a secret.
 DEAR = 10.0
 #: Words whose rank is known, and the longest of them.
 WORDS, LONGEST_WORD = 20_000, 24
+LONG_VALUE, NEAR_END = 256, 8
+#: Pieces of text whose words a task remembers.
+REMEMBERED = 100_000
 #: Each further segment costs the guesser the choice of where to cut.
 CUT = log10(2)
 
@@ -73,19 +89,41 @@ DATE = re.compile(r"(\d{1,4})([-/._]?)(\d{1,2})\2(\d{1,4})")
 PLAIN_WORD = re.compile(r"[^\W\d_]+")
 
 
+def _names_credential(text: str) -> bool:
+    """Whether CONTEXT or ASSIGN can match at all."""
+    lower = text.lower()
+    return any(map(lower.__contains__, KEYWORDS))
+
+
+_memo = Memo(lambda piece: [w for w in PLAIN_WORD.findall(piece.lower()) if 3 <= len(w) <= LONGEST_WORD], REMEMBERED)
+
+
 def word_pieces(text: str) -> set[str]:
     """The different words of a text, without what stands in a credential's place."""
-    parts, at = [], 0
-    for lo, hi in sorted(m.span(m.re.groups) for pattern in (CONTEXT, ASSIGN) for m in pattern.finditer(text)):
-        parts.append(text[at:max(at, lo)])
-        at = max(at, hi)
-    text = " ".join([*parts, text[at:]])
-    return {w for w in PLAIN_WORD.findall(text.lower()) if 3 <= len(w) <= LONGEST_WORD}
+    if _names_credential(text):
+        parts, at = [], 0
+        for lo, hi in sorted(m.span(m.re.groups) for pattern in (CONTEXT, ASSIGN) for m in pattern.finditer(text)):
+            parts.append(text[at:max(at, lo)])
+            at = max(at, hi)
+        text = " ".join([*parts, text[at:]])
+    # No word goes beyond white space; long pieces aren't worth remembering.
+    return {w for piece in set(text.split()) for w in (_memo[piece] if len(piece) <= 64 else _memo.make(piece))}
+
 
+word_pieces.forget = _memo.forget
 
-def ranks(words: list[str]) -> dict[str, int]:
+
+class Ranks(dict):
+    """Rank by word, and the beginnings that words have."""
+
+    def __init__(self, words) -> None:
+        super().__init__((w, i) for i, w in enumerate(words, 1))
+        self.beginnings = {w[:3] for w in self}
+
+
+def ranks(words: list[str]) -> Ranks:
     """Rank by word; favourites first."""
-    return {w: i for i, w in enumerate(dict.fromkeys([*FAVOURITES, *words]), 1)}
+    return Ranks(dict.fromkeys([*FAVOURITES, *words]))
 
 
 def _next_keys() -> set[str]:
@@ -137,40 +175,58 @@ def guess_cost(value: str, rank: dict[str, int]) -> float:
     walk = [1] * (n + 1)
     for i in range(n - 2, -1, -1):
         walk[i] = walk[i + 1] + 1 if lower[i:i + 2] in NEXT_KEYS else 1
+    again = {unit: [0] * (n + 1) for unit in range(1, 5)}  # characters equal to those a unit further on
+    for unit, of in again.items():
+        for i in range(n - unit - 1, -1, -1):
+            of[i] = of[i + 1] + 1 if value[i] == value[i + unit] else 0
+
+    beginnings = rank.beginnings if isinstance(rank, Ranks) and lower.isascii() else None
+    cost_of = {c: letter_cost(c) for c in set(value)}
 
     for i in range(n):
         start = best[i] + (CUT if i else 0)
         # Brute force goes on without a new cut.
-        best[i + 1] = min(best[i + 1], best[i] + letter_cost(value[i]))
-        for end in range(i + 3, min(n, i + LONGEST_WORD) + 1):
+        best[i + 1] = min(best[i + 1], best[i] + cost_of[value[i]])
+        first = lower[i:i + 3]
+        words = beginnings is None or first in beginnings or first.translate(SPELT) in beginnings
+        for end in range(i + 3, min(n, i + LONGEST_WORD) + 1) if words else ():
             if (cost := _word_cost(value[i:end], rank)) is not None:
                 best[end] = min(best[end], start + cost)
-        for end, cost in _dates(value, i):
+        for end, cost in _dates(value, i) if value[i].isdecimal() else ():
             best[end] = min(best[end], start + cost)
-        for end in range(i + 3, i + walk[i] + 1):
-            best[end] = min(best[end], start + log10(40) + log10(2) + log10(end - i))
-        for unit in range(1, 5):
-            end, times = i + unit, 1
-            while value.startswith(value[i:i + unit], end) and end + unit <= n:
-                end, times = end + unit, times + 1
-                if times * unit >= 3:
-                    best[end] = min(best[end], start + sum(map(letter_cost, value[i:i + unit])) + log10(times))
+        for length in _lengths(3, walk[i], 1, n):
+            best[i + length] = min(best[i + length], start + log10(40) + log10(2) + log10(length))
+        for unit, of in again.items():
+            times = of[i] // unit + 1
+            if times * unit >= 3 and times > 1:
+                letters = sum(map(cost_of.__getitem__, value[i:i + unit]))
+                for length in _lengths(max(2, -(-3 // unit)), times, unit, n):
+                    best[i + length] = min(best[i + length], start + letters + log10(length // unit))
     return best[n]
 
 
+def _lengths(least: int, most: int, unit: int, n: int) -> Iterator[int]:
+    """Lengths of the runs of ``least`` to ``most`` units; in a long value the first and last of them."""
+    if n <= LONG_VALUE or most - least < 2 * NEAR_END:
+        yield from range(least * unit, most * unit + 1, unit)
+    else:
+        yield from range(least * unit, (least + NEAR_END) * unit, unit)
+        yield from range((most - NEAR_END + 1) * unit, most * unit + 1, unit)
+
+
 def find(text: str, rank: dict[str, int]) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, cost) of the secrets in a text; only added spans have a cost."""
     spans = []
-    if "=" in text or ":" in text:
+    if ("=" in text or ":" in text) and _names_credential(text):
         spans += [("assign", m.start(), m.end(), None) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LENGTH]
     if "AKIA" in text:
         spans += [("access", m.start(), m.end(), None) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LENGTH]
     spans += [("hex", m.start(), m.end(), None) for m in HEX.finditer(text)]
     base = [(s[1], s[2]) for s in spans]
-    for m in CONTEXT.finditer(text):
+    for m in CONTEXT.finditer(text) if _names_credential(text) else ():
         lo, hi = m.span(1)
         hi -= len(m[1]) - len(m[1].rstrip(".:!?"))
-        if hi - lo >= ASSIGN_LENGTH and not any(a < hi and lo < b for a, b in base):
+        if hi - lo >= ASSIGN_LENGTH and not any(a < hi and lo < b for a, b in base) and not REFERENCE.fullmatch(text, lo, hi):
             cost = guess_cost(text[lo:hi], rank)
             if cost >= DEAR:
                 spans.append(("guess", lo, hi, cost))

@@ -28,6 +28,8 @@ def _counts(batches: Iterator[pa.RecordBatch], split, refine) -> Iterator[pa.Rec
                 yield from _rows(_refined(seen, refine))
                 seen = Counter()
     yield from _rows(_refined(seen, refine))
+    if hasattr(split, "forget"):
+        split.forget()
 
 
 def _refined(seen: Counter, refine) -> Counter:
