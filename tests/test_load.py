@@ -107,23 +107,38 @@ def test_names_with_signs_of_patterns(spark, folder):
 
 
 @pytest.mark.parametrize("policy", ["strict", "antijoin"])
-def test_a_load_that_broke_off_is_repeated(spark, folder, monkeypatch, policy):
-    """The append dies after the newest month: the repeated run adds the older one."""
+@pytest.mark.parametrize("published", [False, True])
+def test_a_load_that_broke_off_is_repeated(spark, folder, monkeypatch, policy, published):
+    """The append of two months dies before or after its rename: none or all rows are seen, and the
+    repeated run adds what is missing."""
     rows = [CLEAN_ROWS[0], ("9", "Z", "d", "1", "2011-01-05 08:00:00", "2.00", "1", "UK")]
     lake, path = Lake(spark, folder + "/lake"), write(folder + "/in", "a.csv", csv_text(rows))
-    whole, options = Z.write_fact, LoadOptions(late_policy=policy)
+    whole, options = Z.publish_fact, LoadOptions(late_policy=policy)
 
-    def half(frame, where, if_exists="append"):
-        whole(frame.where("invoice_year = 2011"), where, if_exists)
+    def dies(*args):
+        if published:
+            whole(*args)
         raise OSError("the driver is gone")
 
-    monkeypatch.setattr(Z, "write_fact", half)
-    assert load_files(lake, path, options).status == S.FAILED and lake.fact().count() == 1
-    monkeypatch.setattr(Z, "write_fact", whole)
+    monkeypatch.setattr(Z, "publish_fact", dies)
+    assert load_files(lake, path, options).status == S.FAILED
+    assert os.listdir(lake.fact_path) and lake.fact().count() == 2 * published
+    monkeypatch.setattr(Z, "publish_fact", whole)
     again = load_files(lake, path, options)
-    assert (again.status, again.rows_inserted) == (S.SUCCESS, 1), again
+    assert (again.status, again.rows_inserted) == (S.SUCCESS, 0 if published else 2), again
     assert sorted(r["invoice_no"] for r in lake.fact().collect()) == ["536365", "9"]
     assert Z.read_from_lake(spark, lake.base, "raw").count() == 2
+    assert not os.path.exists(f"{lake.base}/work") or not os.listdir(f"{lake.base}/work")
+
+
+def test_a_months_folders_become_visible_together(spark, folder):
+    """Between two months of an append a reader sees the rows from before."""
+    path, rows = folder + "/fact", fact(spark, *THREE, ("9", "A", "d", 1, "1.00", "2009-05-01 00:00:00", "1", "UK"))
+    Z.write_fact(rows.limit(1), path)
+    Z.pend_fact(rows.where("invoice_year = 2009"), path, "half")
+    assert Z.read_fact(spark, path).count() == 1
+    Z.write_fact(rows, path)
+    assert Z.read_fact(spark, path).count() == 5
 
 
 def test_files_without_new_rows_are_known(spark, folder):
@@ -143,7 +158,7 @@ def test_lake_round_trip(spark, folder):
         [("1", 2010, 12, 5.0), ("2", 2011, 1, 6.0)], "InvoiceNo string, InvoiceYear int, InvoiceMonth int, TotalPrice double"
     )
     base = folder + "/lake"
-    assert Z.write_to_lake(rows.limit(0), base) == ""
+    assert Z.write_to_lake(rows.limit(0), base) == "" and not os.path.exists(base + "/processed")
     path = Z.write_to_lake(rows, base, "processed", S.LAKE_PARTITIONS)
     assert os.path.isdir(f"{path}/InvoiceYear=2010/InvoiceMonth=12")
     assert Z.read_from_lake(spark, base, "processed", ["InvoiceNo"]).columns == ["InvoiceNo"]
@@ -167,6 +182,21 @@ def test_fact_table_modes(spark, folder):
     assert Z.read_fact(spark, path).count() == 3
 
 
+def test_what_is_written_runs_once(spark, folder):
+    from pyspark.sql import functions as F
+
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("once"))
+    rows = spark.range(50).select(F.col("id"), F.lit(2010).alias("y"))
+    spark.sparkContext.setJobGroup("once", "")
+    try:
+        rows.write.parquet(folder + "/plain")
+        plain = jobs()
+        assert Z.write_to_lake(rows, folder + "/lake").endswith("/processed")
+        assert jobs() == 2 * plain
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 # --- incremental -------------------------------------------------------------------------
 
 

@@ -19,7 +19,12 @@ QUERIES, SQL = entry.queries(), entry.oracle_sql()
 def results(spark):
     """All queries, a few at a time: at this scale each one is mostly planning."""
     with ThreadPoolExecutor(6) as pool:
-        yield {name: pool.submit(lambda q=QUERIES[name]: q(spark, SMALL).toPandas()) for name in SQL}
+        yield {name: pool.submit(run, QUERIES[name], spark) for name in SQL}
+
+
+def run(query, spark):
+    frame = query(spark, SMALL)
+    return frame.toPandas(), oracle_check.spark_kinds(frame)
 
 
 @pytest.fixture(scope="module")
@@ -39,4 +44,5 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", list(SQL))
 def test_query(results, con, name):
-    assert oracle_check.differences(results[name].result(), con.execute(SQL[name]).df()) == []
+    rows, kinds = results[name].result()
+    assert oracle_check.differences(rows, con.execute(SQL[name]).df(), kinds, oracle_check.duck_kinds(con, SQL[name])) == []

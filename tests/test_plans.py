@@ -2,6 +2,8 @@
 
 import random
 import re
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 import pytest
@@ -14,6 +16,7 @@ from tillworks.operators import incremental as I
 from tillworks.operators import kpis as K
 from tillworks.operators.filters import ReportFilter, sales
 from tillworks.plans.catalog import CATALOG
+from tillworks.plans.dashboard import dashboard, dashboard_rows
 from tillworks.sources import lake as Z
 from tillworks.sources import star_tables as T
 
@@ -178,3 +181,23 @@ def test_leaderboards_on_hot_keys(hot):
     assert rows[0]["pct_of_total_revenue"] == pytest.approx(100 * spent.iloc[0] / spent.sum(), abs=0.006)
     ranks = pd.Series([r["total_spent"] for r in rows]).rank(method="dense", ascending=False).astype(int)
     assert [r["customer_rank"] for r in rows] == list(ranks)
+
+
+def test_antijoin_reads_the_months_of_the_batch(stored):
+    """Folder names are compared with the batch's months as literals, and other folders aren't opened."""
+    months = [tuple(r) for r in stored.select("invoice_year", "invoice_month").distinct().orderBy("invoice_year", "invoice_month").limit(2).collect()]
+    batch = stored.where(reduce(or_, [(F.col("invoice_year") == y) & (F.col("invoice_month") == m) for y, m in months]))
+    found = I.in_months_of(stored, batch)
+    filters = re.search(r"PartitionFilters: \[(.*)\]", details(found))[1]
+    assert set(map(int, re.findall(r"\d+", re.sub(r"#\d+", "", filters)))) == {n for pair in months for n in pair}
+    assert found.select("invoice_year", "invoice_month").distinct().count() == 2 and found.count() == batch.count()
+    assert I.in_months_of(stored, stored.limit(0)).count() == 0
+    assert found.inputFiles() and I.not_in_target(batch, found).count() == 0
+
+
+def test_dashboard_shares_the_kpi_row(stored):
+    rows = dashboard_rows(dashboard(stored))
+    rows.collect()
+    text = plan(rows)
+    assert "ReusedExchange" in text
+    assert len(re.findall(r"FileScan", text.partition("Initial Plan")[0])) <= 5
