@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 from html import unescape
 
@@ -239,6 +240,37 @@ def test_noise_words_of_wrappers(spark):
     assert texts_of_pages(spark, *[(f"http://h{k}/", f"<body>{h}</body>") for k, h in enumerate(inside)]) == ["Head\n" + ("words of a story " * 9).strip()] * 7
 
 
+def test_articles_are_kept_whole(spark):
+    words = "plain words of a text " * 6
+    text = words.strip()
+    pages = [
+        f"<body><article><p><a href=/a>{words}</a></p><p>and more</p></article><div><p>short other text</p></div></body>",
+        f"<body><article><header><h1>Title</h1></header><p>{words}</p></article><header>Site</header></body>",
+        f"<body><article><h2 class=search-methods>Methods</h2><p>{words}</p><div class=related-work><p>{words}</p></div></article></body>",
+        f"<body><article><p>{words}</p><pre>x = 1 <span class=hljs-comment># why</span></pre></article></body>",
+        f"<body><main><p>{words}</p><div class=related><a href=/x>{words}</a></div><div class=comments><p>{words}</p></div></main><footer>{words}</footer></body>",
+    ]
+    want = [f"{text}\nand more", f"Title\n{text}", f"Methods\n{text}\n{text}", f"{text}\nx = 1 # why", text]
+    assert texts_of_pages(spark, *[(f"http://p{k}/", h) for k, h in enumerate(pages)]) == want
+
+
+def test_broken_markup_takes_linear_time():
+    begun = time.monotonic()
+    for part in ("<a ", "<a '", '<a "> ', "<!", "<b <i", "</x>", "<a b='\">", "<script"):
+        host_paths.Page("<p>text</p>" + part * (1_000_000 // len(part))).text("")
+    assert time.monotonic() - begun < 40
+    quoted = host_paths.Page("<p title='a > b'>one <b class=\"x>y\">two</b></p><a href='open>three")
+    assert quoted.text("") == "one two\nthree"
+
+
+def test_many_winning_paths(spark, monkeypatch):
+    """More paths than tasks are given: a host's pages are dealt out by salt."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    few = sorted(map(tuple, host_paths.main_texts(pages).collect()))
+    monkeypatch.setattr(host_paths, "MOST_PATHS", 0)
+    assert sorted(map(tuple, host_paths.main_texts(pages).collect())) == few
+
+
 def test_pages_of_the_tables(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}

@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from tillworks.llm.common import batch, short_batches, stored
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+TAG_START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+TAG_STOP = re.compile(r"[>\"']")
 CLASSES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 SPACE = re.compile(r"\s+")
 
@@ -66,6 +66,12 @@ NOISE = {
     "related", "replies", "respond", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe",
     "toolbar", "widget",
 }
+#: Noise that is made of links; inside a main or article a block named so is text unless most of it is linked.
+LINKED = {
+    "breadcrumb", "breadcrumbs", "complementary", "header", "masthead", "menu", "nav", "navbar", "navigation", "pager", "pagination", "related",
+    "search", "share", "sharing", "sidebar", "social", "toolbar", "widget",
+}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Noise that stays noise when it has most of a page's text.
 SURE = {
     "ad", "ads", "advert", "adverts", "advertisement", "comment", "comments", "consent", "cookie", "cookies", "disqus", "gdpr",
@@ -75,6 +81,8 @@ SURE = {
 SAID = {"has", "with", "no", "without"}
 #: Containers that a page proposes.
 PROPOSED = 3
+#: Winning paths that are handed to every task; with more, pages are joined to them in this many parts of each host.
+MOST_PATHS, SALTS = 200_000, 64
 #: Pages from which a template of a host has its own votes.
 TEMPLATE_PAGES = 5
 
@@ -131,6 +139,53 @@ def _label(tag: str, attributes: str) -> tuple[str, set[str]]:
     return ".".join([tag, *sorted(set(names))]), noise
 
 
+def tokens(html: str) -> Iterator[tuple[int, int, str | None, str | None, str]]:
+    """(start, end, slash, tag, attributes) of the tags of a page; comments and declarations have no tag.
+
+    An end sign inside quotes doesn't end a tag. Where quotes don't close before the page does, they mean
+    nothing from there on, so every character is passed a few times at most.
+    """
+    at, quotes, last = 0, True, html.rfind(">")
+    while (m := TAG_START.search(html, at)) is not None:
+        start, at = m.span()
+        if m[2] is None:
+            if m[0] != "<!--" and at > last:
+                continue
+            end = html.find("-->" if m[0] == "<!--" else ">", at)
+            at = len(html) if end < 0 else end + (3 if m[0] == "<!--" else 1)
+            yield start, at, None, None, ""
+            continue
+        if at > last:
+            return
+        end = at
+        while quotes and (stop := TAG_STOP.search(html, end)) is not None and stop[0] != ">":
+            close = html.find(stop[0], stop.end())
+            if close < 0:
+                quotes = False
+            end = close + 1
+        if quotes:
+            end = -1 if stop is None else stop.start()
+            quotes = stop is not None
+        if not quotes:
+            end = html.find(">", at)
+        if end < 0:
+            return
+        tag, attributes, at = m[2].lower(), html[at:end], end + 1
+        if not m[1] and tag in RAW and not attributes.endswith("/"):
+            # What such an element holds isn't markup.
+            yield start, at, m[1], tag, attributes
+            close = _closing(tag).search(html, at)
+            begun, at = (close.start(), close.end()) if close else (len(html), len(html))
+            yield begun, at, "/", tag, ""
+        else:
+            yield start, at, m[1], tag, attributes
+
+
+@lru_cache(None)
+def _closing(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.IGNORECASE)
+
+
 class Page:
     """The blocks of a page with the paths they stand in."""
 
@@ -147,24 +202,24 @@ class Page:
         self._named: tuple[int, ...] = ()
         self._sure: list[bool] = []
         self._holds: list[bool] = []
+        #: Whether it stands in a main or article and is named as something made of links only.
+        self._inner: list[bool] = []
         #: Whether a main or article stands outside of them.
         self._shown = False
         self._paths: tuple[str, ...] = ("",)
+        #: How many of each tag are open, and the paths of articles and mains that aren't comments or the like.
+        self._tags: dict[str, int] = defaultdict(int)
+        self._whole: dict[str, list[str]] = {"article": [], "main": []}
         at = 0
-        while (m := TOKEN.search(html, at)) is not None:
-            self._text(html[at:m.start()])
-            at = m.end()
-            if m[2] is None:
+        for start, end, slash, tag, attributes in tokens(html):
+            self._text(html[at:start])
+            at = end
+            if tag is None:
                 continue
-            tag = m[2].lower()
-            if m[1]:
+            if slash:
                 self._end(tag)
             else:
-                self._begin(tag, m[3])
-                if tag in RAW and not m[3].endswith("/"):
-                    close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.IGNORECASE).search(html, at)
-                    at = close.end() if close else len(html)
-                    self._end(tag)
+                self._begin(tag, attributes)
         self._text(html[at:])
         self._close_block()
         self._show(self._hidden())
@@ -186,14 +241,18 @@ class Page:
         hidden = set(range(len(self._sure)))
         if not hidden:
             return hidden
-        worth, total = [0] * len(hidden), 0
+        worth, in_links, total = [0] * len(hidden), [0] * len(hidden), 0
         for parts, _ in self._all:
             for text, linked, named in parts:
-                n = 0 if linked else len(SPACE.sub(" ", text).strip())
-                total += n
+                n = len(SPACE.sub(" ", text).strip())
+                total += 0 if linked else n
                 for k in named:
-                    worth[k] += n
-        return {k for k in hidden if not (self._holds[k] and not self._shown or 2 * worth[k] > total and not self._sure[k])}
+                    if linked:
+                        in_links[k] += n
+                    else:
+                        worth[k] += n
+        return {k for k in hidden if not (
+            self._holds[k] and not self._shown or 2 * worth[k] > total and not self._sure[k] or self._inner[k] and worth[k] > in_links[k])}
 
     def _show(self, hidden: set[int]) -> None:
         """Make blocks of what doesn't stand in these elements."""
@@ -210,18 +269,24 @@ class Page:
                 self._text(" ")
             return
         label, noise = _label(tag, attributes)
-        named = bool(noise) and tag not in ROOTS and tag not in APART
+        inside = self._tags["article"] > 0 or self._tags["main"] > 0
+        # The header of an article has its title; headings and words in a line aren't furniture there.
+        apart = tag in APART and not (tag == "header" and inside)
+        named = bool(noise) and tag not in ROOTS and not apart and not (inside and (tag in HEADINGS or tag in INLINE and tag != "a"))
         if tag not in INLINE:
             self._close_block()
             self._imply_ends(ENDS.get(tag, {"p"}))
         if attributes.endswith("/") and tag not in INLINE | CONTAINERS:
             return
         path = f"{self._paths[-1]}>{label}" if tag in CONTAINERS else None
-        self._push(tag, path, tag in APART, named)
+        self._push(tag, path, apart, named)
         if named:
             self._named = (*self._named, len(self._sure))
             self._sure.append(not noise.isdisjoint(SURE))
             self._holds.append(False)
+            self._inner.append(inside and noise <= LINKED)
+        if tag in self._whole and not self._apart and not (self._named and self._sure[self._named[-1]]):
+            self._whole[tag].append(path)
         if tag in ("main", "article") and not self._apart:
             # One that is named as noise for certain is a comment or the like.
             if not self._named:
@@ -232,6 +297,7 @@ class Page:
 
     def _push(self, tag: str, path: str | None, apart: bool, named: bool) -> None:
         self._open.append((tag, path, apart, named))
+        self._tags[tag] += 1
         self._apart += apart
         self._links += tag == "a"
         if path is not None:
@@ -239,6 +305,7 @@ class Page:
 
     def _pop(self) -> None:
         tag, path, apart, named = self._open.pop()
+        self._tags[tag] -= 1
         self._apart -= apart
         if named:
             self._named = self._named[:-1]
@@ -260,6 +327,8 @@ class Page:
         inline = tag in INLINE
         if not inline:
             self._close_block()
+        if not self._tags[tag]:
+            return
         for i in range(len(self._open) - 1, -1, -1):
             if self._open[i][0] == tag:
                 while len(self._open) > i:
@@ -303,8 +372,20 @@ class Page:
         up = [a for a, sums in self.above(best[0][0]).items() if _climbs(a, *sums)]
         return min(up, key=len, default=best[0][0])
 
+    def lone(self) -> str | None:
+        """The path of the only article, or else of the only main, if it has text."""
+        for paths in self._whole.values():
+            if len(paths) == 1 and self.has(paths[0]):
+                return paths[0]
+        return None
+
     def best(self) -> list[tuple[str, float]]:
-        return sorted(((p, s) for p, s in self.scores().items() if s > 0), key=lambda x: (-x[1], x[0]))[:PROPOSED]
+        """The ``PROPOSED`` containers that get votes, best first; a lone article or main wins over what stands outside it."""
+        found, lone = self.scores(), self.lone()
+        if lone is not None:
+            found = {p: s for p, s in found.items() if p == lone or p.startswith(lone + ">")}
+            found[lone] = max(found.get(lone, 0.0), 1.0)
+        return sorted(((p, s) for p, s in found.items() if s > 0), key=lambda x: (-x[1], x[0]))[:PROPOSED]
 
     def text(self, path: str) -> str:
         return "\n".join([text for text, _, paths in self.blocks if path in paths])
@@ -380,5 +461,12 @@ def main_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
     rows = rows.withColumn("template", template(F.col("html")))
-    return rows.join(winning_paths(rows), ["host", "template"], "left").select("page_id", "url", "html", "path").mapInArrow(
+    paths, on = stored(winning_paths(rows), "paths"), ["host", "template"]
+    if paths.count() <= MOST_PATHS:  # a row for each host and template: pages stay where they are
+        paths = F.broadcast(paths)
+    else:
+        # A hot host lies in many tasks.
+        paths = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows, on = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int")), [*on, "salt"]
+    return rows.join(paths, on, "left").select("page_id", "url", "html", "path").mapInArrow(
         _extract, "page_id long, url string, text string")
