@@ -10,8 +10,8 @@ Training takes a bounded sample of labelled documents (``MOST_TOXIC`` and ``MOST
 smallest id hash); the intercept is then moved back to the shares among all labelled rows.
 Scoring covers every document. Labels, language, source and id are no inputs of a score.
 
-Cases: null and empty texts have no terms and score the share of toxic labels. Rows without an id
-are not held out. An id labelled twice counts as toxic if any label says so. Without labels of
+Cases: long texts count with all their terms; an empty table gives no rows. Null and empty texts have no terms and score the share of toxic labels. Rows without an id
+are not held out. Of several texts of a labelled id the one of smallest hash is learnt from. An id labelled twice counts as toxic if any label says so. Without labels of
 both kinds every score is the (smoothed) share. Extra columns are ignored; equal texts get equal
 scores.
 """
@@ -154,8 +154,10 @@ def learned(docs: DataFrame, labels: DataFrame) -> Machine:
     ]
     # At most MOST_TOXIC + MOST_CLEAN ids, so they can go to every task.
     chosen = F.broadcast(some[0].union(some[1]))
-    rows = docs.join(chosen, "doc_id").select("toxic", "text").mapInArrow(_terms, "toxic int, terms array<int>").limit(
-        4 * (MOST_TOXIC + MOST_CLEAN)).toArrow()
+    # One text for each id, so no more rows than ids.
+    one = docs.join(chosen, "doc_id").groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"), F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
+    rows = one.select("toxic", "text").mapInArrow(_terms, "toxic int, terms array<int>").toArrow()
     toxic = np.array(rows.column("toxic").to_pylist(), "f8")
     found = [np.array(t, "i4") for t in rows.column("terms").to_pylist()]
     order = sorted(range(len(found)), key=lambda i: (len(found[i]), found[i].tobytes(), toxic[i]))
