@@ -266,19 +266,39 @@ def test_toxicity_edges(spark):
     assert toxicity_fm.scored(documents(spark, *ODD), labels.limit(0)).count() == len(ODD)
 
 
-def test_pairs_count_beyond_single_terms():
-    """Two terms that are harmless alone and toxic together."""
+def tried(fm, docs, toxic):
+    starts = np.cumsum([0, *[len(d) for d in docs]])[:-1]
+    return ((fm.log_odds(np.concatenate(docs), starts) > 0) == np.array(toxic)).mean()
+
+
+@pytest.mark.parametrize("others", [1, 4, 10])
+@pytest.mark.parametrize("rule", [lambda a, b: a and b, lambda a, b: a != b, lambda a, b: a == b])
+def test_pairs_count_beyond_single_terms(rule, others):
+    """Two terms that are harmless, or say nothing, alone: both, one of them, both or neither."""
     r = random.Random(3)
     docs, toxic = [], []
-    for _ in range(1200):
+    for _ in range(2400):
         a, b = r.random() < 0.5, r.random() < 0.5
-        docs.append(np.sort(toxicity_fm.terms(" ".join(["you"] + ["foo"] * a + ["bar"] * b + [r.choice("xyzuvw")]))))
-        toxic.append(float(a and b))
-    fm = toxicity_fm.train(docs, np.array(toxic))
-    starts = np.cumsum([0, *[len(d) for d in docs]])[:-1]
-    assert (((fm.log_odds(np.concatenate(docs), starts) > 0) == np.array(toxic)).mean()) > 0.97
+        docs.append(np.sort(toxicity_fm.terms(" ".join(["foo"] * a + ["bar"] * b + [f"w{r.randrange(200)}" for _ in range(others)]))))
+        toxic.append(float(rule(a, b)))
+    fm = toxicity_fm.train(docs[:1200], np.array(toxic[:1200]))
+    assert tried(fm, docs[1200:], toxic[1200:]) > 0.97
 
 
+def test_log_odds_are_the_sum_over_all_pairs():
+    r = random.Random(5)
+    docs = [np.sort(toxicity_fm.terms(" ".join(f"word{r.randrange(60)}" for _ in range(n)))) for n in (*range(40), 0, 300) for _ in range(5)]
+    fm = toxicity_fm.untrained(docs, np.array([float(r.random() < 0.4) for _ in docs]))
+    fm.bias = 0.25
+    starts = np.cumsum([0, *[len(d) for d in docs]])[:-1]
+    for doc, found in zip(docs, fm.log_odds(np.concatenate(docs), starts)):
+        vectors, want = [fm.ground], fm.bias
+        for p in doc:
+            lean, present = fm.scale[p], fm.common[p] / len(doc) ** 0.5
+            vectors.append(fm.factors[p] * (lean - present if lean < 0 else lean + present))
+            want += fm.weights[p] * lean
+        want += sum(float(v @ w) for i, v in enumerate(vectors) for w in vectors[:i])
+        assert found == pytest.approx(want, abs=1e-9)
 
 
 def test_frequent_words(spark):
