@@ -147,6 +147,7 @@ def test_warc_round_trip(spark, folder):
 
 def test_index_finds_single_captures(spark, folder, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", 3)
+    monkeypatch.setattr(warc, "SECTION_BLOCKS", 2)
     many = [(i, f"http://www.h{i % 7}.example.com/p/{i % 4}", f"page {i}") for i in range(200)]
     warc.archive(spark, pages(spark, *many).repartition(4), folder)
     index = warc.CaptureIndex(f"{folder}/directory")
@@ -156,6 +157,31 @@ def test_index_finds_single_captures(spark, folder, monkeypatch):
     assert index.find("com,example,h3,www)/p/9") == [] == index.find("")
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_directory_is_searched_by_range_reads(folder, monkeypatch, files):
+    """Against a plain search; keys repeat over blocks, sections and nearly files."""
+    monkeypatch.setattr(warc, "BLOCK_LINES", 4)
+    monkeypatch.setattr(warc, "SECTION_BLOCKS", 3)
+    keys = sorted(f"com,h{i % 37:02d})/ {i // 2 % 90:020d}" for i in range(2000))
+    roots, cut = [], [0, *[next(k for k in range(2000 * i // files, 2000) if keys[k] != keys[k - 1]) for i in range(1, files)], 2000]
+    for number, (low, high) in enumerate(zip(cut, cut[1:])):
+        monkeypatch.setattr(warc.TaskContext, "get", lambda n=number: type("Task", (), {"partitionId": lambda self: n})())
+        rows = [(k, 1, "a", i, 9) for i, k in enumerate(keys[low:high], low)]
+        step = 7
+        batches = (warc.batch(warc.CAPTURES, *map(list, zip(*rows[i:i + step]))) for i in range(0, len(rows), step))
+        roots += [tuple(r.values()) for b in warc._write_blocks(batches, folder) for r in b.to_pylist()]
+    out = warc.NewFile(f"{folder}/directory")
+    out.write(warc._lines(roots))
+    out.close()
+    tries = [*sorted(set(keys)), "", "com,h05)/", "zzz", *reversed(sorted(set(keys))[::7])]
+    index = warc.CaptureIndex(f"{folder}/directory")
+    for low in tries:
+        for high in (low, low[:-1] + "~", low + "~"):
+            assert [x[2] for x in index.between(low, high)] == [i for i, k in enumerate(keys) if low <= k <= high]
+    one = warc.CaptureIndex(f"{folder}/directory")
+    assert len(list(one.between(keys[1000], keys[1000]))) == keys.count(keys[1000]) and one.reads <= 12
+
+
 def test_keys(spark):
     urls = ["http://User.Example.COM:80/A?b#c", "", None, "//x.y/z", "mailto"]
     frame = spark.createDataFrame([(u,) for u in urls], "u string")
