@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm.edge import LONG, ODD, documents, prose
 from tillworks.llm import quality_rules, secret_scan, substring_dedup, toxicity_fm, word_counts
@@ -51,13 +52,31 @@ def test_dedup_is_brute_force(spark, seed):
     assert order(substring_dedup.without_repeats(frame).collect()) == order(plain_dedup(rows))
 
 
-def test_dedup_splits_hot_minimisers(spark, monkeypatch):
-    """Every minimiser counts as hot: windows travel one by one, results stay the same."""
-    monkeypatch.setattr(substring_dedup, "HOT_SHARE", 1 << 40)
-    rows = [*ODD, *[(i, prose(2, 80) + prose(i, 25)) for i in range(40, 60)]]
+@pytest.mark.parametrize("most", [0, 8])
+def test_dedup_splits_hot_minimisers(spark, monkeypatch, most):
+    """Every minimiser is hot, or those of a passage in most documents are: windows travel one by one,
+    results stay the same."""
+    monkeypatch.setattr(substring_dedup, "HOT_STRINGS", most)
+    rows = [*ODD, *[(i, prose(2, 80) + prose(i, 25)) for i in range(40, 60)], *[(i, prose(i % 3, 60)) for i in range(60, 66)]]
     assert order(substring_dedup.without_repeats(documents(spark, *rows).repartition(4)).collect()) == order(plain_dedup(rows))
 
 
+def test_one_minimiser_in_most_strings(spark, monkeypatch):
+    """Its strings aren't gathered: no bucket but a window's own meets its words."""
+    monkeypatch.setattr(substring_dedup, "HOT_STRINGS", 30)
+    rows = [(i, prose(1000 + i, 30) + " " + prose(2, 22) + " " + prose(5000 + i, 30)) for i in range(120)]
+    frame = documents(spark, *rows).repartition(4)
+    assert order(substring_dedup.without_repeats(frame).collect()) == order(plain_dedup(rows))
+    sent = {}
+    monkeypatch.setattr(substring_dedup, "_resolve", lambda batches: batches)
+    monkeypatch.setattr(substring_dedup, "PLACES_DDL", substring_dedup.SENT_DDL)
+    keyed = frame.select(F.col("doc_id").alias("rid"), F.xxhash64("text").alias("text_hash"), "text")
+    for r in substring_dedup.repeated_places(keyed).where("packed IS NOT NULL").collect():
+        sent.setdefault(r.bucket, []).append(r.packed)
+    assert max(map(len, sent.values())) <= 30
+    assert any(len(p.split(" ")) == substring_dedup.WINDOW for packed in sent.values() for p in packed)
+
+
 def test_dedup_of_nothing(spark):
     assert substring_dedup.without_repeats(documents(spark, *ODD).limit(0)).count() == 0
 

@@ -14,13 +14,15 @@ in the corpus is unlike any other and stays home. Counts of two and more are kep
 fixed size; where it grows full, more strings travel and nothing else changes.
 
 Popular passages: a task sends a string once however often it meets it, and marks the later ones
-itself, so a bucket gets at most one copy of a string from each task. Minimisers with more than
-``1 / HOT_SHARE`` of all strings (so fewer than ``HOT_SHARE`` of them) are split further: their
-windows travel one by one to buckets by the hash of all their words.
+itself, so a bucket gets at most one copy of a string from each task. Minimisers that stand more than
+``HOT_STRINGS`` times are split further: their windows travel one by one to buckets by the hash of all
+their words. They are kept in a second bit map, so however many there are, a bucket of strings stays
+bounded; a minimiser that shares a bit with one of them is split too, in every task alike.
 
 Cases: null and empty texts, and texts shorter than a window, lose nothing. Documents without id
 come after all others. Rows that share their id count as one document: places with equal id and
-start are none the earlier. Repeated rows get equal results. Extra columns are ignored.
+start are none the earlier. Repeated rows get equal results. Long texts count whole: all their windows
+are judged. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,8 +43,9 @@ from tillworks.llm.common import NewFile, batch, open_store, read_file, short_ba
 from tillworks.session import fresh_path
 
 WINDOW, MER = 20, 6
-HOT_SHARE = 2000
-#: Bits of the map of repeated minimisers, as a power of two.
+#: Most occurrences of a minimiser whose windows travel as strings.
+HOT_STRINGS = 20_000
+#: Bits of the maps of repeated and of hot minimisers, as a power of two.
 MAP_BITS = 27
 #: Strings that a task remembers having sent.
 SENT = 500_000
@@ -102,12 +105,17 @@ SENT_ROWS = pa.schema([("bucket", pa.int64()), ("rid", pa.int64()), ("text_hash"
 SENT_DDL = "bucket long, rid long, text_hash long, start long, stop long, packed string"
 
 
-def _send(batches: Iterator[pa.RecordBatch], bits: str, hot: frozenset[int]) -> Iterator[pa.RecordBatch]:
+def _in_map(bits: np.ndarray, minimisers: np.ndarray) -> np.ndarray:
+    bit = minimisers & _U((1 << MAP_BITS) - 1)
+    return (bits[(bit >> _U(3)).astype("i8")] >> (bit & _U(7)).astype("u1")) & 1
+
+
+def _send(batches: Iterator[pa.RecordBatch], bits: str, hot_bits: str) -> Iterator[pa.RecordBatch]:
     """Strings for the buckets; and, without a string, the places already known to be repeated.
 
     ``start`` and ``stop`` are words: a string covers them, a repeated place is removed.
     """
-    repeated = _read_map(bits)
+    repeated, hot = _read_map(bits), _read_map(hot_bits)
     sent: dict[bytes, tuple[int, int]] = {}
     for rows, texts in texts_of(batches, 2):
         out: list[tuple] = []
@@ -131,14 +139,14 @@ def _send(batches: Iterator[pa.RecordBatch], bits: str, hot: frozenset[int]) ->
             minimisers, starts, ends, _ = super_kmers(words)
             if not len(starts):
                 continue
-            bit = minimisers & _U((1 << MAP_BITS) - 1)
-            keep = (repeated[(bit >> _U(3)).astype("i8")] >> (bit & _U(7)).astype("u1")) & 1
+            keep = _in_map(repeated, minimisers)
             if not keep.any():
                 continue
+            split = _in_map(hot, minimisers)
             plain, at = " ".join(words), np.cumsum([0, *[len(w) + 1 for w in words]])
             for i in np.flatnonzero(keep):
                 bucket, first, end = int(minimisers[i].astype("i8")), int(starts[i]), int(ends[i])
-                if bucket in hot:
+                if split[i]:
                     for w in range(first, end):
                         offer(None, rid, text_hash, w, w + WINDOW, plain[at[w]:at[w + WINDOW] - 1])
                 else:
@@ -239,7 +247,7 @@ def _write_map(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Re
 
 
 def _bit_map(counts: DataFrame, folder: str) -> None:
-    """Write the map of repeated minimisers. It has ``2 ** MAP_BITS`` bits at any size of corpus."""
+    """Write a map of these minimisers. It has ``2 ** MAP_BITS`` bits at any size of corpus."""
     place = F.col("bucket").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
     one = F.expr("shiftleft(1L, cast(bucket & 63 AS int))")
     parts = counts.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(one).alias("bits"))
@@ -263,11 +271,10 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     counts = stored(
         docs.select("text").mapInArrow(_count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1"),
         "minimisers")
-    bits = fresh_path(spark, "minimiser-map")
+    bits, hot_bits = fresh_path(spark, "minimiser-map"), fresh_path(spark, "hot-map")
     _bit_map(counts, bits)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = frozenset(r.bucket for r in counts.where(F.col("n") * HOT_SHARE > total).select("bucket").collect())
-    rows = docs.select("rid", "text_hash", "text").mapInArrow(partial(_send, bits=bits, hot=hot), SENT_DDL)
+    _bit_map(counts.where(F.col("n") > HOT_STRINGS), hot_bits)
+    rows = docs.select("rid", "text_hash", "text").mapInArrow(partial(_send, bits=bits, hot_bits=hot_bits), SENT_DDL)
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_resolve, PLACES_DDL)
 
 
