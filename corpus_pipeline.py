@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks.llm import bpe_lexicon, dart_minhash, quality_rules, secret_scan, template_leaks
-from tillworks.llm.common import stored, table
-from tillworks.session import fresh_path
+from tillworks.llm.common import shared_file, stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +36,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document in place of its text, and the hash of what they decode to."""
-    vocabulary, lexicon = public_tokenizers.path("word_bpe_49k.json"), fresh_path(spark, "lexicon")
+    vocabulary, lexicon = public_tokenizers.path("word_bpe_49k.json"), shared_file(spark, "lexicon")
     bpe_lexicon.build_lexicon(docs, vocabulary, lexicon)
     coded = bpe_lexicon.encode(docs, vocabulary, lexicon)
     return coded.select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm.edge import ODD, documents, prose
-from tillworks.llm import bpe_lexicon, pretokens, token_files, warc
+from tillworks.llm import bpe_lexicon, common, pretokens, token_files, warc
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 #: Characters on which tools disagree, and pieces of special tokens.
@@ -191,3 +191,24 @@ def test_keys(spark):
 def test_no_pages(spark, folder):
     keys = warc.archive(spark, pages(spark, *SOME_PAGES).limit(0), folder)
     assert warc.look_up(keys, f"{folder}/directory").count() == 0
+
+
+def test_shared_files_lie_where_spark_tables_do(spark, folder, monkeypatch):
+    monkeypatch.setattr(common, "fresh_path", lambda spark, name: f"{folder}/{name}")
+    uri = common.shared_file(spark, "x")
+    assert uri.startswith("file:/")
+    out = common.NewFile(f"{uri}/y")
+    out.write(b"abc")
+    out.close()
+    assert common.read_file(f"{folder}/x/y") == b"abc"
+
+
+def test_hadoop_schemes(monkeypatch):
+    asked = []
+    monkeypatch.setattr(common, "fs", type("Fs", (), {"FileSystem": type("F", (), {"from_uri": staticmethod(asked.append)})}))
+    for uri in ("s3a://bucket/a b", "s3n://bucket/a", "hdfs://name:8020/a", "gs://bucket/a"):
+        common.open_store(uri)
+    assert asked == ["s3://bucket/a b", "s3://bucket/a", "hdfs://name:8020/a", "gs://bucket/a"]
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.open_store("ofs://cluster/a")

@@ -76,13 +76,34 @@ def word_array(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+#: Schemes of Hadoop's own clients and the ones the same stores have here; the rest are equal.
+SAME_STORE = {"s3a": "s3", "s3n": "s3"}
+
+
+def shared_file(spark: SparkSession, name: str) -> str:
+    """An unused address in the shared folder for files that tasks write themselves.
+
+    A folder without a scheme lies where Hadoop's configuration says, as it does for Spark's tables.
+    One that tasks can't open is refused here, before any work. A folder of a local disk has to be
+    mounted on all machines. Credentials of object stores are those of the machines' environment.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(fresh_path(spark, name))
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    open_store(uri)
+    return uri
+
+
 def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path in the shared folder, and the path in it."""
     if "://" not in uri and not uri.startswith("file:"):
         return fs.LocalFileSystem(), uri
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri)
+    scheme, _, rest = uri.partition("://")
+    try:
+        return fs.FileSystem.from_uri(f"{SAME_STORE.get(scheme, scheme)}://{rest}")
+    except (pa.ArrowInvalid, OSError) as e:
+        raise ValueError(f"tasks can't open files at {uri}: name another folder in spark.checkpoint.dir") from e
 
 
 class NewFile:

@@ -12,8 +12,7 @@ from tillworks.llm import (
     bpe_lexicon, dart_minhash, host_paths, merkle, posting_lists, quality_rules, secret_scan, substring_dedup, template_leaks, token_files, toxicity_fm, warc,
     whitening,
 )
-from tillworks.llm.common import table
-from tillworks.session import fresh_path
+from tillworks.llm.common import shared_file, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +29,7 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_warc_index(spark: SparkSession, folder: str) -> DataFrame:
     """Archives are written and every page is looked up in them by its key."""
-    out = fresh_path(spark, "warc")
+    out = shared_file(spark, "warc")
     keys = warc.archive(spark, table(spark, folder, "pages"), out)
     return warc.look_up(keys, f"{out}/directory").drop("url")
 
@@ -66,7 +65,7 @@ def op6_toxicity_fm(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    out = fresh_path(spark, "token-files")
+    out = shared_file(spark, "token-files")
     files = token_files.write(table(spark, folder, "documents"), out, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return token_files.read(spark, files, out)
 
@@ -77,7 +76,7 @@ def op9_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_bpe_lexicon(spark: SparkSession, folder: str) -> DataFrame:
     docs, vocabulary = table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json")
-    lexicon = fresh_path(spark, "lexicon")
+    lexicon = shared_file(spark, "lexicon")
     bpe_lexicon.build_lexicon(docs, vocabulary, lexicon)
     coded = bpe_lexicon.encode(docs, vocabulary, lexicon)
     return coded.select(

@@ -39,8 +39,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import NewFile, batch, open_store, read_file, short_batches, stored, texts_of, words_of
-from tillworks.session import fresh_path
+from tillworks.llm.common import NewFile, batch, open_store, read_file, shared_file, short_batches, stored, texts_of, words_of
 
 WINDOW, MER = 20, 6
 #: Most occurrences of a minimiser whose windows travel as strings.
@@ -271,7 +270,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     counts = stored(
         docs.select("text").mapInArrow(_count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1"),
         "minimisers")
-    bits, hot_bits = fresh_path(spark, "minimiser-map"), fresh_path(spark, "hot-map")
+    bits, hot_bits = shared_file(spark, "minimiser-map"), shared_file(spark, "hot-map")
     _bit_map(counts, bits)
     _bit_map(counts.where(F.col("n") > HOT_STRINGS), hot_bits)
     rows = docs.select("rid", "text_hash", "text").mapInArrow(partial(_send, bits=bits, hot_bits=hot_bits), SENT_DDL)
