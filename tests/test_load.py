@@ -11,7 +11,9 @@ from tillworks.errors import SchemaError
 from tillworks.operators import audit as A
 from tillworks.operators import incremental as I
 from tillworks.operators import monitoring as M
-from tillworks.plans.load import Lake, LoadOptions, load_batch, load_files
+from tillworks.operators import validation as V
+from tillworks.operators.cleaning import row_counts
+from tillworks.plans.load import Lake, LoadOptions, _counts, load_batch, load_files
 from tillworks.sources import csv_files as C
 from tillworks.sources import lake as Z
 from tillworks.streaming.landing import landing_stream, stream_load
@@ -329,6 +331,43 @@ def test_stream_second_start_adds_nothing(spark, folder):
     assert run() == 3
 
 
+def test_replayed_micro_batch_is_known_by_its_name(spark, folder):
+    """The commit of a batch is lost, so it runs again: nothing is read, no zone gets another copy."""
+    lake, landing, checkpoint = Lake(spark, folder + "/lake"), folder + "/in", folder + "/checkpoint"
+    write(landing, "a.csv", csv_text(CLEAN_ROWS))
+    options = LoadOptions(late_policy="antijoin")
+    stream_load(landing_stream(spark, landing), lake, checkpoint, options).awaitTermination()
+    zones = [lake.in_zone(zone, "")[:-len("/run=")] for zone in ("raw", "staged")]
+    before, runs = [os.listdir(zone) for zone in zones], lake.run_events().count()
+    for mark in ("0", ".0.crc"):
+        os.remove(f"{checkpoint}/commits/{mark}")
+    os.remove(landing + "/a.csv")
+    stream_load(landing_stream(spark, landing), lake, checkpoint, options).awaitTermination()
+    assert [os.listdir(zone) for zone in zones] == before and all(len(names) == 1 for names in before)
+    assert lake.run_events().count() == runs and lake.fact().count() == 2
+    # Another stream on the same lake starts its numbers anew, and its batches aren't taken for these.
+    write(landing, "b.csv", csv_text([("7", "Z", "d", "1", "2010-11-30", "2.00", "1", "UK")]))
+    stream_load(landing_stream(spark, landing), lake, folder + "/other", options).awaitTermination()
+    assert lake.fact().count() == 3
+
+
+def test_raw_rows_are_counted_in_one_pass(spark, folder):
+    """Checks, watermark and cleaning take their counts from one job over the stored raw rows."""
+    bad = [("8", "B", "d", "many", "2010-12-01", "1.00", "1", "UK"), ("9", "B", "d", "0", "2010-12-01", "1.00", None, "UK"),
+           (" 9", "c", "d", "1", "2010-12-01", "1.00", None, "UK")]
+    rows = raw(spark, *CLEAN_ROWS, *bad, CLEAN_ROWS[0])
+    options = LoadOptions(on_invalid="quarantine", late_policy="antijoin")
+    counted = one(_counts(rows, options, F.lit(True)))
+    assert {name: counted[name] for name in V.CATEGORIES} == {name: one(V.validate(rows))[name] for name in V.CATEGORIES}
+    passed, broken = V.quarantine(rows)
+    alone = one(row_counts(passed))
+    assert {name: counted[name] for name in alone} == alone and counted["distinct_invalid_rows"] == broken.count()
+    assert _counts(rows, options, F.lit(True))._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    result = load_batch(Lake(spark, folder + "/lake"), rows, "batch", options)
+    assert result.quality["null_imputed_count"] == alone["nulls_imputed"]
+    assert result.quality["duplicate_removed_count"] == 1
+
+
 def test_batch_replay_adds_nothing(spark, folder):
     lake, rows = Lake(spark, folder + "/lake"), raw(spark, *CLEAN_ROWS)
     options = LoadOptions(late_policy="antijoin")

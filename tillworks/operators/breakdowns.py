@@ -88,6 +88,12 @@ def by_country(fact: DataFrame, chosen: ReportFilter | None = None, limit: int |
     return _money(_top(grouped, "total_revenue", limit, "country"), "total_revenue")
 
 
+def countries_of(visits: DataFrame, limit: int | None = None) -> DataFrame:
+    """``by_country`` from the rows of ``sold_visits``."""
+    grouped = visits.groupBy("country").agg(_orders(), F.sum("total_revenue").alias("total_revenue"))
+    return _money(_top(grouped, "total_revenue", limit, "country"), "total_revenue")
+
+
 def country_choices(fact: DataFrame) -> DataFrame:
     """The countries on file in order, after an entry that stands for all of them."""
     found = fact.select("country").distinct().select("country", F.lit(1).alias("place"))
@@ -137,17 +143,36 @@ def _per_visit(lines: DataFrame, *keys: str) -> DataFrame:
     return lines.groupBy(*keys, "customer_id", "invoice_no").agg(_revenue(), _units())
 
 
+def sold_visits(fact: DataFrame, chosen: ReportFilter | None = None) -> DataFrame:
+    """Sales per (country, customer type, customer, invoice): what reports by country and by customer
+    type have in common, so that Spark reads and groups the lines once for both."""
+    return _per_visit(sales(fact, chosen), "country", "customer_type")
+
+
 def _by_type(fact: DataFrame, chosen: ReportFilter | None) -> DataFrame:
-    return _per_visit(sales(fact, chosen), "customer_type").groupBy("customer_type").agg(
+    return _types_of(_per_visit(sales(fact, chosen), "customer_type"))
+
+
+def _types_of(visits: DataFrame) -> DataFrame:
+    return visits.groupBy("customer_type").agg(
         F.count_distinct("customer_id").alias("customer_count"),
         F.count_distinct("invoice_no").alias("total_orders"),
         F.coalesce(F.sum("total_revenue"), F.lit(0)).alias("total_revenue"),
     )
 
 
-def segments(fact: DataFrame, chosen: ReportFilter | None = None) -> DataFrame:
+def _with_revenue_each(by_type: DataFrame) -> DataFrame:
     per_customer = N.money_ratio(F.col("total_revenue"), F.col("customer_count"))
-    return _money(_by_type(fact, chosen).withColumn("revenue_per_customer", per_customer), "total_revenue")
+    return _money(by_type.withColumn("revenue_per_customer", per_customer), "total_revenue")
+
+
+def segments(fact: DataFrame, chosen: ReportFilter | None = None) -> DataFrame:
+    return _with_revenue_each(_by_type(fact, chosen))
+
+
+def segments_of(visits: DataFrame) -> DataFrame:
+    """``segments`` from the rows of ``sold_visits``."""
+    return _with_revenue_each(_types_of(visits))
 
 
 def customer_summary(fact: DataFrame, country: str | None = None) -> DataFrame:

@@ -160,13 +160,19 @@ def _missing_values(columns: list[str]) -> Column:
 
 def row_counts(raw: DataFrame) -> DataFrame:
     """Rows in, rows dropped as impossible, fields filled in: one pass without a shuffle."""
-    text = normalise(raw)
-    keep, zero = is_possible(text.columns), F.lit(0).cast("bigint")
-    return text.agg(
-        F.count(F.lit(1)).alias("initial_rows"),
-        F.count_if(~keep).alias("invalid_prices_removed"),
-        F.coalesce(F.sum(F.when(keep, _missing_values(text.columns))), zero).alias("nulls_imputed"),
-    )
+    return normalise(raw).agg(*row_counters(raw.columns))
+
+
+def row_counters(columns: list[str], among: Column | None = None) -> list[Column]:
+    """The counts of ``row_counts`` over normalised rows, for one aggregate with other counts;
+    ``among`` chooses the rows that are cleaned."""
+    among = F.lit(True) if among is None else among
+    keep, zero = is_possible(columns), F.lit(0).cast("bigint")
+    return [
+        F.count_if(among).alias("initial_rows"),
+        F.count_if(among & ~keep).alias("invalid_prices_removed"),
+        F.coalesce(F.sum(F.when(among & keep, _missing_values(columns))), zero).alias("nulls_imputed"),
+    ]
 
 
 def stats_after(counts: DataFrame, final_rows: int) -> DataFrame:

@@ -387,8 +387,11 @@ SOURCES = {
     ),
     "src_file_manifest": DIGESTS.format(where="TRUE"),
     "src_new_files": DIGESTS.format(where="o_custkey % 7 > 2"),
-    "lake_summary": "SELECT zone, zone <> 'staged' AND n > 0 AS has_files FROM (VALUES ('raw'), ('staged'), ('processed')) z(zone), "
-                    "(SELECT COUNT(*) AS n FROM lineitem)",
+    "lake_summary": O.on_fact(
+        "SELECT zone, CASE zone WHEN 'raw' THEN 3 * LEAST(years, 1) WHEN 'processed' THEN 2 * years ELSE 0 END AS file_count, "
+        "TRUE AS has_size FROM (VALUES ('raw'), ('staged'), ('processed')) z(zone), "
+        "(SELECT COUNT(DISTINCT invoice_year) AS years FROM fact)"
+    ),
     "lake_write": O.on_fact(
         "SELECT invoice_no AS InvoiceNo, stock_code AS StockCode, CAST(quantity AS INTEGER) AS Quantity, "
         "CAST(total_amount AS DOUBLE) AS TotalPrice, CAST(invoice_year AS INTEGER) AS InvoiceYear, "
