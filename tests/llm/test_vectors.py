@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tillworks.llm import merkle, posting_lists, queries, whitening
@@ -220,6 +221,19 @@ def test_merkle(spark, depth):
     assert sorted(map(tuple, got), key=key) == sorted(by_hand(rows), key=key)
 
 
+def test_merkle_folds_every_leaf():
+    """A sibling that is wrong shows in the folded root of a leaf nobody touched."""
+    leaves = [merkle.node(str(i)) for i in range(3)]
+    rows = pd.DataFrame({"doc_id": range(3), "position": range(3), "size": 3, "digest": leaves, "now": leaves})
+    root = merkle.node("".join(leaves))
+    for sibling, holds in (("", True), (merkle.node("x"), False)):
+        top = root if holds else merkle.node(root + merkle.node("y"))
+        outer = pd.DataFrame({"path": [[{"before": sibling, "after": ""}] if sibling else []], "subroot": [root], "root": [top]})
+        got = merkle._prove(rows, outer, 1)
+        assert list(got["folded_root"]) == [root if holds else merkle.node(sibling + root)] * 3
+        assert list(got["verified"]) == [holds] * 3
+
+
 def test_merkle_of_little(spark):
     assert merkle.manifest(spark.createDataFrame([], DOCS)).collect() == []
     for rows in ([(1, "a", "b", "c", 1)], [(i, "a", "b", "c", 1) for i in range(4)], [(i, "a", "b", f"s{i}", 1) for i in range(4)]):

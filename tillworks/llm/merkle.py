@@ -125,10 +125,10 @@ def _prove(rows: pd.DataFrame, outer: pd.DataFrame, depth: int) -> pd.DataFrame:
     further, subroot, root = _outer(outer)
     rest = "".join(b + a for b, a in further)
     proofs, folded = [], []
-    for i, (before, now) in enumerate(zip(leaves, rows["now"])):
+    for i, now in enumerate(rows["now"]):
         way = path(levels, i)
         proofs.append(node("".join([b + a for b, a in way]) + rest))
-        folded.append(root if now == before else fold(now, way + further))
+        folded.append(fold(now, way + further))
     return pd.DataFrame({
         "doc_id": rows["doc_id"], "leaf": leaves, "subroot": subroot, "root": root, "proof_sha256": proofs,
         "folded_root": folded, "verified": [f == root for f in folded]})
