@@ -1,5 +1,6 @@
 """The physical plans are what they are meant to be, and hot keys change no result."""
 
+import os
 import random
 import re
 from functools import reduce
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import fact, one
+from tillworks import session
 from tillworks.operators import breakdowns as B
 from tillworks.operators import cleaning as C
 from tillworks.operators import incremental as I
@@ -40,6 +42,20 @@ def stored(spark, tmp_path_factory):
     return Z.read_fact(spark, path)
 
 
+def test_shuffles_follow_the_size_of_the_lines(spark, monkeypatch):
+    """More lines are dealt to more tasks, not to larger ones, unless the session has more partitions anyway."""
+    own = {name: spark.conf.get(name, None) for name in (session.SHUFFLES, session.TASK)}
+    size = os.path.getsize(f"{SMALL}/lineitem.parquet")
+    try:
+        for most, parts in ((1000, -(-size // 1000)), (size, int(spark.conf.get("spark.sql.shuffle.partitions")))):
+            monkeypatch.setattr(session, "FILE_BYTES", most)
+            text = plan(C.dedupe(T.dirty_rows(spark, SMALL)))
+            assert set(re.findall(r"hashpartitioning\(.*, (\d+)\)", text)) == {str(parts)}
+    finally:
+        for name, value in own.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("report", [
     K.kpi_set_full, K.kpi_set_basic, lambda f: K.kpi_row(f, with_top_product=True), CATALOG["q18"], CATALOG["q23"],
     B.segments, CATALOG["v_monthly_sales"],
