@@ -76,6 +76,16 @@ def test_lexicon_holds_its_words_only():
     assert bpe_lexicon.Lexicon(bpe_lexicon.compile_lexicon({})).find("a") is None
 
 
+def test_lexicon_counts_words_of_all_texts(spark, tmp_path):
+    """Words of texts outside the settled code points are in the lexicon like others."""
+    rows = documents(spark, *enumerate(["λόγος λόγος и слово €", "слово x €", "plain words", "plain words"]))
+    bpe_lexicon.build_lexicon(rows, WORDS, f"{tmp_path}/lexicon", 100)
+    lexicon = bpe_lexicon.Lexicon(common.read_file(f"{tmp_path}/lexicon"))
+    greek = [w for w in bpe_lexicon.counted_chunks("λόγος слово", WORDS)]
+    assert len(greek) == 2 and all(lexicon.find(w) == bpe_lexicon.Merges(WORDS).ids(w) for w in [*greek, "€", "plain", "words"])
+    assert lexicon.find("x") is None
+
+
 def test_lexicon_is_minimal():
     """Words that share their ends share states: as many states as distinct sets of ends."""
     words = [a + b for a in ("re", "un", "over") for b in ("do", "doing", "done")]

@@ -11,8 +11,9 @@ Texts outside the settled code points of ``pretokens`` are normalised and split
 library; their words are looked up and merged here like any others. Only a text that spells a special
 token goes to the library whole.
 
-Words are counted and coded as white space divides them. A task remembers their ids until it is over, and a worker
-those of pieces (``CHUNKS`` and ``REMEMBERED``, twice at most), so the automaton is asked once for most pieces.
+Words are counted and coded as white space divides them. A worker remembers the ids of these and of their pieces
+(``REMEMBERED``, twice at most), so the automaton is asked once for most pieces. Words of all documents are counted: the
+library splits texts outside the settled code points for that, too.
 
 Cases: null and empty texts have no ids and decode to an empty text. Long words are merged in a heap, in
 time that grows as n log n; texts of any length are coded whole. Repeated rows each have their ids.
@@ -27,7 +28,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,9 @@ from tillworks.llm.common import NewFile, mapped, short_batches, texts_of
 from tillworks.llm.pretokens import UNCOMMON, WORD_PIECES, Memo, from_byte_letters, in_byte_letters
 from tillworks.llm.word_counts import frequent_words
 
-#: Words in the lexicon, and pieces, and words as white space divides them, whose ids are remembered.
-LEXICON_WORDS, REMEMBERED, CHUNKS = 200_000, 250_000, 120_000
+#: Words in the lexicon, and pieces or words as white space divides them whose ids are remembered (below
+#: two thirds of 2^19, or else the tables of the dictionaries double).
+LEXICON_WORDS, REMEMBERED = 200_000, 340_000
 WORD_END = "</w>"
 MAGIC = b"TWLEX001"
 #: Longer words are merged in a heap and not remembered.
@@ -59,23 +61,43 @@ def chunks(text: str) -> list[str]:
     return text.lower().split() if OTHER_SPACE.search(text) is None else pieces(text)
 
 
-def common_chunks(text: str) -> list[str]:
-    return chunks(text) if UNCOMMON.search(text) is None else []
+def counted_chunks(text: str, vocabulary: str) -> list[str]:
+    """What is counted of a text: its chunks, or words as the library normalises and splits it."""
+    if UNCOMMON.search(text) is None:
+        return chunks(text)
+    found = (from_byte_letters(letters) for letters in library_words(library(vocabulary), text))
+    return [word for word in found if word is not None]
+
+
+def counted_pieces(chunk: str) -> list[str]:
+    return pieces(chunk) if UNCOMMON.search(chunk) is None else [chunk]
+
+
+@cache
+def library(vocabulary: str):
+    """The tokenizers library's reading of a vocabulary, whole texts at a time."""
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(vocabulary)
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
+def library_words(of, text: str) -> list[str]:
+    """The pre-tokens of any text, in byte letters."""
+    return [letters for letters, _ in of.pre_tokenizer.pre_tokenize_str(of.normalizer.normalize_str(text))]
 
 
 class Merges:
     """Pair merging by rank, lowest rank first and leftmost among equals."""
 
     def __init__(self, vocabulary: str) -> None:
-        from tokenizers import Tokenizer
-
         with open(vocabulary, encoding="utf-8") as f:
             model = json.load(f)["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.ranks = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
-        self.library = Tokenizer.from_file(vocabulary)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.library = library(vocabulary)
 
     def ids(self, word: str) -> list[int]:
         return self.of_letters(in_byte_letters(word))
@@ -217,8 +239,7 @@ class WordCoder:
         self.names = [""] * (max(self.merges.vocab.values()) + 1)
         for name, i in self.merges.vocab.items():
             self.names[i] = name
-        self.of_piece = Memo(self._piece, REMEMBERED)
-        self.of_chunk = Memo(lambda chunk: self._coded(pieces(chunk)), CHUNKS)
+        self.of_chunk = Memo(self._chunk, REMEMBERED, 2 * LONG_WORD)
         self.special = [t.content for t in self.merges.library.get_added_tokens_decoder().values()]
         #: Pieces looked up, and those that the lexicon knew.
         self.asked = self.known = 0
@@ -233,13 +254,17 @@ class WordCoder:
         found = self._known(word)
         return array("i", self.merges.ids(word) if found is None else found).tobytes()
 
-    def _coded(self, words: list[str]) -> bytes:
-        return b"".join([self.of_piece[w] if len(w) <= LONG_WORD else self._piece(w) for w in words])
+    def _chunk(self, chunk: str) -> bytes:
+        """A piece is a chunk of its own, so both are remembered in one place."""
+        words = pieces(chunk)
+        if words == [chunk]:
+            return self._piece(chunk)
+        return b"".join([self.of_chunk[w] if len(w) <= LONG_WORD else self._piece(w) for w in words])
 
     def _split(self, text: str) -> bytes:
         """A text of any characters: the library normalises and splits it."""
-        library, ids = self.merges.library, array("i")
-        for letters, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text)):
+        ids = array("i")
+        for letters in library_words(self.merges.library, text):
             found = self._known(from_byte_letters(letters))
             ids.extend(self.merges.of_letters(letters) if found is None else found)
         return ids.tobytes()
@@ -248,8 +273,7 @@ class WordCoder:
         """Ids as 32-bit integers, and the text that the ids decode to: this vocabulary's token
         names with spaces between."""
         if UNCOMMON.search(text) is None:
-            memo, longest = self.of_chunk, 2 * LONG_WORD
-            ids = b"".join([memo[c] if len(c) <= longest else self._coded(pieces(c)) for c in chunks(text)])
+            ids = b"".join(map(self.of_chunk.__getitem__, chunks(text)))
         elif not any(map(text.__contains__, self.special)):
             ids = self._split(text)
         else:
@@ -276,7 +300,8 @@ def coder(vocabulary: str, lexicon: str) -> WordCoder:
 def build_lexicon(docs: DataFrame, vocabulary: str, uri: str, most: int = LEXICON_WORDS, text: str = "text") -> None:
     """Count the words of all documents, compile the frequent ones and write the file."""
     merges = Merges(vocabulary)
-    words = {w: merges.ids(w) for w, _ in frequent_words(docs, common_chunks, most, text, refine=pieces)}
+    counted = frequent_words(docs, partial(counted_chunks, vocabulary=vocabulary), most, text, refine=counted_pieces)
+    words = {w: merges.ids(w) for w, _ in counted}
     out = NewFile(uri)
     out.write(compile_lexicon(words))
     out.close()
@@ -284,17 +309,13 @@ def build_lexicon(docs: DataFrame, vocabulary: str, uri: str, most: int = LEXICO
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str, lexicon: str, at: int) -> Iterator[pa.RecordBatch]:
     words = coder(vocabulary, lexicon)
-    code = words.code
-    try:
-        for rows, texts in texts_of(batches, at):
-            coded = [code(t) for t in texts]
-            values = np.frombuffer(b"".join([c[0] for c in coded]), "<i4")
-            offsets = np.cumsum([0, *[len(c[0]) // 4 for c in coded]]).astype("i4")
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            decoded = pa.array([c[1] for c in coded], pa.string())
-            yield pa.RecordBatch.from_arrays([*rows.columns, ids, decoded], names=[*rows.schema.names, "ids", "decoded"])
-    finally:
-        words.of_chunk.forget()
+    for rows, texts in texts_of(batches, at):
+        coded = [words.code(t) for t in texts]
+        values = np.frombuffer(b"".join([c[0] for c in coded]), "<i4")
+        offsets = np.cumsum([0, *[len(c[0]) // 4 for c in coded]]).astype("i4")
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        decoded = pa.array([c[1] for c in coded], pa.string())
+        yield pa.RecordBatch.from_arrays([*rows.columns, ids, decoded], names=[*rows.schema.names, "ids", "decoded"])
 
 
 def encode(docs: DataFrame, vocabulary: str, lexicon: str, text: str = "text") -> DataFrame:
