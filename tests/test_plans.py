@@ -17,8 +17,10 @@ from tillworks.operators import cleaning as C
 from tillworks.operators import incremental as I
 from tillworks.operators import kpis as K
 from tillworks.operators.filters import ReportFilter, sales
+from tillworks.plans import load_queries
 from tillworks.plans.catalog import CATALOG
 from tillworks.plans.dashboard import dashboard, dashboard_rows
+from tillworks.sources import csv_files as files
 from tillworks.sources import lake as Z
 from tillworks.sources import star_tables as T
 
@@ -56,6 +58,28 @@ def test_shuffles_follow_the_size_of_the_lines(spark, monkeypatch):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_manifest_does_not_sort_lines(spark, folder):
+    """Hashes and first lines of files are kept in objects, a few for each file."""
+    spark.createDataFrame([(f"line {i}",) for i in range(50)], "value string").coalesce(1).write.text(f"{folder}/lines")
+    text = plan(files.file_manifest(spark, f"{folder}/lines"))
+    assert "ObjectHashAggregate" in text and "SortAggregate" not in text and "Sort [_source_file" not in text
+
+
+def test_lake_summary_writes_three_files_without_three_shuffled_heaps(spark, monkeypatch):
+    """The raw zone's files come from stored rows, and the invoices of different years out of different tasks."""
+    plans, write = [], Z.write_to_lake
+
+    def watched(rows, base, zone, *rest):
+        plans.append((zone, plan(rows)))
+        return write(rows, base, zone, *rest)
+
+    monkeypatch.setattr(Z, "write_to_lake", watched)
+    found = {r.zone: r.file_count for r in load_queries.lake_summary(spark, SMALL).collect()}
+    assert found["raw"] == 3 and [zone for zone, _ in plans] == ["raw", "processed", "processed"]
+    assert "Exchange" not in plans[0][1]
+    assert all("SinglePartition" not in text and "hashpartitioning(InvoiceYear" in text for _, text in plans[1:])
+
+
 @pytest.mark.parametrize("report", [
     K.kpi_set_full, K.kpi_set_basic, lambda f: K.kpi_row(f, with_top_product=True), CATALOG["q18"], CATALOG["q23"],
     B.segments, CATALOG["v_monthly_sales"],
