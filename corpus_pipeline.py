@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tillworks.llm import bpe_lexicon, dart_minhash, quality_rules, secret_scan, template_leaks
 from tillworks.llm.common import shared_file, stored, table
 
+#: Pieces whose ids a task of the last stage remembers. Its workers serve the other stages, too.
+REMEMBERED = 100_000
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -38,7 +41,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document in place of its text, and the hash of what they decode to."""
     vocabulary, lexicon = public_tokenizers.path("word_bpe_49k.json"), shared_file(spark, "lexicon")
     bpe_lexicon.build_lexicon(docs, vocabulary, lexicon)
-    coded = bpe_lexicon.encode(docs, vocabulary, lexicon)
+    coded = bpe_lexicon.encode(docs, vocabulary, lexicon, remembered=REMEMBERED, lasting=False)
     return coded.select(
         "doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"))

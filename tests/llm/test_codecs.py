@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -115,6 +116,27 @@ def test_bpe_is_the_librarys(spark, folder, by_words, most):
     assert bpe_lexicon.encode(frame.limit(0), WORDS, f"{folder}/lexicon").count() == 0
 
 
+def test_coder_goes_with_its_task(tmp_path, monkeypatch):
+    """Not lasting: nothing of the coder stays in the worker, however the task ends; the ids are the same."""
+    monkeypatch.setattr(bpe_lexicon, "_coders", {})
+    texts = ["the tills of the town", "the town's tills, Ärger", None, ""]
+    merges = bpe_lexicon.Merges(WORDS)
+    (tmp_path / "lexicon").write_bytes(bpe_lexicon.compile_lexicon({w: merges.ids(w) for w in ("the", "town")}))
+    rows = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+
+    def coded(**named):
+        return bpe_lexicon._encode(iter([rows, rows]), WORDS, f"{tmp_path}/lexicon", 0, **named)
+
+    kept = [b.to_pylist() for b in coded(remembered=bpe_lexicon.REMEMBERED, lasting=True)]
+    assert len(bpe_lexicon._coders) == 1
+    assert [b.to_pylist() for b in coded(remembered=2, lasting=False)] == kept
+    assert bpe_lexicon._coders == {}
+    broken = coded(remembered=2, lasting=False)
+    assert next(broken).to_pylist() == kept[0] and len(bpe_lexicon._coders) == 1
+    broken.close()
+    assert bpe_lexicon._coders == {}
+
+
 def test_memo_forgets_what_is_not_used():
     made = []
     memo = pretokens.Memo(lambda p: made.append(p) or p * 2, 2)

@@ -12,7 +12,7 @@ library; their words are looked up and merged here like any others. Only a text
 token goes to the library whole.
 
 Words are counted and coded as white space divides them. A worker remembers the ids of these and of their pieces
-(``REMEMBERED``, twice at most), so the automaton is asked once for most pieces. Words of all documents are counted: the
+(``REMEMBERED`` unless told otherwise, twice at most), so the automaton is asked once for most pieces. Words of all documents are counted: the
 library splits texts outside the settled code points for that, too.
 
 Cases: null and empty texts have no ids and decode to an empty text. Long words are merged in a heap, in
@@ -22,6 +22,7 @@ Other columns are carried along; ``ids`` and ``decoded`` replace columns of thos
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -233,13 +234,13 @@ class Lexicon:
 class WordCoder:
     """Ids and decoded text of whole texts."""
 
-    def __init__(self, vocabulary: str, lexicon: str) -> None:
+    def __init__(self, vocabulary: str, lexicon: str, remembered: int = REMEMBERED) -> None:
         self.merges = Merges(vocabulary)
         self.lexicon = Lexicon(mapped(lexicon))
         self.names = [""] * (max(self.merges.vocab.values()) + 1)
         for name, i in self.merges.vocab.items():
             self.names[i] = name
-        self.of_chunk = Memo(self._chunk, REMEMBERED, 2 * LONG_WORD)
+        self.of_chunk = Memo(self._chunk, remembered, 2 * LONG_WORD)
         self.special = [t.content for t in self.merges.library.get_added_tokens_decoder().values()]
         #: Pieces looked up, and those that the lexicon knew.
         self.asked = self.known = 0
@@ -289,12 +290,21 @@ class WordCoder:
 _coders: dict = {}
 
 
-def coder(vocabulary: str, lexicon: str) -> WordCoder:
+def coder(vocabulary: str, lexicon: str, remembered: int = REMEMBERED) -> WordCoder:
     """One for each worker process; a lexicon that is no longer used gives way."""
-    if (vocabulary, lexicon) not in _coders:
+    key = vocabulary, lexicon, remembered
+    if key not in _coders:
         _coders.clear()
-        _coders[vocabulary, lexicon] = WordCoder(vocabulary, lexicon)
-    return _coders[vocabulary, lexicon]
+        _coders[key] = WordCoder(*key)
+    return _coders[key]
+
+
+def forget_coders() -> None:
+    """Give back what the coder of this worker process holds."""
+    _coders.clear()
+    library.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def build_lexicon(docs: DataFrame, vocabulary: str, uri: str, most: int = LEXICON_WORDS, text: str = "text") -> None:
@@ -307,8 +317,17 @@ def build_lexicon(docs: DataFrame, vocabulary: str, uri: str, most: int = LEXICO
     out.close()
 
 
-def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str, lexicon: str, at: int) -> Iterator[pa.RecordBatch]:
-    words = coder(vocabulary, lexicon)
+def _encode(
+    batches: Iterator[pa.RecordBatch], vocabulary: str, lexicon: str, at: int, remembered: int, lasting: bool
+) -> Iterator[pa.RecordBatch]:
+    try:
+        yield from _encoded(batches, coder(vocabulary, lexicon, remembered), at)
+    finally:
+        if not lasting:
+            forget_coders()
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], words: WordCoder, at: int) -> Iterator[pa.RecordBatch]:
     for rows, texts in texts_of(batches, at):
         coded = [words.code(t) for t in texts]
         values = np.frombuffer(b"".join([c[0] for c in coded]), "<i4")
@@ -318,9 +337,18 @@ def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str, lexicon: str, at
         yield pa.RecordBatch.from_arrays([*rows.columns, ids, decoded], names=[*rows.schema.names, "ids", "decoded"])
 
 
-def encode(docs: DataFrame, vocabulary: str, lexicon: str, text: str = "text") -> DataFrame:
-    """The rows with ``ids`` (array of int) and ``decoded`` (what the ids decode to)."""
+def encode(
+    docs: DataFrame, vocabulary: str, lexicon: str, text: str = "text", remembered: int = REMEMBERED, lasting: bool = True
+) -> DataFrame:
+    """The rows with ``ids`` (array of int) and ``decoded`` (what the ids decode to).
+
+    A worker remembers the ids of ``remembered`` pieces. Its coder outlives a task, or, if it isn't ``lasting``, goes
+    with it: where workers serve other stages, too, that memory is theirs.
+    """
     short_batches(docs.sparkSession)
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c == text or c.lower() not in {"ids", "decoded"}])
     schema = T.StructType([*docs.schema, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
-    return docs.mapInArrow(partial(_encode, vocabulary=vocabulary, lexicon=lexicon, at=docs.columns.index(text)), schema)
+    return docs.mapInArrow(
+        partial(_encode, vocabulary=vocabulary, lexicon=lexicon, at=docs.columns.index(text), remembered=remembered, lasting=lasting),
+        schema,
+    )
