@@ -58,6 +58,21 @@ def test_shuffles_follow_the_size_of_the_lines(spark, monkeypatch):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_partitions_stay_small_on_large_tables(spark, folder):
+    """Eight shuffled bytes for a byte of the line files are no more than two tasks' share in a partition."""
+    own = {name: spark.conf.get(name, None) for name in (session.SHUFFLES, session.TASK)}
+    size = 3 << 30
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/large", "wb") as f:
+        f.truncate(size)
+    try:
+        session.fit_shuffles(spark, f"{folder}/large")
+        assert 8 * size / int(spark.conf.get(session.SHUFFLES)) <= 2 * int(spark.conf.get(session.TASK))
+    finally:
+        for name, value in own.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_manifest_does_not_sort_lines(spark, folder):
     """Hashes and first lines of files are kept in objects, a few for each file."""
     spark.createDataFrame([(f"line {i}",) for i in range(50)], "value string").coalesce(1).write.text(f"{folder}/lines")
