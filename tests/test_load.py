@@ -410,3 +410,23 @@ def test_counters_and_quality(two_runs):
     assert rates == {"run-1": 95.0, "run-2": 0.0}
     day = one(M.daily_view(two_runs))
     assert (day["total_runs"], day["successful_runs"], day["failed_runs"], day["avg_duration_seconds"]) == (2, 1, 1, 1.5)
+
+
+@pytest.mark.parametrize("encodings", [("utf-8", "utf-8"), ("latin-1", "latin-1"), ("utf-8", "latin-1")])
+@pytest.mark.parametrize("turned", [False, True])
+def test_files_alike_in_encoding_are_decoded_by_the_reader(spark, folder, encodings, turned):
+    rows = [("536365", "85123A", "CAFÉ £", "6", "2010-12-01 08:26:00", "2.55", "17850", "España")]
+    for i, encoding in enumerate(encodings):
+        names, values = S.RAW_COLUMNS, [(f"{i}", *row[1:]) for row in rows]
+        if turned and i:
+            names, values = names[::-1], [row[::-1] for row in values]
+        write(folder, f"{i}.csv", csv_text(values, ",".join(names)), encoding)
+    read = C.read_raw(spark, folder, keep_source=True)
+    assert sorted((r["InvoiceNo"], r["Description"], r["Country"]) for r in read.collect()) == [
+        ("0", "CAFÉ £", "España"), ("1", "CAFÉ £", "España")]
+    assert {r[C.SOURCE_FILE].rpartition("/")[2] for r in read.collect()} == {"0.csv", "1.csv"}
+    plan = spark._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "extended").split("Optimized Logical Plan")[1]
+    assert ("encode(" in plan) == (len(set(encodings)) > 1)
+    assert ("Join" in plan) == (turned or len(set(encodings)) > 1)
+    # Where a column stands is looked up once for a file, below the join.
+    assert "array_position" not in plan.partition("Join")[0]
