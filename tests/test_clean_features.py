@@ -193,3 +193,21 @@ def test_fact_columns_are_in_warehouse_order(spark):
     assert rows.columns[:4] == ["invoice_no", "stock_code", "description", "quantity"]
     assert dict(rows.dtypes)["total_amount"] == "decimal(12,2)"
     assert to_fact_columns(spark.createDataFrame([("1",)], "InvoiceNo string")).columns == ["invoice_no"]
+
+
+def test_numbers_and_stripped_text_are_as_spelled_out(spark):
+    """The short ways against the rules they stand for, and a value is looked at twice at most."""
+    ends = ["", *X.WHITESPACE, " \t", "  ", "a", "é", "~", "!", "\x7f", "\n\n"]
+    texts = [a + middle + b for a in ends for middle in ("", "x y", "1", "-1.5", "é") for b in ends]
+    numbers = ["1", "-1.5", "1.", ".5", "1e5", "1e400", "0x1p3", "0X1", "1.5d", "1f", "NaN", "Infinity", "1 ", "1  ", " 1", "1\n", "1\t", "", " ", ".", "1x", "1 1", "\n1"]
+    rows = spark.createDataFrame([(text,) for text in [*texts, *numbers, None]], "v string")
+    value = F.col("v")
+    last = F.substring(F.rtrim(value), -1, 1)
+    plain = (last.between("0", "9") | (last == ".")) & ~value.contains("x") & ~value.contains("X")
+    both = rows.select(
+        "v", X.strip(value).alias("a"), F.trim(value, F.lit(X.WHITESPACE)).alias("b"),
+        C.number(value).alias("c"), F.when(plain, value.try_cast("double")).alias("d"),
+    )
+    assert [r["v"] for r in both.where("NOT (a <=> b AND c <=> d)").collect()] == []
+    shown = spark._jvm.PythonSQLUtils.explainString(rows.where(C.number(value) > 0)._jdf.queryExecution(), "simple")
+    assert shown.split("Filter", 1)[1].split("\n")[0].count("v#") <= 3  # with one for the check on null
