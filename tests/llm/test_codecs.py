@@ -103,6 +103,32 @@ def test_merges_are_the_librarys(by_words):
             assert merges.ids(piece) == by_words.encode(piece, add_special_tokens=False).ids
 
 
+def test_words_of_one_beginning_walk_it_once(tmp_path):
+    """The place of a beginning is remembered, and only if words of the lexicon have it."""
+    words = {"river": [1], "rivers": [2, 3], "riv": [4], "é": [5], "über": [6]}
+    lexicon = bpe_lexicon.Lexicon(bpe_lexicon.compile_lexicon(words))
+    steps = []
+    walk = lexicon._walk
+    lexicon._walk = lambda labels, *at: steps.append(labels) or walk(labels, *at)
+    assert [lexicon.find(w) for w in (*words, *words)] == [*words.values()] * 2
+    assert steps.count(b"rive") == 1 and steps.count("übe".encode()) == 1
+    assert [lexicon.find(w) for w in ("", "r", "rive", "riverx", "zzzz", "über!")] == [None] * 6
+    assert {*lexicon.heads} <= {w.encode()[:i] for w in words for i in range(bpe_lexicon.HEAD + 1)}
+
+
+def test_batches_of_all_kinds_decode_as_the_library(by_words, tmp_path):
+    """Names are joined for a whole batch; texts that spell a special token keep the library's text."""
+    merges = bpe_lexicon.Merges(WORDS)
+    (tmp_path / "lexicon").write_bytes(bpe_lexicon.compile_lexicon({"the": merges.ids("the")}))
+    coder = bpe_lexicon.WordCoder(WORDS, f"{tmp_path}/lexicon")
+    special = ["<|endoftext|>", "a <|startoftext|> b"]
+    for texts in ([None, ""], ["the tills", None, "λόγος the"], [*special, "the tills", ""], special):
+        rows = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+        for r in next(bpe_lexicon._encoded(iter([rows]), coder, 0)).to_pylist():
+            ids = by_words.encode(r["text"] or "", add_special_tokens=False).ids
+            assert r["ids"] == ids and r["decoded"] == by_words.decode(ids, skip_special_tokens=False)
+
+
 @pytest.mark.parametrize("most", [0, 5, 20_000])
 def test_bpe_is_the_librarys(spark, folder, by_words, most):
     rows = [*ODD, *[(200 + i, t) for i, t in enumerate(tricky_texts(600))]]

@@ -25,7 +25,6 @@ from __future__ import annotations
 import gc
 import heapq
 import json
-import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -33,6 +32,7 @@ from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +49,10 @@ MAGIC = b"TWLEX001"
 #: Longer words are merged in a heap and not remembered.
 LONG_WORD = 64
 #: White space for ``str.split`` that isn't for the vocabulary.
-OTHER_SPACE = re.compile("[\x1c-\x1f]")
+OTHER_SPACE = "\x1c\x1d\x1e\x1f"
+#: Bytes of a word's beginning whose place in the automaton a worker remembers.
+HEAD = 4
+_BYTES = [bytes((i,)) for i in range(256)]
 
 
 def pieces(text: str) -> list[str]:
@@ -57,21 +60,28 @@ def pieces(text: str) -> list[str]:
     return WORD_PIECES.findall(text.lower())
 
 
+def settled(text: str) -> bool:
+    """Whether the text has settled code points only and no sign of a special token."""
+    return "<|" not in text if text.isascii() else UNCOMMON.search(text) is None
+
+
 def chunks(text: str) -> list[str]:
     """A text of settled code points as white space divides it, in lower case. No piece goes beyond a chunk."""
-    return text.lower().split() if OTHER_SPACE.search(text) is None else pieces(text)
+    return pieces(text) if any(c in text for c in OTHER_SPACE) else text.lower().split()
 
 
 def counted_chunks(text: str, vocabulary: str) -> list[str]:
     """What is counted of a text: its chunks, or words as the library normalises and splits it."""
-    if UNCOMMON.search(text) is None:
+    if settled(text):
         return chunks(text)
     found = (from_byte_letters(letters) for letters in library_words(library(vocabulary), text))
     return [word for word in found if word is not None]
 
 
 def counted_pieces(chunk: str) -> list[str]:
-    return pieces(chunk) if UNCOMMON.search(chunk) is None else [chunk]
+    if chunk.isascii() and chunk.isalpha():
+        return [chunk]
+    return pieces(chunk) if settled(chunk) else [chunk]
 
 
 @cache
@@ -91,15 +101,31 @@ def library_words(of, text: str) -> list[str]:
 
 
 class Merges:
-    """Pair merging by rank, lowest rank first and leftmost among equals."""
+    """Pair merging by rank, lowest rank first and leftmost among equals.
+
+    Parts of a word are their ids, so a pair is one number: the left id times ``unknown + 1``, and the right one. A
+    letter that the vocabulary doesn't hold is ``unknown``, which no pair has; it gives no id.
+    """
 
     def __init__(self, vocabulary: str) -> None:
         with open(vocabulary, encoding="utf-8") as f:
             model = json.load(f)["model"]
         self.vocab: dict[str, int] = model["vocab"]
-        self.ranks = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.unknown = max(self.vocab.values()) + 1
+        self.ranks = {self._pair(self.vocab[a], self.vocab[b]): i for i, (a, b) in enumerate(merges)}
+        self.merged = [self.vocab[a + b] for a, b in merges]
         self.library = library(vocabulary)
 
+    def _pair(self, left: int, right: int) -> int:
+        return left * (self.unknown + 1) + right
+
+    def _letters(self, letters: str) -> list[int]:
+        of, unknown = self.vocab.get, self.unknown
+        parts = [of(x, unknown) for x in letters]
+        parts[-1] = of(letters[-1] + WORD_END, unknown)
+        return parts
+
     def ids(self, word: str) -> list[int]:
         return self.of_letters(in_byte_letters(word))
 
@@ -107,41 +133,42 @@ class Merges:
         """Ids of a word in byte letters."""
         if len(letters) > LONG_WORD:
             return self._of_long(letters)
-        parts = [*letters[:-1], letters[-1] + WORD_END]
-        rank_of, none = self.ranks.get, len(self.ranks)
-        ranks = [rank_of(pair, none) for pair in zip(parts, parts[1:])]
+        parts, n = self._letters(letters), self.unknown + 1
+        rank_of, none = self.ranks.get, len(self.merged)
+        ranks = [rank_of(a * n + b, none) for a, b in zip(parts, parts[1:])]
         while ranks:
             best = min(ranks)
             if best == none:
                 break
             i = ranks.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
+            parts[i] = new = self.merged[best]
+            del parts[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = rank_of((parts[i - 1], parts[i]), none)
+                ranks[i - 1] = rank_of(parts[i - 1] * n + new, none)
             if i < len(ranks):
-                ranks[i] = rank_of((parts[i], parts[i + 1]), none)
-        return [self.vocab[p] for p in parts if p in self.vocab]
+                ranks[i] = rank_of(new * n + parts[i + 1], none)
+        return [p for p in parts if p != self.unknown] if self.unknown in parts else parts
 
     def _of_long(self, letters: str) -> list[int]:
         """The same merges, with the pairs in a heap: a pair is taken if both its parts still stand."""
-        parts: list[str | None] = [*letters[:-1], letters[-1] + WORD_END]
+        parts: list[int | None] = self._letters(letters)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        heap = [(self.ranks[p], i, *p) for i, p in enumerate(zip(parts, parts[1:])) if p in self.ranks]
+        found = ((self.ranks.get(self._pair(a, b)), i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+        heap = [x for x in found if x[0] is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            rank, i, left, right = heapq.heappop(heap)
             j = after[i]
             if parts[i] != left or j >= len(parts) or parts[j] != right:
                 continue
-            parts[i], parts[j] = left + right, None
+            parts[i], parts[j] = self.merged[rank], None
             after[i] = after[j]
             if after[j] < len(parts):
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < len(parts) and (parts[a], parts[b]) in self.ranks:
-                    heapq.heappush(heap, (self.ranks[parts[a], parts[b]], a, parts[a], parts[b]))
-        return [self.vocab[p] for p in parts if p in self.vocab]
+                if a >= 0 and b < len(parts) and (rank := self.ranks.get(self._pair(parts[a], parts[b]))) is not None:
+                    heapq.heappush(heap, (rank, a, parts[a], parts[b]))
+        return [p for p in parts if p is not None and p != self.unknown]
 
 
 def compile_lexicon(words: dict[str, list[int]]) -> bytes:
@@ -218,17 +245,39 @@ class Lexicon:
         self.starts, self.ids = numbers(self.n_words + 1), numbers(n_ids)
         self.final = view[at:at + n_states]
         self.data, self.labels_at = data, at + n_states
+        #: State and place after a beginning of ``HEAD`` bytes; only those of words in the lexicon are kept.
+        self.heads: dict[bytes, tuple[int, int]] = {}
 
-    def find(self, word: str) -> list[int] | None:
-        """The ids of a word, or None if the lexicon doesn't hold it."""
-        state, place, base = self.root, 0, self.labels_at
-        for label in word.encode():
-            arc = self.data.find(bytes((label,)), base + self.first[state], base + self.first[state + 1])
+    def _walk(self, labels: bytes, state: int, place: int) -> tuple[int, int] | None:
+        base, first, find = self.labels_at, self.first, self.data.find
+        for label in labels:
+            arc = find(_BYTES[label], base + first[state], base + first[state + 1])
             if arc < 0:
                 return None
             place += self.places[arc - base]
             state = self.targets[arc - base]
-        return list(self.ids[self.starts[place]:self.starts[place + 1]]) if self.final[state] else None
+        return state, place
+
+    def packed(self, word: str) -> bytes | None:
+        """The ids of a word as 32-bit integers, or None if the lexicon doesn't hold it."""
+        labels = word.encode()
+        head = labels[:HEAD]
+        at = self.heads.get(head)
+        if at is None:
+            at = self._walk(head, self.root, 0)
+            if at is None:
+                return None
+            self.heads[head] = at
+        if len(labels) > HEAD:
+            at = self._walk(labels[HEAD:], *at)
+        if at is None or not self.final[at[0]]:
+            return None
+        return self.ids[self.starts[at[1]]:self.starts[at[1] + 1]].tobytes()
+
+    def find(self, word: str) -> list[int] | None:
+        """The ids of a word, or None if the lexicon doesn't hold it."""
+        found = self.packed(word)
+        return None if found is None else memoryview(found).cast("I").tolist()
 
 
 class WordCoder:
@@ -237,26 +286,29 @@ class WordCoder:
     def __init__(self, vocabulary: str, lexicon: str, remembered: int = REMEMBERED) -> None:
         self.merges = Merges(vocabulary)
         self.lexicon = Lexicon(mapped(lexicon))
-        self.names = [""] * (max(self.merges.vocab.values()) + 1)
+        names = [""] * self.merges.unknown
         for name, i in self.merges.vocab.items():
-            self.names[i] = name
+            names[i] = name
+        self.names = pa.array(names, pa.string())
         self.of_chunk = Memo(self._chunk, remembered, 2 * LONG_WORD)
         self.special = [t.content for t in self.merges.library.get_added_tokens_decoder().values()]
         #: Pieces looked up, and those that the lexicon knew.
         self.asked = self.known = 0
 
-    def _known(self, word: str | None) -> list[int] | None:
-        found = None if word is None else self.lexicon.find(word)
+    def _known(self, word: str | None) -> bytes | None:
+        found = None if word is None else self.lexicon.packed(word)
         self.asked += 1
         self.known += found is not None
         return found
 
     def _piece(self, word: str) -> bytes:
         found = self._known(word)
-        return array("i", self.merges.ids(word) if found is None else found).tobytes()
+        return array("i", self.merges.ids(word)).tobytes() if found is None else found
 
     def _chunk(self, chunk: str) -> bytes:
         """A piece is a chunk of its own, so both are remembered in one place."""
+        if chunk.isascii() and chunk.isalpha():
+            return self._piece(chunk)
         words = pieces(chunk)
         if words == [chunk]:
             return self._piece(chunk)
@@ -264,22 +316,24 @@ class WordCoder:
 
     def _split(self, text: str) -> bytes:
         """A text of any characters: the library normalises and splits it."""
-        ids = array("i")
+        ids = []
         for letters in library_words(self.merges.library, text):
             found = self._known(from_byte_letters(letters))
-            ids.extend(self.merges.of_letters(letters) if found is None else found)
-        return ids.tobytes()
-
-    def code(self, text: str) -> tuple[bytes, str]:
-        """Ids as 32-bit integers, and the text that the ids decode to: this vocabulary's token
-        names with spaces between."""
-        if UNCOMMON.search(text) is None:
-            ids = b"".join(map(self.of_chunk.__getitem__, chunks(text)))
-        elif not any(map(text.__contains__, self.special)):
-            ids = self._split(text)
-        else:
-            return self._of_library(text)
-        return ids, " ".join(map(self.names.__getitem__, memoryview(ids).cast("i")))
+            ids.append(array("i", self.merges.of_letters(letters)).tobytes() if found is None else found)
+        return b"".join(ids)
+
+    def code(self, text: str) -> tuple[bytes, str | None]:
+        """Ids as 32-bit integers, and the text that the ids decode to where the library has decoded them; others
+        decode to their names (``decoded``)."""
+        if settled(text):
+            return b"".join(map(self.of_chunk.__getitem__, chunks(text))), None
+        if not any(map(text.__contains__, self.special)):
+            return self._split(text), None
+        return self._of_library(text)
+
+    def decoded(self, ids: pa.Array, offsets: pa.Array) -> pa.Array:
+        """The texts of lists of ids: this vocabulary's token names with spaces between."""
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, self.names.take(ids)), " ")
 
     def _of_library(self, text: str) -> tuple[bytes, str]:
         library = self.merges.library
@@ -330,10 +384,16 @@ def _encode(
 def _encoded(batches: Iterator[pa.RecordBatch], words: WordCoder, at: int) -> Iterator[pa.RecordBatch]:
     for rows, texts in texts_of(batches, at):
         coded = [words.code(t) for t in texts]
-        values = np.frombuffer(b"".join([c[0] for c in coded]), "<i4")
-        offsets = np.cumsum([0, *[len(c[0]) // 4 for c in coded]]).astype("i4")
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-        decoded = pa.array([c[1] for c in coded], pa.string())
+        values = pa.array(np.frombuffer(b"".join([c[0] for c in coded]), "<i4"))
+        offsets = pa.array(np.cumsum([0, *[len(c[0]) // 4 for c in coded]]).astype("i4"))
+        ids = pa.ListArray.from_arrays(offsets, values)
+        # The library's ids of special tokens have no names here; its texts take the place of theirs.
+        given = [c[1] for c in coded]
+        if any(t is not None for t in given):
+            named = pc.if_else(pc.less(values, len(words.names)), values, 0)
+            decoded = pc.coalesce(pa.array(given, pa.string()), words.decoded(named, offsets))
+        else:
+            decoded = words.decoded(values, offsets)
         yield pa.RecordBatch.from_arrays([*rows.columns, ids, decoded], names=[*rows.schema.names, "ids", "decoded"])
 
 
