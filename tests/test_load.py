@@ -1,4 +1,5 @@
 import os
+import time
 from datetime import datetime
 from decimal import Decimal
 
@@ -13,6 +14,7 @@ from tillworks.operators import incremental as I
 from tillworks.operators import monitoring as M
 from tillworks.operators import validation as V
 from tillworks.operators.cleaning import row_counts
+from tillworks.plans import load as L
 from tillworks.plans.load import Lake, LoadOptions, _counts, load_batch, load_files
 from tillworks.sources import csv_files as C
 from tillworks.sources import lake as Z
@@ -430,3 +432,73 @@ def test_files_alike_in_encoding_are_decoded_by_the_reader(spark, folder, encodi
     assert ("Join" in plan) == (turned or len(set(encodings)) > 1)
     # Where a column stands is looked up once for a file, below the join.
     assert "array_position" not in plan.partition("Join")[0]
+
+
+MANY = [
+    (code, item, note, quantity, f"2010-{1 + i % 12:02d}-01 08:00:00", "2.00", "7", "UK")
+    for i in range(60)
+    for code, item, note, quantity in [
+        (f"{i}a", f"s{i % 7}", "one", "3"), (f" {i}A ", f"S{i % 7}", "copy", "3.0"), (f"{i}A", f"\ts{i % 7}", "other", "4"),
+    ]
+]
+
+
+def loaded(spark, base, rows, monkeypatch, part_bytes):
+    monkeypatch.setattr(L, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(L, "STAGED_PARTS", 3)
+    lake, options = Lake(spark, base), LoadOptions(on_invalid="quarantine", late_policy="antijoin")
+    results = [load_batch(lake, raw(spark, *batch), f"batch {i}", options) for i, batch in enumerate((rows, rows[:30] + MANY[3:9]))]
+    facts = lake.fact().drop("loaded_at").orderBy("invoice_no", "stock_code").collect()
+    return lake, facts, [(r.status, r.rows_read, r.rows_transformed, r.rows_inserted, r.rows_skipped_duplicate) for r in results]
+
+
+def test_rows_are_loaded_in_parts_that_share_no_key(spark, folder, monkeypatch):
+    """Copies with other spellings, other quantities of a line and lines in the table meet in one part, whatever the part."""
+    rows, pended, pend = [*MANY, *BAD], [], Z.pend_fact
+    monkeypatch.setattr(Z, "pend_fact", lambda frame, *rest: pended.append(frame.count()) or pend(frame, *rest))
+    lake, parts, results = loaded(spark, folder + "/parts", rows, monkeypatch, 1)
+    # Rows to add, then those that meet the rules (one doesn't), then the second batch, all of it in the table.
+    assert [sum(pended[i:i + 3]) for i in (0, 3, 6)] == [61, 60, 0] and len(pended) == 9 and max(pended) < 40
+    assert (lake.fact().count(), Z.read_from_lake(spark, lake.base, "staged").count()) == (60, 121 + 20)
+    pended.clear()
+    _, whole, same = loaded(spark, folder + "/whole", rows, monkeypatch, 1 << 40)
+    assert (parts, results) == (whole, same) and len(pended) == 3
+    assert results == [("PARTIAL", 182, 121, 60, 60), ("SUCCESS", 36, 20, 0, 20)]
+
+
+def test_a_part_that_fails_leaves_nothing_staged(spark, folder, monkeypatch):
+    lake, transform, calls = Lake(spark, folder + "/lake"), L._transform, []
+
+    def dies(*args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("the disk is full")
+        return transform(*args)
+
+    monkeypatch.setattr(L, "PART_BYTES", 1)
+    monkeypatch.setattr(L, "_transform", dies)
+    assert load_batch(lake, raw(spark, *MANY), "batch").status == S.FAILED
+    assert len(calls) == 2 and not os.path.exists(lake.base + "/staged")
+    assert load_batch(lake, raw(spark, *MANY), "batch").rows_inserted == 60
+
+
+def test_a_load_leaves_no_shuffle_files(spark, folder):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    path, before = write(folder + "/in", "a.csv", csv_text(MANY)), shuffled()
+    assert load_files(Lake(spark, folder + "/lake"), path).rows_inserted == 60
+    until = time.monotonic() + 20  # they go in the background
+    while (left := shuffled() - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_compressed_files_are_the_same_content(spark, folder):
+    rows = raw(spark, *CLEAN_ROWS, ("7", "Z", 'a "b", £', "1", "2010-11-30", "2.00", None, " España "))
+    plain, packed = (C.write_csv(rows.coalesce(1), f"{folder}/{kind}", compression=kind) for kind in ("none", "gzip"))
+    assert all(name.endswith(".csv.gz") for name in os.listdir(packed) if name.startswith("part"))
+    assert {r["file_hash"] for r in C.file_manifest(spark, plain, "*.csv").collect()} == {
+        r["file_hash"] for r in C.file_manifest(spark, packed, "*.csv.gz").collect()}
+    assert sorted(C.read_raw(spark, plain).collect()) == sorted(C.read_raw(spark, packed).collect())
