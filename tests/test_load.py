@@ -502,3 +502,12 @@ def test_compressed_files_are_the_same_content(spark, folder):
     assert {r["file_hash"] for r in C.file_manifest(spark, plain, "*.csv").collect()} == {
         r["file_hash"] for r in C.file_manifest(spark, packed, "*.csv.gz").collect()}
     assert sorted(C.read_raw(spark, plain).collect()) == sorted(C.read_raw(spark, packed).collect())
+
+
+def test_stream_takes_compressed_files_in_parts(spark, folder, monkeypatch):
+    landing, lake = C.write_csv(raw(spark, *MANY), folder + "/in", compression="gzip"), Lake(spark, folder + "/lake")
+    monkeypatch.setattr(L, "PART_BYTES", 1)
+    monkeypatch.setattr(L, "STAGED_PARTS", 2)
+    for _ in range(2):
+        stream_load(landing_stream(spark, landing, pattern="*.csv.gz"), lake, folder + "/checkpoint").awaitTermination()
+        assert (lake.fact().count(), Z.read_from_lake(spark, lake.base, "raw").count(), lake.runs().count()) == (60, 180, 1)
